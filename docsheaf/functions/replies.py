@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from docsheaf import constants as C
 from docsheaf import schemas
 from docsheaf.functions.text import WS, py_strip
+from docsheaf.session import computed_once
 
 STRICT, REPAIRED, FALLBACK, FAILED = "strict", "repaired", "fallback", "failed"
 
@@ -221,7 +222,7 @@ def parse_replies(df: DataFrame, column: str = "raw") -> DataFrame:
     sentiment = F.struct(
         fallback_label(raw).alias("label"), F.lit(C.FALLBACK_CONFIDENCE).alias("confidence")
     )
-    return entities.select(
+    records = entities.select(
         *keep,
         F.when(ok & fallback, fallback_summary(raw)).when(ok, coerce_summary(reply)).alias("summary"),
         F.when(ok, F.col("_ent")).cast(schemas.ENTITIES).alias("entities"),
@@ -238,6 +239,7 @@ def parse_replies(df: DataFrame, column: str = "raw") -> DataFrame:
         .otherwise("entity list has a wrong type")
         .alias("reason"),
     )
+    return computed_once(records, *records.columns[len(keep) :])
 
 
 def _empty_entities() -> Column:

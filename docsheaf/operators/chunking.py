@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from docsheaf import constants as C
 from docsheaf.functions.text import WS, let, py_strip
 from docsheaf.functions.tokens import TokenCounter, count_one, estimated
+from docsheaf.session import computed_once
 
 # unit kinds
 PARAGRAPH, FIRST_SENTENCE, LATER_SENTENCE = 0, 1, 2
@@ -107,7 +108,7 @@ def add_chunks(
 ) -> DataFrame:
     """Add ``chunks array<string>``, one element per chunk, in order."""
     keep = df.columns
-    return (
+    packed = (
         df.withColumn("_paras", paragraphs(F.col(column)))
         .withColumn("_counts", counter(F.col("_paras")))
         .select(*keep, _units(F.col("_paras"), F.col("_counts"), max_tokens).alias("_units"))
@@ -117,6 +118,7 @@ def add_chunks(
         )
         .select(*keep, _join_chunks(F.col("_units"), F.col("_starts")).alias("chunks"))
     )
+    return computed_once(packed, "chunks")
 
 
 def explode_chunks(df: DataFrame, *keep: str) -> DataFrame:

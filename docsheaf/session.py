@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -44,3 +45,15 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
+
+
+def computed_once(df: DataFrame, *columns: str) -> DataFrame:
+    """Keep later filters on these columns above the projection that computes them.
+
+    Catalyst pushes a filter below a projection by repeating its expressions,
+    which would parse or pack every row twice. It does not push one below a
+    generator, so the columns pass through a generator of one row.
+    """
+    held = F.inline_outer(F.array(F.struct(*columns)))
+    others = [c for c in df.columns if c not in columns]
+    return df.select(*others, held).select(*df.columns)
