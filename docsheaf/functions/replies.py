@@ -75,88 +75,69 @@ def _as(value: Column, ddl: str) -> Column:
     return F.try_variant_get(value, "$", ddl)
 
 
-def _json_type(value: Column) -> Column:
-    return F.schema_of_variant(value)
-
-
-def _is_object(value: Column) -> Column:
-    return F.coalesce(F.startswith(_json_type(value), F.lit("OBJECT")), F.lit(False))
+def json_type(value: Column) -> Column:
+    """object, array, null, string, boolean or number; null if missing."""
+    name = F.schema_of_variant(value)
+    return (
+        F.when(F.startswith(name, F.lit("OBJECT")), "object")
+        .when(F.startswith(name, F.lit("ARRAY")), "array")
+        .when(name == "VOID", "null")
+        .when(name == "STRING", "string")
+        .when(name == "BOOLEAN", "boolean")
+        .when(name.isNotNull(), "number")
+    )
 
 
-def _shown(value: Column) -> Column:
+def _shown(value: Column, kind: Column) -> Column:
     """A present value as text; null and booleans by their Python names."""
     text = _as(value, "string")
     return (
-        F.when(F.is_variant_null(value), "None")
-        .when(_json_type(value) == "BOOLEAN", F.initcap(text))
-        .otherwise(text)
+        F.when(kind == "null", "None").when(kind == "boolean", F.initcap(text)).otherwise(text)
     )
 
 
-# --- coercion of each field ----------------------------------------------------------
+# --- coercion of each field, given its value and JSON type -------------------------
 
 
-def coerce_summary(reply: Column) -> Column:
-    value = _field(reply, "summary")
-    text = py_strip(_shown(value))
-    return F.coalesce(F.nullif(text, F.lit("")), F.lit(C.DEFAULT_SUMMARY))
+def coerce_summary(value: Column, kind: Column) -> Column:
+    text = F.nullif(py_strip(_shown(value, kind)), F.lit(""))
+    return F.coalesce(text, F.lit(C.DEFAULT_SUMMARY))
 
 
-def coerce_entity_list(entities: Column, name: str) -> Column:
+def coerce_names(value: Column, kind: Column) -> Column:
     """Null marks a type that has no elements, which fails the reply."""
-    value = _field(entities, name)
-    text = _as(value, "string")
     return (
-        F.when(value.isNull(), F.array().cast("array<string>"))
-        .when(F.startswith(_json_type(value), F.lit("ARRAY")), _as(value, "array<string>"))
-        .when(F.is_variant_null(value), None)
-        .when(_is_object(value), F.map_keys(_as(value, "map<string,variant>")))
-        .when(_json_type(value) == "STRING", F.filter(F.split(text, ""), lambda c: c != ""))
+        F.when(kind.isNull(), F.array().cast("array<string>"))
+        .when(kind == "array", _as(value, "array<string>"))
+        .when(kind == "object", F.map_keys(_as(value, "map<string,variant>")))
+        .when(kind == "string", F.filter(F.split(_as(value, "string"), ""), lambda c: c != ""))
     )
 
 
-def coerce_entities(reply: Column) -> Column:
-    value = _field(reply, "entities")
-    entities = F.when(_is_object(value), value)
-    lists = [coerce_entity_list(entities, n).alias(n) for n in ("people", "places", "organizations")]
-    return F.struct(*lists)
-
-
-def coerce_label(sentiment: Column) -> Column:
-    label = F.lower(_shown(_field(sentiment, "label")))
+def coerce_label(value: Column, kind: Column) -> Column:
+    label = F.lower(_shown(value, kind))
     return F.when(label.isin(*C.LABELS), label).otherwise(C.DEFAULT_LABEL)
 
 
-def coerce_confidence(sentiment: Column) -> Column:
-    value = _field(sentiment, "confidence")
+def coerce_confidence(value: Column, kind: Column) -> Column:
     text = py_strip(_as(value, "string"))
     plain = F.replace(text, F.lit("_"), F.lit(""))
-    from_text = F.when(F.rlike(text, F.lit(_FLOAT_TEXT)), plain.try_cast("double"))
     number = (
-        F.when(_json_type(value) == "STRING", from_text)
-        .when(_json_type(value) == "BOOLEAN", _as(value, "boolean").cast("double"))
-        .otherwise(_as(value, "double"))
-    )
-    # NaN is not below 1, so it becomes 1
-    clamped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), number))
-    return F.when(number.isNotNull(), clamped).otherwise(C.DEFAULT_CONFIDENCE)
-
-
-def coerce_sentiment(reply: Column) -> Column:
-    value = _field(reply, "sentiment")
-    sentiment = F.when(_is_object(value), value)
-    return F.struct(
-        coerce_label(sentiment).alias("label"), coerce_confidence(sentiment).alias("confidence")
+        F.when(kind == "string", F.when(F.rlike(text, F.lit(_FLOAT_TEXT)), plain.try_cast("double")))
+        .when(kind == "boolean", _as(value, "boolean").cast("double"))
+        .when(kind == "number", _as(value, "double"))
     )
+    # NaN counts as the largest number, so it becomes 1
+    given = F.coalesce(number, F.lit(C.DEFAULT_CONFIDENCE))
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), given))
 
 
-def coerce_questions(reply: Column) -> Column:
-    value = _field(reply, "key_questions")
-    listed = F.transform(_as(value, "array<variant>"), _shown)
+def coerce_questions(value: Column, kind: Column) -> Column:
+    listed = F.transform(_as(value, "array<variant>"), lambda q: _shown(q, json_type(q)))
     given = (
-        F.when(value.isNull(), F.array().cast("array<string>"))
-        .when(F.startswith(_json_type(value), F.lit("ARRAY")), listed)
-        .otherwise(F.array(_shown(value)))
+        F.when(kind.isNull(), F.array().cast("array<string>"))
+        .when(kind == "array", listed)
+        .otherwise(F.array(_shown(value, kind)))
     )
     pads = F.array_repeat(F.lit(C.QUESTION_PAD), C.QUESTION_COUNT)
     return F.slice(F.concat(given, pads), 1, C.QUESTION_COUNT)
@@ -178,70 +159,99 @@ def fallback_label(raw: Column) -> Column:
 
 # --- the whole chain ------------------------------------------------------------------------
 
+# the fields of a reply, by the object that holds them
+_TOP = ("summary", "entities", "sentiment", "key_questions")
+_NAMES = ("people", "places", "organizations")
+_IN_SENTIMENT = ("label", "confidence")
 
-def parse_replies(df: DataFrame, column: str = "raw") -> DataFrame:
-    """Add the extraction fields, ``parse_path`` and, for failures, ``reason``.
 
-    A narrow projection; each step's value is computed once. Rows without a
-    reply (null) get path ``failed`` and no reason.
-    """
-    keep = df.columns
-    raw = F.col(column)
-    steps = (
+def _json_steps(df: DataFrame, raw: Column) -> DataFrame:
+    """Add ``_path`` and, where the path leads to an object, ``_reply``."""
+    block = F.col("_json")
+    return (
         df.withColumn("_json", json_block(raw))
-        .withColumn("_strict", strict_json(F.col("_json")))
+        .withColumn("_strict", strict_json(block))
         .withColumn(
             "_repaired",
-            F.when(F.col("_strict").isNull(), strict_json(without_trailing_commas(F.col("_json")))),
+            F.when(F.col("_strict").isNull(), strict_json(without_trailing_commas(block))),
         )
         .withColumn("_reply", F.coalesce("_strict", "_repaired"))
+        .withColumn("_type", json_type(F.col("_reply")))
         .withColumn(
             "_path",
             F.when(raw.isNull() | (py_strip(raw) == ""), FAILED)
-            .when(F.col("_reply").isNull(), FALLBACK)
-            .when(~_is_object(F.col("_reply")), FAILED)
+            .when(F.col("_type").isNull(), FALLBACK)
+            .when(F.col("_type") != "object", FAILED)
             .when(F.col("_strict").isNotNull(), STRICT)
             .otherwise(REPAIRED),
         )
-        .select(*keep, "_path", F.when(F.col("_path").isin(STRICT, REPAIRED), F.col("_reply")).alias("_reply"))
+        .withColumn("_reply", F.when(F.col("_path").isin(STRICT, REPAIRED), F.col("_reply")))
     )
-    reply, fallback = F.col("_reply"), F.col("_path") == FALLBACK
-    entities = steps.select(
-        *keep,
-        "_path",
-        "_reply",
-        F.when(fallback, _empty_entities()).when(reply.isNotNull(), coerce_entities(reply)).alias("_ent"),
-    ).withColumn(
-        "_typed",
-        F.col("_ent.people").isNotNull()
-        & F.col("_ent.places").isNotNull()
-        & F.col("_ent.organizations").isNotNull(),
+
+
+def _field_steps(df: DataFrame) -> DataFrame:
+    """Add each field's value ``_v_*`` and JSON type ``_t_*``."""
+
+    def fetch(df, holder, names):
+        df = df.withColumns({f"_v_{n}": _field(holder, n) for n in names})
+        return df.withColumns({f"_t_{n}": json_type(F.col(f"_v_{n}")) for n in names})
+
+    def object_field(name):
+        return F.when(F.col(f"_t_{name}") == "object", F.col(f"_v_{name}"))
+
+    df = fetch(df, F.col("_reply"), _TOP)
+    df = fetch(df, object_field("entities"), _NAMES)
+    return fetch(df, object_field("sentiment"), _IN_SENTIMENT)
+
+
+def parse_replies(df: DataFrame, column: str = "raw") -> DataFrame:
+    """Add the extraction fields, ``parse_path`` and, for failures, ``reason``.
+
+    A narrow projection in small steps, so that no value is computed twice.
+    Rows without a reply (null) get path ``failed`` and no reason.
+    """
+    keep, raw = df.columns, F.col(column)
+    steps = _field_steps(_json_steps(df, raw))
+
+    def names(name):
+        found = coerce_names(F.col(f"_v_{name}"), F.col(f"_t_{name}"))
+        return F.when(F.col("_path") != FAILED, found)
+
+    steps = steps.withColumns({f"_{name}": names(name) for name in _NAMES})
+    steps = steps.withColumn(
+        "_final",
+        F.when(F.greatest(*[F.col(f"_{n}").isNull() for n in _NAMES]), FAILED).otherwise(
+            F.col("_path")
+        ),
     )
-    ok = F.col("_typed")
-    questions = F.array_repeat(F.lit(C.FALLBACK_QUESTION), C.QUESTION_COUNT)
+
+    def choose(fallback: Column, coerced: Column) -> Column:
+        return F.when(F.col("_final") == FALLBACK, fallback).when(
+            F.col("_final") != FAILED, coerced
+        )
+
+    def coerced(rule, name):
+        return rule(F.col(f"_v_{name}"), F.col(f"_t_{name}"))
+
+    entities = F.struct(*[F.col(f"_{n}").alias(n) for n in _NAMES])
     sentiment = F.struct(
-        fallback_label(raw).alias("label"), F.lit(C.FALLBACK_CONFIDENCE).alias("confidence")
+        choose(fallback_label(raw), coerced(coerce_label, "label")).alias("label"),
+        choose(F.lit(C.FALLBACK_CONFIDENCE), coerced(coerce_confidence, "confidence")).alias("confidence"),
     )
-    records = entities.select(
+    done = F.col("_final") != FAILED
+    no_questions = F.array_repeat(F.lit(C.FALLBACK_QUESTION), C.QUESTION_COUNT)
+    records = steps.select(
         *keep,
-        F.when(ok & fallback, fallback_summary(raw)).when(ok, coerce_summary(reply)).alias("summary"),
-        F.when(ok, F.col("_ent")).cast(schemas.ENTITIES).alias("entities"),
-        F.when(ok & fallback, sentiment)
-        .when(ok, coerce_sentiment(reply))
-        .cast(schemas.SENTIMENT)
-        .alias("sentiment"),
-        F.when(ok & fallback, questions).when(ok, coerce_questions(reply)).alias("key_questions"),
-        F.when(ok & fallback, True).alias("parse_error"),
-        F.when(ok, F.col("_path")).otherwise(FAILED).alias("parse_path"),
-        F.when(raw.isNull() | ok, None)
+        choose(fallback_summary(raw), coerced(coerce_summary, "summary")).alias("summary"),
+        F.when(done, entities).cast(schemas.ENTITIES).alias("entities"),
+        F.when(done, sentiment).cast(schemas.SENTIMENT).alias("sentiment"),
+        choose(no_questions, coerced(coerce_questions, "key_questions")).alias("key_questions"),
+        F.when(F.col("_final") == FALLBACK, True).alias("parse_error"),
+        F.col("_final").alias("parse_path"),
+        F.when(raw.isNull() | done, None)
         .when(py_strip(raw) == "", "empty reply")
         .when(F.col("_path") == FAILED, "reply is not an object")
         .otherwise("entity list has a wrong type")
         .alias("reason"),
     )
     return computed_once(records, *records.columns[len(keep) :])
-
-
-def _empty_entities() -> Column:
-    empty = F.array().cast("array<string>")
-    return F.struct(empty.alias("people"), empty.alias("places"), empty.alias("organizations"))

@@ -113,13 +113,14 @@ def run_extraction(
     and only chunks without a recorded call are sent.
     """
     spark = configure(documents.sparkSession)
-    sinks.require_rows(documents, "documents")
-
     chunks = _stage(
         spark, f"{folder}/chunks",
         lambda: chunk_stage(documents, max_tokens, counter, waves),
         *([] if waves == 1 else ["wave"]),
     )
+    if chunks.isEmpty():
+        sinks.require_rows(documents, "documents")
+        raise sinks.EmptyStage("no chunks")
     calls = call_stage(
         spark, chunks, f"{folder}/calls", make_client, policy, sleep, concurrency, waves
     )
