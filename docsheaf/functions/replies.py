@@ -76,23 +76,15 @@ def _as(value: Column, ddl: str) -> Column:
 
 
 def json_type(value: Column) -> Column:
-    """object, array, null, string, boolean or number; null if missing."""
-    name = F.schema_of_variant(value)
-    return (
-        F.when(F.startswith(name, F.lit("OBJECT")), "object")
-        .when(F.startswith(name, F.lit("ARRAY")), "array")
-        .when(name == "VOID", "null")
-        .when(name == "STRING", "string")
-        .when(name == "BOOLEAN", "boolean")
-        .when(name.isNotNull(), "number")
-    )
+    """OBJECT, ARRAY, STRING, BOOLEAN, VOID (JSON null) or a number type; null if missing."""
+    return F.substring_index(F.schema_of_variant(value), "<", 1)
 
 
 def _shown(value: Column, kind: Column) -> Column:
     """A present value as text; null and booleans by their Python names."""
     text = _as(value, "string")
     return (
-        F.when(kind == "null", "None").when(kind == "boolean", F.initcap(text)).otherwise(text)
+        F.when(kind == "VOID", "None").when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
     )
 
 
@@ -108,9 +100,9 @@ def coerce_names(value: Column, kind: Column) -> Column:
     """Null marks a type that has no elements, which fails the reply."""
     return (
         F.when(kind.isNull(), F.array().cast("array<string>"))
-        .when(kind == "array", _as(value, "array<string>"))
-        .when(kind == "object", F.map_keys(_as(value, "map<string,variant>")))
-        .when(kind == "string", F.filter(F.split(_as(value, "string"), ""), lambda c: c != ""))
+        .when(kind == "ARRAY", _as(value, "array<string>"))
+        .when(kind == "OBJECT", F.map_keys(_as(value, "map<string,variant>")))
+        .when(kind == "STRING", F.filter(F.split(_as(value, "string"), ""), lambda c: c != ""))
     )
 
 
@@ -123,9 +115,9 @@ def coerce_confidence(value: Column, kind: Column) -> Column:
     text = py_strip(_as(value, "string"))
     plain = F.replace(text, F.lit("_"), F.lit(""))
     number = (
-        F.when(kind == "string", F.when(F.rlike(text, F.lit(_FLOAT_TEXT)), plain.try_cast("double")))
-        .when(kind == "boolean", _as(value, "boolean").cast("double"))
-        .when(kind == "number", _as(value, "double"))
+        F.when(kind == "STRING", F.when(F.rlike(text, F.lit(_FLOAT_TEXT)), plain.try_cast("double")))
+        .when(kind == "BOOLEAN", _as(value, "boolean").cast("double"))
+        .otherwise(_as(value, "double"))
     )
     # NaN counts as the largest number, so it becomes 1
     given = F.coalesce(number, F.lit(C.DEFAULT_CONFIDENCE))
@@ -136,7 +128,7 @@ def coerce_questions(value: Column, kind: Column) -> Column:
     listed = F.transform(_as(value, "array<variant>"), lambda q: _shown(q, json_type(q)))
     given = (
         F.when(kind.isNull(), F.array().cast("array<string>"))
-        .when(kind == "array", listed)
+        .when(kind == "ARRAY", listed)
         .otherwise(F.array(_shown(value, kind)))
     )
     pads = F.array_repeat(F.lit(C.QUESTION_PAD), C.QUESTION_COUNT)
@@ -181,7 +173,7 @@ def _json_steps(df: DataFrame, raw: Column) -> DataFrame:
             "_path",
             F.when(raw.isNull() | (py_strip(raw) == ""), FAILED)
             .when(F.col("_type").isNull(), FALLBACK)
-            .when(F.col("_type") != "object", FAILED)
+            .when(F.col("_type") != "OBJECT", FAILED)
             .when(F.col("_strict").isNotNull(), STRICT)
             .otherwise(REPAIRED),
         )
@@ -197,7 +189,7 @@ def _field_steps(df: DataFrame) -> DataFrame:
         return df.withColumns({f"_t_{n}": json_type(F.col(f"_v_{n}")) for n in names})
 
     def object_field(name):
-        return F.when(F.col(f"_t_{name}") == "object", F.col(f"_v_{name}"))
+        return F.when(F.col(f"_t_{name}") == "OBJECT", F.col(f"_v_{name}"))
 
     df = fetch(df, F.col("_reply"), _TOP)
     df = fetch(df, object_field("entities"), _NAMES)
