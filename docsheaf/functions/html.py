@@ -1,5 +1,6 @@
 """The main text of an HTML page."""
 
+from collections import Counter
 from html.entities import html5
 from html.parser import HTMLParser
 
@@ -28,12 +29,13 @@ class MainText(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=False)
         self.open = []        # names of open elements, outermost first
+        self.count = Counter()  # how often each name is open
         self.ignored = 0      # how many of them are noise or hidden
         self.noise = 0        # how many of them are noise
         self.piece = []
         self.texts = {"": []}  # region -> text nodes; "" is the whole page
         self.inside = {}      # region -> depth of its first element while open
-        self.void_open = []
+        self.void_open = Counter()  # void elements seen without an end tag
 
     def end_text(self):
         text = "".join(self.piece).strip()
@@ -60,31 +62,33 @@ class MainText(HTMLParser):
     def handle_starttag(self, tag, attrs):
         self.end_text()
         if tag in VOID:
-            self.void_open.append(tag)
+            self.void_open[tag] += 1
             return
         if tag in C.MAIN_REGIONS and not self.noise and tag not in self.texts:
             self.texts[tag] = []
             self.inside[tag] = len(self.open)
         self.open.append(tag)
+        self.count[tag] += 1
         self.noise += tag in C.NOISE_TAGS
         self.ignored += tag in C.NOISE_TAGS or tag in HIDDEN
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag in VOID:
-            self.void_open.remove(tag)
+            self.void_open[tag] -= 1
         else:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag in self.void_open:
-            self.void_open.remove(tag)
+        if self.void_open[tag]:
+            self.void_open[tag] -= 1
             return
         self.end_text()
-        if tag not in self.open:
+        if not self.count[tag]:
             return
         while True:
             closed = self.open.pop()
+            self.count[closed] -= 1
             self.noise -= closed in C.NOISE_TAGS
             self.ignored -= closed in C.NOISE_TAGS or closed in HIDDEN
             if self.inside.get(closed) == len(self.open):

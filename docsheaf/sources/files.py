@@ -39,7 +39,10 @@ def unsupported_files(files: DataFrame) -> DataFrame:
 
 
 def scan_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(source, content)`` of every file below ``path``."""
+    """``(source, content)`` of every file below ``path``.
+
+    Spark's file index leaves out files of zero bytes, which hold no text anyway.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select(F.col("path").alias("source"), "content")
 
