@@ -20,9 +20,9 @@ WS = r"(?U:[\s\x1c-\x1f])"
 # Characters that composition can neither change nor attach to: text made of
 # these alone is already in NFC. (test_text checks every one of them.)
 NFC_STABLE = (
-    r"\x{0}-\x{2ff}\x{400}-\x{482}\x{48a}-\x{52f}\x{2010}-\x{2027}\x{2030}-\x{205e}"
+    r"\x{0}-\x{2ff}\x{400}-\x{482}\x{48a}-\x{52f}\x{2002}-\x{2027}\x{2030}-\x{205e}"
     r"\x{20a0}-\x{20bf}\x{3041}-\x{3096}\x{30a1}-\x{30fa}\x{4e00}-\x{9fff}"
-    r"\x{ac00}-\x{d7a3}\x{1f300}-\x{1faf0}"
+    r"\x{ac00}-\x{d7a3}\x{feff}-\x{feff}\x{1f300}-\x{1faf0}"
 )
 
 

@@ -19,12 +19,21 @@ TokenCounter = Callable[[Column], Column]
 
 def word_count(text: Column) -> Column:
     stripped = py_strip(text)
-    return F.when(stripped == "", 0).otherwise(F.size(F.split(stripped, f"{WS}+")))
+    return F.when(stripped == "", 0).otherwise(words_in_stripped(stripped))
 
 
-def estimate_tokens(text: Column) -> Column:
+def words_in_stripped(text: Column) -> Column:
+    """The count for text that is not empty and has no outer whitespace."""
+    return F.size(F.split(text, f"{WS}+"))
+
+
+def tokens_of_words(words: Column) -> Column:
     """Words times a fixed ratio, rounded down."""
-    return F.floor(word_count(text) * F.lit(C.TOKENS_PER_WORD).cast("double"))
+    return F.floor(words * F.lit(C.TOKENS_PER_WORD).cast("double"))
+
+
+def estimate_tokens(text: Column) -> Column:
+    return tokens_of_words(word_count(text))
 
 
 def estimated(texts: Column) -> Column:

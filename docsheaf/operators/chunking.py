@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 
 from docsheaf import constants as C
 from docsheaf.functions.text import WS, let, py_strip
-from docsheaf.functions.tokens import TokenCounter, count_one, estimated
+from docsheaf.functions.tokens import (
+    TokenCounter,
+    count_one,
+    estimated,
+    tokens_of_words,
+    words_in_stripped,
+)
 from docsheaf.session import computed_once
 
 # unit kinds
@@ -33,25 +39,65 @@ def sentences(paragraph: Column) -> Column:
     return F.split(paragraph, rf"(?<=[.!?]){WS}+")
 
 
-def _units(paras: Column, counts: Column, max_tokens: int) -> Column:
-    """``array<struct<kind,text>>`` from paragraphs and their counts."""
+def _unit(kind, text, tokens=None) -> Column:
+    fields = [kind.alias("kind"), text.alias("text")]
+    return F.struct(*fields, *([] if tokens is None else [tokens.alias("tokens")]))
+
+
+def _sentence_kind(position: Column) -> Column:
+    return F.when(position == 0, FIRST_SENTENCE).otherwise(LATER_SENTENCE)
+
+
+def _estimated_units(paras: Column, max_tokens: int) -> Column:
+    """Units with the estimated count, in one pass over the words.
+
+    A cut between sentences never splits a word, so a paragraph has as many
+    words as its sentences together.
+    """
+
+    def counted(sentence):
+        return F.struct(sentence.alias("text"), words_in_stripped(sentence).alias("words"))
+
+    def expand(paragraph):
+        def choose(parts):
+            words = F.aggregate(parts, F.lit(0), lambda total, s: total + s["words"])
+            return let(tokens_of_words(words), lambda tokens: cut(parts, tokens))
 
-    def unit(kind, text):
-        return F.struct(kind.alias("kind"), text.alias("text"))
+        def cut(parts, tokens):
+            cuts = F.transform(
+                parts,
+                lambda s, j: _unit(_sentence_kind(j), s["text"], tokens_of_words(s["words"])),
+            )
+            whole = F.array(_unit(F.lit(PARAGRAPH), paragraph, tokens))
+            return F.when(tokens > max_tokens, cuts).otherwise(whole)
+
+        return let(F.transform(sentences(paragraph), counted), choose)
+
+    return F.flatten(F.transform(paras, expand))
+
+
+def _units(paras: Column, counts: Column, max_tokens: int) -> Column:
+    """Units without counts, from paragraphs and their counts."""
 
     def expand(pair):
-        whole = F.array(unit(F.lit(PARAGRAPH), pair["text"]))
-        parts = F.transform(
-            sentences(pair["text"]),
-            lambda s, j: unit(F.when(j == 0, FIRST_SENTENCE).otherwise(LATER_SENTENCE), s),
+        whole = F.array(_unit(F.lit(PARAGRAPH), pair["text"]))
+        cuts = F.transform(
+            sentences(pair["text"]), lambda s, j: _unit(_sentence_kind(j), s)
         )
-        return F.when(pair["tokens"] > max_tokens, parts).otherwise(whole)
+        return F.when(pair["tokens"] > max_tokens, cuts).otherwise(whole)
 
     pairs = F.arrays_zip(paras.alias("text"), counts.alias("tokens"))
     return F.flatten(F.transform(pairs, expand))
 
 
-def _starts(units: Column, counts: Column, max_tokens: int) -> Column:
+def _with_counts(units: Column, counts: Column) -> Column:
+    pairs = F.arrays_zip(units.alias("unit"), counts.alias("tokens"))
+    return F.transform(
+        pairs, lambda p: _unit(p["unit"]["kind"], p["unit"]["text"], p["tokens"])
+    )
+
+
+def _starts(units: Column, max_tokens: int) -> Column:
     """Positions of the units that open a chunk.
 
     The fold carries a running sum and appends to ``starts`` only where a chunk
@@ -80,9 +126,7 @@ def _starts(units: Column, counts: Column, max_tokens: int) -> Column:
             .alias("starts"),
         )
 
-    kinds = F.transform(units, lambda u: u["kind"])
-    pairs = F.arrays_zip(kinds.alias("kind"), counts.alias("tokens"))
-    return F.aggregate(pairs, begin, step, lambda state: state["starts"])
+    return F.aggregate(units, begin, step, lambda state: state["starts"])
 
 
 def _join_chunks(units: Column, starts: Column) -> Column:
@@ -108,15 +152,18 @@ def add_chunks(
 ) -> DataFrame:
     """Add ``chunks array<string>``, one element per chunk, in order."""
     keep = df.columns
-    packed = (
-        df.withColumn("_paras", paragraphs(F.col(column)))
-        .withColumn("_counts", counter(F.col("_paras")))
-        .select(*keep, _units(F.col("_paras"), F.col("_counts"), max_tokens).alias("_units"))
-        .withColumn("_counts", counter(F.transform("_units", lambda u: u["text"])))
-        .select(
-            *keep, "_units", _starts(F.col("_units"), F.col("_counts"), max_tokens).alias("_starts")
+    paras = df.withColumn("_paras", paragraphs(F.col(column)))
+    if counter is estimated:
+        units = paras.select(*keep, _estimated_units(F.col("_paras"), max_tokens).alias("_units"))
+    else:
+        units = (
+            paras.withColumn("_counts", counter(F.col("_paras")))
+            .select(*keep, _units(F.col("_paras"), F.col("_counts"), max_tokens).alias("_units"))
+            .withColumn("_counts", counter(F.transform("_units", lambda u: u["text"])))
+            .withColumn("_units", _with_counts(F.col("_units"), F.col("_counts")))
         )
-        .select(*keep, _join_chunks(F.col("_units"), F.col("_starts")).alias("chunks"))
+    packed = units.select(*keep, "_units", _starts(F.col("_units"), max_tokens).alias("_starts")).select(
+        *keep, _join_chunks(F.col("_units"), F.col("_starts")).alias("chunks")
     )
     return computed_once(packed, "chunks")
 

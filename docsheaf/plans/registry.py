@@ -132,7 +132,9 @@ def text_files(spark, sf_dir):
     """Each document written as a file of its own, then scanned."""
     path = workspace(spark, "files")
     docs = inputs.documents(spark, sf_dir)
-    docs.select("raw_text").write.option("maxRecordsPerFile", 1).text(path)
+    writer = docs.select("raw_text").write.option("maxRecordsPerFile", 1)
+    # very many files: let the tasks move them into place, not the driver
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
     found = files.read_text_files(files.scan_files(spark, path))
     return found.select("source_type", F.col("raw_text").alias("text"))
 

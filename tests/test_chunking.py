@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from docsheaf.functions.tokens import encoder_counter
+from docsheaf.functions.tokens import encoder_counter, estimated
 from docsheaf.operators import chunking, numbering
 from docsheaf.session import materialize, workspace
 
@@ -98,7 +98,10 @@ def test_packing_properties(spark):
         docs.append("\n\n".join(paras))
     limit = 20
     count = lambda t: int(len(t.split()) * 1.33)
-    for text, chunks in zip(docs, chunk_texts(spark, docs, limit)):
+    packed = chunk_texts(spark, docs, limit)
+    # the one-pass count and the general path for any counter agree
+    assert packed == chunk_texts(spark, docs, limit, counter=lambda ts: estimated(ts))
+    for text, chunks in zip(docs, packed):
         assert " ".join(chunks).split() == text.split()
         paras = text.split("\n\n")
         long = {p for p in paras if count(p) > limit}
@@ -154,4 +157,5 @@ def test_packing_is_planned_once(spark):
     """No filter on the chunk array is pushed below the packing, and no row carries the array."""
     docs = spark.createDataFrame([(1, "s", "t", "x")], "doc_seq bigint, source string, source_type string, clean_text string")
     plan = chunking.chunk_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("aggregate(") == 1
+    # one fold over the words of a paragraph, one over the units
+    assert plan.count("aggregate(") == 2
