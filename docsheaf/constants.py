@@ -76,6 +76,39 @@ FALLBACK_CONFIDENCE = 0.0
 BANNER_WIDTH = 70
 RULE_WIDTH = 40
 TOP_ENTITIES = 5
+GENERATED_LINE = "  Generated: "
+OVERVIEW_HEADING = "OVERVIEW"
+OVERVIEW_LINES = (
+    ("documents", "  Total documents ingested : "),
+    ("chunks", "  Total chunks processed   : "),
+    ("succeeded", "  Successful extractions   : "),
+    ("failed", "  Failed / skipped chunks  : "),
+)
+SOURCES_HEADING = "SOURCES"
+SOURCE_LINE = ("  • ", "  (", " chunk(s))")
+SENTIMENT_HEADING = "SENTIMENT DISTRIBUTION"
+SENTIMENT_LINES = (
+    ("positive", "  Positive : "),
+    ("neutral", "  Neutral  : "),
+    ("negative", "  Negative : "),
+)
+CONFIDENCE_LINE = "  Average sentiment confidence: "
+ENTITIES_HEADING = "TOP ENTITIES"
+ENTITY_HEADINGS = (
+    ("people", "  People:"),
+    ("places", "  Places:"),
+    ("organizations", "  Organizations:"),
+)
+ENTITY_LINE = ("    - ", " (", "x)")
+NO_ENTITY_LINE = "    (none found)"
+CHUNKS_HEADING = "CHUNK SUMMARIES"
+CHUNK_LINE = ("  [Chunk ", "]  ", "  (part ", ")")
+CHUNK_SENTIMENT_LINE = ("  Sentiment : ", " (conf: ", ")")
+CHUNK_SUMMARY_LINE = "  Summary   : "
+QUESTIONS_LINE, QUESTION_LINE = "  Key Questions:", "    ? "
+FAILED_HEADING = "FAILED / SKIPPED CHUNKS"
+FAILED_LINE = ("  - Source: ", "  Part ", "/")
+CLOSING_LINE = "END OF REPORT"
 
 # The instructions sent with every chunk. The wording is ours; the keys, the
 # label set, the confidence range and the number of questions are fixed.

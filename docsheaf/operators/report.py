@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docsheaf import constants as C
 from docsheaf.functions.numbers import two_decimals, whole_percent
 
-KINDS = (("people", "People"), ("places", "Places"), ("organizations", "Organizations"))
+KINDS = C.ENTITY_HEADINGS
 
 
 # --- aggregations -------------------------------------------------------------------
@@ -125,6 +125,12 @@ def _text(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
+def _fill(words: tuple[str, ...], *values: Column) -> Column:
+    """The words of a line with a value after each; the last words may have none."""
+    parts = [p for pair in zip(words, values) for p in pair]
+    return _text(*parts, *words[len(values) :])
+
+
 def _number(value: Column, width: int = 0) -> Column:
     text = value.cast("string")
     return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit(" "))
@@ -146,19 +152,19 @@ def report_lines(
 ) -> DataFrame:
     """``(section_no, item_no, line_no, line)``; sorted by these it is the report."""
     rule, banner = "-" * C.RULE_WIDTH, "=" * C.BANNER_WIDTH
-    opening = [banner, f"  {title}", f"  Generated: {generated_at}", banner, ""]
+    opening = [banner, f"  {title}", f"{C.GENERATED_LINE}{generated_at}", banner, ""]
     headings = {
-        SECTION_OVERVIEW: ["OVERVIEW", rule],
-        SECTION_SOURCES: ["SOURCES", rule],
-        SECTION_SENTIMENT: ["SENTIMENT DISTRIBUTION", rule],
-        SECTION_ENTITIES: ["TOP ENTITIES", rule],
-        SECTION_CHUNKS: ["CHUNK SUMMARIES", rule],
+        SECTION_OVERVIEW: [C.OVERVIEW_HEADING, rule],
+        SECTION_SOURCES: [C.SOURCES_HEADING, rule],
+        SECTION_SENTIMENT: [C.SENTIMENT_HEADING, rule],
+        SECTION_ENTITIES: [C.ENTITIES_HEADING, rule],
+        SECTION_CHUNKS: [C.CHUNKS_HEADING, rule],
     }
     fixed = [(0, 0, i, line) for i, line in enumerate(opening)]
     for section, lines in headings.items():
         fixed += [(section, -1, i, line) for i, line in enumerate(lines)]
         fixed += [(section, LAST_ITEM, 0, "")]
-    fixed += [(SECTION_END, 0, i, s) for i, s in enumerate([banner, "END OF REPORT", banner])]
+    fixed += [(SECTION_END, 0, i, s) for i, s in enumerate([banner, C.CLOSING_LINE, banner])]
 
     sections = [
         _fixed_lines(results.sparkSession, fixed),
@@ -176,17 +182,12 @@ def report_lines(
 
 
 def _overview_lines(documents, results, failures) -> DataFrame:
-    lines = F.array(
-        _text("  Total documents ingested : ", _number(F.col("documents"))),
-        _text("  Total chunks processed   : ", _number(F.col("chunks"))),
-        _text("  Successful extractions   : ", _number(F.col("succeeded"))),
-        _text("  Failed / skipped chunks  : ", _number(F.col("failed"))),
-    )
+    lines = F.array(*[_text(words, _number(F.col(name))) for name, words in C.OVERVIEW_LINES])
     return _lines(overview(documents, results, failures), SECTION_OVERVIEW, F.lit(0), lines)
 
 
 def _source_lines(results) -> DataFrame:
-    line = _text("  • ", F.col("source"), "  (", _number(F.col("chunks")), " chunk(s))")
+    line = _fill(C.SOURCE_LINE, F.col("source"), _number(F.col("chunks")))
     return _lines(
         chunks_per_source(results), SECTION_SOURCES, F.col("first_chunk"), F.array(line)
     )
@@ -195,14 +196,12 @@ def _source_lines(results) -> DataFrame:
 def _sentiment_lines(results) -> DataFrame:
     total = F.greatest("total", F.lit(1)).cast("double")
 
-    def line(name):
+    def line(name, words):
         percent = (F.col(name) * 100).cast("double") / total
-        return _text(
-            f"  {name.capitalize():<8} : ", _number(F.col(name), 3), "  (", whole_percent(percent), ")"
-        )
+        return _text(words, _number(F.col(name), 3), "  (", whole_percent(percent), ")")
 
-    mean = _text("  Average sentiment confidence: ", two_decimals(F.col("mean_confidence")))
-    lines = F.array(*[line(n) for n in C.LABELS], F.lit(""), mean)
+    mean = _text(C.CONFIDENCE_LINE, two_decimals(F.col("mean_confidence")))
+    lines = F.array(*[line(*entry) for entry in C.SENTIMENT_LINES], F.lit(""), mean)
     return _lines(sentiment_summary(results), SECTION_SENTIMENT, F.lit(0), lines)
 
 
@@ -210,14 +209,14 @@ def _entity_lines(results) -> DataFrame:
     """A heading per kind, then its names or a remark that there are none."""
     headings = _fixed_lines(
         results.sparkSession,
-        [(SECTION_ENTITIES, k, 0, f"  {title}:") for k, (_, title) in enumerate(KINDS)],
+        [(SECTION_ENTITIES, k, 0, heading) for k, (_, heading) in enumerate(KINDS)],
     )
     # at most n rows per kind reach this point
     top = top_entities(results).select(
         F.lit(SECTION_ENTITIES).alias("section_no"),
         F.col("kind_no").cast("bigint").alias("item_no"),
         F.col("rank").alias("line_no"),
-        _text("    - ", F.col("name"), " (", _number(F.col("mentions")), "x)").alias("line"),
+        _fill(C.ENTITY_LINE, F.col("name"), _number(F.col("mentions"))).alias("line"),
     )
     kinds = [
         F.struct(F.lit(k).alias("kind_no"), F.count_if(F.size(f"entities.{kind}") > 0).alias("n"))
@@ -225,7 +224,7 @@ def _entity_lines(results) -> DataFrame:
     ]
     missing = results.agg(F.array(*kinds).alias("kinds")).select(F.inline("kinds")).filter("n = 0")
     none = _lines(
-        missing, SECTION_ENTITIES, F.col("kind_no"), F.array(F.lit("    (none found)"))
+        missing, SECTION_ENTITIES, F.col("kind_no"), F.array(F.lit(C.NO_ENTITY_LINE))
     ).withColumn("line_no", F.lit(1))
     return headings.unionByName(top).unionByName(none)
 
@@ -233,34 +232,34 @@ def _entity_lines(results) -> DataFrame:
 def _chunk_lines(results) -> DataFrame:
     head = [
         F.lit(""),
-        _text(
-            "  [Chunk ", _number(F.col("chunk_id")), "]  ", F.col("source"),
-            "  (part ", _number(F.col("chunk_index") + 1), ")",
+        _fill(
+            C.CHUNK_LINE, _number(F.col("chunk_id")), F.col("source"),
+            _number(F.col("chunk_index") + 1),
         ),
-        _text(
-            "  Sentiment : ", F.col("sentiment.label"), " (conf: ",
-            two_decimals(F.col("sentiment.confidence")), ")",
+        _fill(
+            C.CHUNK_SENTIMENT_LINE, F.col("sentiment.label"),
+            two_decimals(F.col("sentiment.confidence")),
         ),
-        _text("  Summary   : ", F.col("summary")),
+        _text(C.CHUNK_SUMMARY_LINE, F.col("summary")),
     ]
-    questions = F.transform("key_questions", lambda q: _text("    ? ", q))
+    questions = F.transform("key_questions", lambda q: _text(C.QUESTION_LINE, q))
     listed = F.when(
-        F.size("key_questions") > 0, F.concat(F.array(F.lit("  Key Questions:")), questions)
+        F.size("key_questions") > 0, F.concat(F.array(F.lit(C.QUESTIONS_LINE)), questions)
     ).otherwise(questions)
     return _lines(results, SECTION_CHUNKS, F.col("chunk_id"), F.concat(F.array(*head), listed))
 
 
 def _failure_lines(failures, rule) -> DataFrame:
     """The listing, its heading and closing line; nothing if no chunk failed."""
-    line = _text(
-        "  - Source: ", F.col("source"), "  Part ", _number(F.col("chunk_index") + 1),
-        "/", _number(F.col("total_chunks")),
+    line = _fill(
+        C.FAILED_LINE, F.col("source"), _number(F.col("chunk_index") + 1),
+        _number(F.col("total_chunks")),
     )
     rows = _lines(failures, SECTION_FAILED, F.col("chunk_id"), F.array(line))
     any_failed = failures.agg(F.count("*").alias("n")).filter("n > 0")
     head = _lines(
         any_failed, SECTION_FAILED, F.lit(-1),
-        F.array(F.lit("FAILED / SKIPPED CHUNKS"), F.lit(rule)),
+        F.array(F.lit(C.FAILED_HEADING), F.lit(rule)),
     )
     tail = _lines(any_failed, SECTION_FAILED, F.lit(LAST_ITEM), F.array(F.lit("")))
     return head.unionByName(rows).unionByName(tail)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsheaf import constants as C
+from docsheaf import schemas
 from docsheaf.functions.replies import parse_replies
 from docsheaf.functions.tokens import TokenCounter, estimated
 from docsheaf.operators import calls as X
@@ -113,6 +114,7 @@ def run_extraction(
     and only chunks without a recorded call are sent.
     """
     spark = configure(documents.sparkSession)
+    documents = schemas.conform(documents, schemas.DOCUMENTS)
     chunks = _stage(
         spark, f"{folder}/chunks",
         lambda: chunk_stage(documents, max_tokens, counter, waves),

@@ -445,3 +445,7 @@ ORACLES = {
     "extraction_failures": f"""{_RUN} SELECT chunk_id, doc_seq, source, source_type, chunk_index,
         total_chunks, text, 'bad request' AS reason FROM numbered WHERE size % 17 = 0""",
 }
+
+ORACLES["all_rejects"] = " UNION ALL ".join(
+    f"({ORACLES[name]})" for name in ("file_rejects", "page_rejects", "capture_rejects")
+)

@@ -24,7 +24,7 @@ from docsheaf.plans.extraction import run_extraction
 from docsheaf.session import configure, materialize, spread, workspace
 from docsheaf.sources import captures as web
 from docsheaf.sources import files, page_texts, sinks
-from docsheaf.sources.union import union_sources
+from docsheaf.sources.union import union_rejects, union_sources
 
 GENERATED_AT = "2024-01-01 00:00:00"
 
@@ -162,6 +162,13 @@ def capture_rejects(spark, sf_dir):
     return web.blank_captures(inputs.captures(spark, sf_dir))
 
 
+def all_rejects(spark, sf_dir):
+    """Every skipped input of the file, page and web sources in one table."""
+    return union_rejects(
+        file_rejects(spark, sf_dir), page_rejects(spark, sf_dir), capture_rejects(spark, sf_dir)
+    )
+
+
 def union_sources_query(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
     pages = web.read_captures(inputs.captures(spark, sf_dir), "page_id")
@@ -365,6 +372,7 @@ QUERIES = {
     "html_main_text": html_main_text,
     "page_chunks": page_chunks,
     "capture_rejects": capture_rejects,
+    "all_rejects": all_rejects,
     "union_sources": union_sources_query,
     "requests_openai": _requests("openai"),
     "requests_gemini": _requests("gemini"),

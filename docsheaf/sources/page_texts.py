@@ -1,6 +1,6 @@
 """Documents assembled from their pages."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsheaf.functions.text import is_blank
@@ -8,7 +8,7 @@ from docsheaf.functions.text import is_blank
 PAGES_PER_BLOCK = 256
 
 
-def _in_order(rows) -> F.Column:
+def _in_order(rows: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(rows), lambda r: r["text"]), "\n")
 
 

@@ -29,6 +29,11 @@ def union_sources(*sources: tuple[DataFrame, str]) -> DataFrame:
     return schemas.conform(reduce(DataFrame.unionByName, parts), schemas.DOCUMENTS)
 
 
+def union_rejects(*rejects: DataFrame) -> DataFrame:
+    """One table of the inputs that were skipped and why."""
+    return reduce(DataFrame.unionByName, [schemas.conform(r, schemas.REJECTS) for r in rejects])
+
+
 def number_by(df: DataFrame, key: str, into: str = "position") -> DataFrame:
     """Number rows in the order of a unique key, such as a file path.
 
