@@ -105,7 +105,13 @@ def drop_boilerplate(text: Column, patterns=C.BOILERPLATE_PATTERNS) -> Column:
 
 
 def collapse_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, r"\n{3,}", "\n\n")
+    # a byte search spares most texts the regex, which decodes and encodes them
+    return let(
+        text,
+        lambda t: F.when(
+            F.contains(t, F.lit("\n\n\n")), F.regexp_replace(t, r"\n{3,}", "\n\n")
+        ).otherwise(t),
+    )
 
 
 def trim_lines(text: Column) -> Column:
