@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsheaf import schemas
+from docsheaf.session import materialize, workspace
 
 # room for 2**40 documents per source, in order
 POSITION_BITS = 40
@@ -37,10 +38,8 @@ def union_rejects(*rejects: DataFrame) -> DataFrame:
 def number_by(df: DataFrame, key: str, into: str = "position") -> DataFrame:
     """Number rows in the order of a unique key, such as a file path.
 
-    Sorts the keys alone. The numbers are checkpointed, as another run of the
-    sort could cut its ranges elsewhere, and joined back by key.
+    Sorts the keys alone. The numbers are written before they are joined back
+    by key, as another run of the sort could cut its ranges elsewhere.
     """
-    numbered = (
-        df.select(key).orderBy(key).withColumn(into, F.monotonically_increasing_id()).checkpoint()
-    )
-    return df.join(numbered, key)
+    numbered = df.select(key).orderBy(key).withColumn(into, F.monotonically_increasing_id())
+    return df.join(materialize(numbered, workspace(df.sparkSession, "numbers")), key)
