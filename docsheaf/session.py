@@ -17,13 +17,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder for tables written between stages.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. Only where
-    that is unset, as in tests on one machine, a local folder is used.
+    It lies in the shared folder named by ``spark.checkpoint.dir``. Where that is
+    unset, a session on one machine gets a local folder; on a cluster each
+    executor would write to its own disk, so the setting is required there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         root = spark.sparkContext.getCheckpointDir()
     if root is None:
+        if not spark.sparkContext._jsc.sc().isLocal():
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="docsheaf-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
