@@ -47,7 +47,7 @@ def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndar
 
 def string_bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string array without nulls, end to end, and their offsets."""
-    wide = isinstance(words.type, pa.LargeStringType)
+    wide = pa.types.is_large_string(words.type)
     _, offsets, data = words.buffers()
     at = np.frombuffer(offsets, np.int64 if wide else np.int32)
     at = at[words.offset : words.offset + len(words) + 1].astype(np.int64)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsheaf.llm import exact_dedup, pii
+from docsheaf.llm import exact_dedup, pii, simhash
 from docsheaf.llm.common import read_table
 
 
@@ -14,9 +14,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_simhash": op7_simhash,
 }
 
 ORACLES = {
