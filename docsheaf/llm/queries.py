@@ -2,10 +2,22 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsheaf.llm import exact_dedup, pii, simhash
+from docsheaf.llm import exact_dedup, pii, simhash, token_store
 from docsheaf.llm.common import read_table
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the installed vocabulary files lie; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return token_store.store_digest(docs, tokenizer_file("word_bpe_49k.json"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(read_table(spark, sf_dir, "documents")))
 
@@ -19,6 +31,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_token_store": op4_token_store,
     "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
