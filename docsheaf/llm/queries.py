@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsheaf.llm import exact_dedup, pii, simhash, token_store
+from docsheaf.llm import credentials, exact_dedup, pii, simhash, token_store
 from docsheaf.llm.common import read_table
 
 
@@ -13,6 +13,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.digest(credentials.find_secrets(read_table(spark, sf_dir, "documents")))
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return token_store.store_digest(docs, tokenizer_file("word_bpe_49k.json"))
@@ -31,6 +35,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_secrets": op3_secrets,
     "op4_token_store": op4_token_store,
     "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
