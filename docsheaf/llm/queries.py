@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsheaf.llm import credentials, exact_dedup, pii, simhash, token_store
+from docsheaf.llm import credentials, exact_dedup, line_quality, pii, simhash, token_store
 from docsheaf.llm.common import read_table
 
 
@@ -34,12 +34,19 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(read_table(spark, sf_dir, "documents")))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    chain = line_quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return line_quality.digest(line_quality.judged(docs.select("doc_id", "text"), chain))
+
+
 QUERIES = {
     "op3_secrets": op3_secrets,
     "op4_token_store": op4_token_store,
     "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
+    "op8_quality": op8_quality,
 }
 
 ORACLES = {
