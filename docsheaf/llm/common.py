@@ -61,13 +61,13 @@ def per_text(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return total[starts[1:]] - total[starts[:-1]]
 
 
-def batches(function, columns: list[str]):
-    """For mapInArrow: apply ``function`` to every batch with rows, one table at a time."""
+def batches(function, columns: list[str], rows: int = 2048):
+    """For mapInArrow: apply ``function`` to every batch, ``rows`` rows at a time, which bounds its memory."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            if part.num_rows:
-                yield from pa.table(function(part), names=columns).to_batches()
+            for at in range(0, part.num_rows, rows):
+                yield from pa.table(function(part.slice(at, rows)), names=columns).to_batches()
 
     return run
 

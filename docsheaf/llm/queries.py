@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsheaf.llm import credentials, exact_dedup, line_quality, pii, simhash, token_store
+from docsheaf.llm import credentials, exact_dedup, line_quality, line_runs, pii, simhash, token_store
 from docsheaf.llm.common import read_table
 
 
@@ -40,6 +40,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.digest(line_quality.judged(docs.select("doc_id", "text"), chain))
 
 
+def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_runs.digest(line_runs.without_repeated_runs(docs))
+
+
 QUERIES = {
     "op3_secrets": op3_secrets,
     "op4_token_store": op4_token_store,
@@ -47,6 +52,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
+    "op10_line_runs": op10_line_runs,
 }
 
 ORACLES = {
