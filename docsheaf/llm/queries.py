@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsheaf.llm import credentials, exact_dedup, line_quality, line_runs, pii, simhash, token_store
+from docsheaf.llm import credentials, exact_dedup, line_quality, line_runs, mixing, pii, simhash, token_store
 from docsheaf.llm.common import read_table
 
 
@@ -13,6 +13,12 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    keyed = mixing.mixed(docs)
+    return mixing.digest(keyed)
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.digest(credentials.find_secrets(read_table(spark, sf_dir, "documents")))
 
@@ -46,6 +52,7 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
     "op4_token_store": op4_token_store,
     "op5_pii": op5_pii,
