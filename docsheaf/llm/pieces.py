@@ -3,15 +3,19 @@
 A batch's normalised text falls into stretches that no piece crosses. The new
 ones are laid end to end and indexed by a suffix array; every piece of the
 vocabulary is looked up in it by binary search, which gives the range of its
-occurrences. Each occurrence is an edge from its first to its last character.
-Sorted by position, the edges are relaxed from left to right: the tokenisation
-of every prefix has one last piece, so an edge is taken if its piece can follow
-the last piece before it, and no other edge to the same place can.
-
-The model merges pairs of pieces, best score first, leftmost of equals. Two
-pieces can be neighbours if merging the characters of both, on their own, gives
-just these two; this is remembered for each pair. Characters without a piece
-become the pieces of their bytes.
+occurrences. Each occurrence is an edge from its first to its last character,
+and the edges are laid out by position.
+
+The model merges pairs of pieces, best score first, leftmost of equals, so it
+has no cheapest path; the edges are relaxed in the order of its merges. In each
+round every stretch takes the best edge that joins two of its neighbours, all
+stretches at once. Long stretches would need too many rounds. There the edges
+are relaxed from left to right: the tokenisation of every prefix has one last
+piece, so an edge is taken if its piece can follow the last piece before it,
+and no other edge to the same place can. Two pieces can be neighbours if
+merging the characters of both, on their own, gives just these two; this is
+remembered for each pair. Characters without a piece become the pieces of
+their bytes.
 
 Decoding joins the pieces, reads bytes as UTF-8 and drops the space that
 encoding puts first.
@@ -35,7 +39,10 @@ from docsheaf.llm.token_store import in_worker
 
 SPACE = "▁"
 #: Stretches whose ids a Python worker remembers at most.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+#: Characters of a stretch up to which it is merged in rounds, and of all stretches at a time.
+SHORT = 48
+AT_ONCE = 200_000
 
 
 class Vocabulary:
@@ -59,12 +66,17 @@ class Vocabulary:
         self.byte_of = {i: value for value, i in self.byte_ids.items()}
         self.control = {i for i in range(self.size) if model.is_control(i)}
         self.together: dict[tuple[str, str], bool] = {}
-        longer = [p for p in self.ids if len(p) > 1]
-        #: Characters that no longer piece holds part a text.
-        self.joined = set("".join(longer))
-        if any(SPACE in p.lstrip(SPACE) for p in longer):
+        #: No piece crosses two characters that are not neighbours in any piece.
+        self.neighbours = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        if any(pair[1] == SPACE and pair[0] != SPACE for pair in self.neighbours):
             raise ValueError("pieces with a space after other characters are not supported")
-        self.stretches = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
+        self.words = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
+
+    def stretches(self, word: str) -> list[str]:
+        """A word cut wherever no piece can cross."""
+        near = self.neighbours
+        cuts = [0, *[k for k in range(1, len(word)) if word[k - 1 : k + 1] not in near], len(word)]
+        return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text, by merging the best pair again and again."""
@@ -114,6 +126,12 @@ class Encoder:
         # no UTF-8 text has this byte: it ends the range of a piece's occurrences
         self.high = np.array([b.ljust(self.width, b"\xff") for b, _ in pieces], f"S{self.width}")
         self.sizes = np.array([len(b) for b, _ in pieces])
+        self.lengths = np.array([len(p) for p in self.pieces])
+        self.piece_ids = np.array([self.vocabulary.ids[p] for p in self.pieces], "<i4")
+        # equal scores are equally good, and then the leftmost pair is merged
+        scores = np.array([self.vocabulary.scores[i] for i in self.piece_ids])
+        _, self.rank = np.unique(-scores, return_inverse=True)
+        self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
     def edges(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
@@ -136,8 +154,56 @@ class Encoder:
         order = np.lexsort((begin, end))
         return begin[order], end[order], piece[order], joined
 
+    def byte_pieces(self, character: str) -> list[int]:
+        table = self.vocabulary.byte_ids
+        return [table[b] for b in character.encode()] if table else [self.vocabulary.unknown]
+
+    def merge(self, stretches: list[str]) -> None:
+        """Find the pieces of short stretches, in rounds."""
+        begin, end, piece, joined = self.edges(stretches)
+        raw = np.frombuffer(joined, np.uint8)
+        # characters are numbered, and each separator counts as one
+        number = np.cumsum(raw & 0xC0 != 0x80) - 1
+        edge = np.full((number[-1] + 2, int(self.lengths.max()) + 1), -1, np.int32)
+        edge[number[begin], self.lengths[piece]] = piece
+        size = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        owner = np.repeat(np.arange(len(size)), size)
+        first = np.arange(len(owner)) + owner
+        last = first + 1
+        none = len(self.rank)
+        done = []
+        while len(owner):
+            span = last[1:] - first[:-1]
+            fits = (owner[1:] == owner[:-1]) & (span < edge.shape[1])
+            joins = np.where(fits, edge[first[:-1], np.where(fits, span, 0)], -1)
+            rank = np.append(np.where(joins >= 0, self.rank[joins], none), none)
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            best = np.repeat(np.minimum.reduceat(rank, starts), np.diff(starts, append=len(owner)))
+            over = best == none
+            done.append((owner[over], first[over], last[over]))
+            at = np.flatnonzero((rank == best) & ~over)
+            at = at[np.diff(owner[at], prepend=-1) > 0]
+            last[at] = last[at + 1]
+            keep = ~over
+            keep[at + 1] = False
+            owner, first, last = owner[keep], first[keep], last[keep]
+        owner, first, last = (np.concatenate(part) for part in zip(*done, strict=True))
+        order = np.argsort(first, kind="stable")
+        owner, found = owner[order], edge[first[order], (last - first)[order]]
+        ids = np.where(found >= 0, self.piece_ids[found], -1).astype("<i4")
+        bounds = np.searchsorted(owner, np.arange(len(stretches) + 1)) * 4
+        every, bare = ids.tobytes(), set(owner[found < 0].tolist())
+        for k, (stretch, a, b) in enumerate(zip(stretches, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+            self.known[stretch] = every[a:b]
+            if k in bare:
+                at, own = int(bounds[k]) // 4, []
+                place = int(first[order[at]])
+                for i, f, t in zip(ids[at : b // 4].tolist(), first[order[at : b // 4]], last[order[at : b // 4]], strict=True):
+                    own += [i] if i >= 0 else self.byte_pieces(stretch[f - place : t - place])
+                self.known[stretch] = np.array(own, "<i4").tobytes()
+
     def relax(self, stretches: list[str]) -> None:
-        """Find the pieces of stretches not seen before."""
+        """Find the pieces of stretches of any length, from left to right."""
         vocabulary, follow = self.vocabulary, self.vocabulary.can_follow
         begin, end, piece, joined = self.edges(stretches)
         begin, end, piece, pieces = begin.tolist(), end.tolist(), piece.tolist(), self.pieces
@@ -167,27 +233,38 @@ class Encoder:
             while place > at:
                 own, start = last[place]
                 i = vocabulary.ids.get(own)
-                if i is not None:
-                    ids.append(i)
-                elif vocabulary.byte_ids:
-                    ids.extend(vocabulary.byte_ids[b] for b in reversed(own.encode()))
-                else:
-                    ids.append(vocabulary.unknown)
+                ids.extend([i] if i is not None else self.byte_pieces(own)[::-1])
                 place = start
             self.known[stretch] = np.array(ids[::-1], "<i4").tobytes()
             at = stop + 1
 
+    def learn(self, stretches: list[str]) -> None:
+        """Find the pieces of stretches not seen before, a bounded number of characters at a time."""
+        part, size = [], 0
+        for stretch in stretches:
+            if len(stretch) > SHORT:
+                self.relax([stretch])
+                continue
+            part.append(stretch)
+            size += len(stretch)
+            if size >= AT_ONCE:
+                self.merge(part)
+                part, size = [], 0
+        if part:
+            self.merge(part)
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
             self.known.clear()
-        parts = [
-            self.vocabulary.stretches(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts
-        ]
-        new = [s for s in dict.fromkeys(s for own in parts for s in own) if s not in self.known]
-        if new:
-            self.relax(new)
-        known = self.known
-        return [b"".join([known[s] for s in own]) for own in parts]
+        cut = self.vocabulary.words
+        parts = [cut(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
+        words, known = self.words, self.known
+        new = {w: self.vocabulary.stretches(w) for w in dict.fromkeys(w for own in parts for w in own) if w not in words}
+        self.learn([s for s in dict.fromkeys(s for own in new.values() for s in own) if s not in known])
+        for word, own in new.items():
+            words[word] = b"".join([known[s] for s in own])
+        return [b"".join([words[w] for w in own]) for own in parts]
 
 
 class Decoder:
@@ -243,3 +320,26 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(
         batches(partial(_decode, path), ["doc_id", "text"], rows=1024), f"doc_id {kind}, text string"
     )
+
+
+def _both(path: str, part: pa.RecordBatch):
+    encoded = _encode(path, part)
+    decoder = in_worker("unpieces:" + path, lambda: Decoder(path))
+    texts, ids = part.column("text").to_pylist(), encoded[1]
+    values, at = ids.values.to_numpy(), ids.offsets.to_pylist()
+    # the piece sign itself stands for a space
+    same = [
+        decoder(values[a:b].tolist()) == text.replace(SPACE, " ")
+        for text, a, b in zip(texts, at[:-1], at[1:], strict=True)
+    ]
+    return [*encoded, pa.array(same, pa.bool_())]
+
+
+def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
+    """``(doc_id, ids, n_pieces, decoded_equal)``: the ids, and whether they decode to the text."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(
+        batches(partial(_both, path), ["doc_id", "ids", "n_pieces", "decoded_equal"], rows=1024),
+        f"doc_id {kind}, ids array<int>, n_pieces bigint, decoded_equal boolean",
+    )

@@ -2,27 +2,10 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsheaf.llm import credentials, exact_dedup, line_quality, line_runs, mixing, pii, simhash, token_store
+from docsheaf.llm import credentials, exact_dedup, line_quality, line_runs, mixing, pieces, pii, simhash, token_store
 from docsheaf.llm.common import read_table
 
 
-def tokenizer_file(name: str) -> str:
-    """Where the installed vocabulary files lie; operators take any path."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
-def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    keyed = mixing.mixed(docs)
-    return mixing.digest(keyed)
-
-
-def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return credentials.digest(credentials.find_secrets(read_table(spark, sf_dir, "documents")))
-
-
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return token_store.store_digest(docs, tokenizer_file("word_bpe_49k.json"))
@@ -52,6 +35,7 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pieces": op1_pieces,
     "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
     "op4_token_store": op4_token_store,
