@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsheaf.llm import credentials, exact_dedup, line_quality, line_runs, mixing, pieces, pii, simhash, token_store
+from docsheaf.llm import credentials, exact_dedup, line_quality, line_runs, mixing, ngram_model, pieces, pii, simhash, token_store
 from docsheaf.llm.common import read_table
 
 
@@ -29,6 +29,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.digest(line_quality.judged(docs.select("doc_id", "text"), chain))
 
 
+def op9_ngram_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_model.scores(read_table(spark, sf_dir, "documents"))
+
+
 def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_runs.digest(line_runs.without_repeated_runs(docs))
@@ -43,6 +47,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
+    "op9_ngram_model": op9_ngram_model,
     "op10_line_runs": op10_line_runs,
 }
 
