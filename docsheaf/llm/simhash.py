@@ -88,7 +88,7 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
         return [part.column("doc_id"), bits.view(np.int64)]
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(batches(function, ["doc_id", "fp"]), "doc_id bigint, fp bigint")
+    return rows.mapInArrow(batches(function, ["doc_id", "fp"], rows=512), "doc_id bigint, fp bigint")
 
 
 def _remainder(word: int) -> int:
