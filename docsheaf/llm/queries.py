@@ -2,10 +2,33 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsheaf.llm import credentials, exact_dedup, line_quality, line_runs, mixing, ngram_model, pieces, pii, simhash, token_store
+from docsheaf.llm import (
+    credentials, exact_dedup, line_quality, line_runs, mixing, ngram_model, pieces, pii, simhash, token_store,
+)
 from docsheaf.llm.common import read_table
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the installed vocabulary files lie; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return pieces.encode_and_decode(docs, tokenizer_file("piece_bpe_32k.model"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.digest(mixing.mixed(docs))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.digest(credentials.find_secrets(read_table(spark, sf_dir, "documents")))
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return token_store.store_digest(docs, tokenizer_file("word_bpe_49k.json"))
