@@ -27,6 +27,7 @@ from docsheaf.session import computed_once
 
 # unit kinds
 PARAGRAPH, FIRST_SENTENCE, LATER_SENTENCE = 0, 1, 2
+UNITS_PER_BLOCK = 256
 
 
 def paragraphs(text: Column) -> Column:
@@ -100,8 +101,9 @@ def _with_counts(units: Column, counts: Column) -> Column:
 def _starts(units: Column, max_tokens: int) -> Column:
     """Positions of the units that open a chunk.
 
-    The fold carries a running sum and appends to ``starts`` only where a chunk
-    opens, so its cost grows with the units, not with their square.
+    Appending copies a list, so one list of all positions would cost the square
+    of a document's chunks. The units are folded in blocks: each has a short
+    list of its own, and only whole blocks are appended to the list of lists.
     """
     begin = F.struct(
         F.lit(0).alias("n"),
@@ -109,6 +111,7 @@ def _starts(units: Column, max_tokens: int) -> Column:
         F.lit(LATER_SENTENCE).alias("kind"),
         F.array().cast("array<int>").alias("starts"),
     )
+    no_blocks = F.array().cast("array<array<int>>").alias("blocks")
 
     def step(state, unit):
         opens = (
@@ -126,7 +129,32 @@ def _starts(units: Column, max_tokens: int) -> Column:
             .alias("starts"),
         )
 
-    return F.aggregate(units, begin, step, lambda state: state["starts"])
+    def fold_block(whole, block):
+        opened = F.struct(
+            whole["state"]["n"].alias("n"),
+            whole["state"]["sum"].alias("sum"),
+            whole["state"]["kind"].alias("kind"),
+            F.array().cast("array<int>").alias("starts"),
+        )
+        return let(
+            F.aggregate(block, opened, step),
+            lambda state: F.struct(
+                state.alias("state"),
+                F.concat(whole["blocks"], F.array(state["starts"])).alias("blocks"),
+            ),
+        )
+
+    def blocks(every):
+        last = F.floor(F.greatest(F.size(every) - 1, F.lit(0)) / UNITS_PER_BLOCK).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), last),
+            lambda b: F.slice(every, b * UNITS_PER_BLOCK + 1, F.lit(UNITS_PER_BLOCK)),
+        )
+
+    start = F.struct(begin.alias("state"), no_blocks)
+    return F.aggregate(
+        let(units, blocks), start, fold_block, lambda whole: F.flatten(whole["blocks"])
+    )
 
 
 def _join_chunks(units: Column, starts: Column) -> Column:

@@ -10,6 +10,8 @@ whatever the data. Only (key, count) pairs move, never text.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docsheaf.session import materialize, workspace
+
 BLOCK_BITS = 21
 KEY_BITS = 63
 
@@ -49,3 +51,27 @@ def number_chunks(rows: DataFrame, offsets: DataFrame) -> DataFrame:
     return rows.join(offsets, "doc_seq").withColumn(
         "chunk_id", F.col("before") + F.col("chunk_index") + 1
     ).drop("before")
+
+
+def dense_numbers(df: DataFrame, order: list[str], into: str, partitions: int | None = None) -> DataFrame:
+    """Number the rows 0, 1, 2, ... in the order of ``order``; equal rows in any order.
+
+    Rows are dealt by sampled ranges and sorted. Each partition counts its rows,
+    and the counts of those before it give its first number: a row for each
+    partition comes to the driver, never the data. The rows are written first,
+    as another run of the sort could cut its ranges elsewhere.
+    """
+    spark = df.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    # within a partition these ids count up from a multiple of 2**33
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    local = dealt.withColumns({"_part": F.spark_partition_id(), "_row": row})
+    local = materialize(local, workspace(spark, "numbered"))
+    before, rows = 0, []
+    for part, n in sorted(map(tuple, local.groupBy("_part").count().collect())):
+        rows.append((part, before))
+        before += n
+    offsets = spark.createDataFrame(rows, "_part int, _before bigint")
+    joined = local.join(F.broadcast(offsets), "_part")
+    return joined.select(*df.columns, (F.col("_before") + F.col("_row")).alias(into))

@@ -157,5 +157,5 @@ def test_packing_is_planned_once(spark):
     """No filter on the chunk array is pushed below the packing, and no row carries the array."""
     docs = spark.createDataFrame([(1, "s", "t", "x")], "doc_seq bigint, source string, source_type string, clean_text string")
     plan = chunking.chunk_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
-    # one fold over the words of a paragraph, one over the units
-    assert plan.count("aggregate(") == 2
+    # one fold over the words of a paragraph, one over blocks of units, one over the units of a block
+    assert plan.count("aggregate(") == 3
