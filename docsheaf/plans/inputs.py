@@ -60,6 +60,32 @@ def dirty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.withColumn("raw_text", dirty(F.col("doc_seq"), F.col("raw_text")))
 
 
+def blanked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents; some have only white space and lines that cleaning drops."""
+    docs = documents(spark, sf_dir)
+    blank = F.pmod("doc_seq", F.lit(13)) == 4
+    return docs.withColumn("raw_text", F.when(blank, " \n\n\t\nAccept all cookies\n").otherwise(F.col("raw_text")))
+
+
+def named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as named contents: hidden, underscored, in folders, or empty."""
+    prefix = F.element_at(F.array(*map(F.lit, ["", "_", ".", "sub/_x/"])), F.pmod("doc_seq", F.lit(4)).cast("int") + 1)
+    content = F.when(F.pmod("doc_seq", F.lit(9)) != 0, F.encode("raw_text", "UTF-8"))
+    return documents(spark, sf_dir).select(
+        F.concat(prefix, F.col("doc_seq"), F.lit(".txt")).alias("source"), content.alias("content")
+    )
+
+
+def fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as a log of fetches; some failed."""
+    failed = F.pmod("page_id", F.lit(11)) == 5
+    return table(spark, sf_dir, "pages").select(
+        F.col("url").alias("source"),
+        F.when(failed, "failed").otherwise("success").alias("status"),
+        F.when(failed, F.concat(F.lit("status "), F.length("html"))).alias("error"),
+    )
+
+
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as captures; some are not HTML, have no type, or are blank."""
     pages = spread(table(spark, sf_dir, "pages"), "page_id")

@@ -389,7 +389,19 @@ ORACLES = {
     "file_routes": f"WITH {_FILES} SELECT doc_seq, path AS source, kind AS source_type FROM files",
     "file_rejects": f"""WITH {_FILES} SELECT path AS source, 'ingest' AS stage,
         'unsupported file type ''' || ext || '''' AS reason FROM files WHERE kind IS NULL""",
-    "text_files": "SELECT 'file_txt' AS source_type, text || chr(10) AS text FROM documents",
+    "text_files": """SELECT ['', '_', '.', 'sub/_x/'][doc_id % 4 + 1] || doc_id || '.txt' AS path,
+        'file_txt' AS source_type, CASE WHEN doc_id % 9 = 0 THEN '' ELSE text END AS text FROM documents""",
+    "number_files": f"""WITH {_FILES} SELECT row_number() OVER (ORDER BY path) - 1 AS doc_seq, path AS source,
+        'file_txt' AS source_type FROM files
+        UNION ALL SELECT {2**40} + page_id, url, 'url' FROM pages""",
+    "missing_rejects": f"""WITH {_FILES} SELECT path AS source, 'ingest' AS stage, 'file not found' AS reason
+        FROM files WHERE doc_seq % 7 = 3""",
+    "pdf_rejects": f"""WITH {_FILES} SELECT path AS source, 'ingest' AS stage, 'no page texts' AS reason
+        FROM files WHERE doc_seq % 6 = 2 AND doc_seq % 4 <> 0""",
+    "fetch_rejects": """SELECT url AS source, 'fetch' AS stage, 'status ' || length(html) AS reason
+        FROM pages WHERE page_id % 11 = 5""",
+    "blank_rejects": """SELECT source, 'preprocess' AS stage, 'no usable text' AS reason
+        FROM documents WHERE doc_id % 13 = 4""",
     "assemble_pages": f"""WITH {_PAGES} SELECT source, 'file_pdf' AS source_type, raw_text
         FROM assembled WHERE trim(raw_text, {_WS_CHARS}) <> ''""",
     "page_rejects": f"""WITH {_PAGES} SELECT source, 'ingest' AS stage, 'no extractable text' AS reason
@@ -447,5 +459,8 @@ ORACLES = {
 }
 
 ORACLES["all_rejects"] = " UNION ALL ".join(
-    f"({ORACLES[name]})" for name in ("file_rejects", "page_rejects", "capture_rejects")
+    f"({ORACLES[name]})" for name in (
+        "file_rejects", "page_rejects", "capture_rejects",
+        "missing_rejects", "pdf_rejects", "fetch_rejects", "blank_rejects",
+    )
 )

@@ -15,6 +15,7 @@ from docsheaf.operators.chunking import (
     paragraphs,
     preview,
     sentences,
+    without_chunks,
 )
 from docsheaf.operators.cleaning import clean_documents
 from docsheaf.operators.numbering import chunk_offsets, number_chunks
@@ -24,7 +25,7 @@ from docsheaf.plans.extraction import run_extraction
 from docsheaf.session import materialize, workspace
 from docsheaf.sources import captures as web
 from docsheaf.sources import files, page_texts, sinks
-from docsheaf.sources.union import union_rejects, union_sources
+from docsheaf.sources.union import number_by, union_rejects, union_sources
 
 GENERATED_AT = "2024-01-01 00:00:00"
 
@@ -129,14 +130,24 @@ def file_rejects(spark, sf_dir):
 
 
 def text_files(spark, sf_dir):
-    """Each document written as a file of its own, then scanned."""
+    """Each document written as a file of its own, some empty, hidden or in folders, then scanned."""
     path = workspace(spark, "files")
-    docs = inputs.documents(spark, sf_dir)
-    writer = docs.select("raw_text").write.option("maxRecordsPerFile", 1)
-    # very many files: let the tasks move them into place, not the driver
-    writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
+    files.write_contents(inputs.named_files(spark, sf_dir), path).count()
     found = files.read_text_files(files.scan_files(spark, path))
-    return found.select("source_type", F.col("raw_text").alias("text"))
+    name = F.regexp_extract("source", r"/(files-[0-9a-f]{32})/(.*)$", 2)
+    return found.select(name.alias("path"), "source_type", F.col("raw_text").alias("text"))
+
+
+def number_files(spark, sf_dir):
+    """Files numbered in the order of their paths over 200 partitions, united with the pages."""
+    docs = _file_names(inputs.documents(spark, sf_dir)).select(
+        "source", F.lit("file_txt").alias("source_type"), F.lit("").alias("raw_text")
+    )
+    pages = inputs.captures(spark, sf_dir).select(
+        "page_id", "source", F.lit("url").alias("source_type"), F.lit("").alias("raw_text")
+    )
+    both = union_sources((number_by(docs, "source", partitions=200), "position"), (pages, "page_id"))
+    return both.select("doc_seq", "source", "source_type")
 
 
 def assemble_pages(spark, sf_dir):
@@ -162,11 +173,36 @@ def capture_rejects(spark, sf_dir):
     return web.blank_captures(inputs.captures(spark, sf_dir))
 
 
+def missing_rejects(spark, sf_dir):
+    """Wanted files that a listing without some of them does not have."""
+    wanted = _file_names(inputs.documents(spark, sf_dir))
+    return files.missing_files(wanted.select("source"), wanted.filter("doc_seq % 7 <> 3").select("source"))
+
+
+def pdf_rejects(spark, sf_dir):
+    """PDF files of which a quarter have page texts."""
+    found = _file_names(inputs.documents(spark, sf_dir))
+    return files.pdfs_without_pages(found, found.filter("doc_seq % 4 = 0").select("source"))
+
+
+def fetch_rejects(spark, sf_dir):
+    return web.failed_fetches(inputs.fetches(spark, sf_dir))
+
+
+def blank_rejects(spark, sf_dir):
+    """Documents that cleaning leaves without text."""
+    docs = clean_documents(inputs.blanked_documents(spark, sf_dir))
+    return without_chunks(add_chunks(docs, max_tokens=200))
+
+
 def all_rejects(spark, sf_dir):
-    """Every skipped input of the file, page and web sources in one table."""
-    return union_rejects(
-        file_rejects(spark, sf_dir), page_rejects(spark, sf_dir), capture_rejects(spark, sf_dir)
-    )
+    """Every skipped input of all sources and kinds in one table."""
+    return union_rejects(*[reject(spark, sf_dir) for reject in REJECTS])
+
+
+REJECTS = (
+    file_rejects, page_rejects, capture_rejects, missing_rejects, pdf_rejects, fetch_rejects, blank_rejects,
+)
 
 
 def union_sources_query(spark, sf_dir):
@@ -367,6 +403,11 @@ QUERIES = {
     "file_routes": file_routes,
     "file_rejects": file_rejects,
     "text_files": text_files,
+    "number_files": number_files,
+    "missing_rejects": missing_rejects,
+    "pdf_rejects": pdf_rejects,
+    "fetch_rejects": fetch_rejects,
+    "blank_rejects": blank_rejects,
     "assemble_pages": assemble_pages,
     "page_rejects": page_rejects,
     "html_main_text": html_main_text,

@@ -43,9 +43,9 @@ def union_rejects(*rejects: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [schemas.conform(r, schemas.REJECTS) for r in rejects])
 
 
-def number_by(df: DataFrame, key: str, into: str = "position") -> DataFrame:
+def number_by(df: DataFrame, key: str, into: str = "position", partitions: int | None = None) -> DataFrame:
     """Number rows densely in the order of a unique key, such as a file path.
 
     Only the keys are sorted; their numbers are joined back by key.
     """
-    return df.join(dense_numbers(df.select(key), [key], into), key)
+    return df.join(dense_numbers(df.select(key), [key], into, partitions), key)

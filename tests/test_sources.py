@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from docsheaf.sources import captures, files, page_texts
@@ -13,15 +14,20 @@ def test_text_files(spark, tmp_path):
         "e": b"no",
         "f.tar.txt": "﻿ok".encode(),
         "g.pdf": b"%PDF",
+        "empty.txt": b"",
+        "_under.txt": b"u",
+        ".hidden.txt": b"h",
+        "sub/_deep/h.txt": b"deep",
     }
     for name, content in contents.items():
         path = tmp_path / name
-        path.parent.mkdir(exist_ok=True)
+        path.parent.mkdir(exist_ok=True, parents=True)
         path.write_bytes(content)
     found = files.scan_files(spark, str(tmp_path)).cache()
     short = lambda s: s.split(tmp_path.name + "/")[1]
     texts = {short(r.source): r.raw_text for r in files.read_text_files(found).collect()}
-    assert texts == {"a.txt": "café\nx\ny", "b.TXT": "café", "sub/c.txt": " \n", "f.tar.txt": "﻿ok"}
+    assert texts == {"a.txt": "café\nx\ny", "b.TXT": "café", "sub/c.txt": " \n", "f.tar.txt": "﻿ok",
+                     "empty.txt": "", "_under.txt": "u", ".hidden.txt": "h", "sub/_deep/h.txt": "deep"}
     rejects = {short(r.source): r.reason for r in files.unsupported_files(found).collect()}
     assert rejects == {n: f"unsupported file type '{e}'" for n, e in (("d.md", ".md"), ("e", ""))}
 
@@ -31,7 +37,24 @@ def test_text_files(spark, tmp_path):
         ("file:/none.txt", "ingest", "file not found")
     ]
     numbered = number_by(files.read_text_files(found), "source").orderBy("position").collect()
-    assert [short(r.source) for r in numbered] == ["a.txt", "b.TXT", "f.tar.txt", "sub/c.txt"]
+    assert [short(r.source) for r in numbered] == sorted(texts)
+
+    pages = spark.createDataFrame([], "source string")
+    assert [short(r.source) for r in files.pdfs_without_pages(found, pages).collect()] == ["g.pdf"]
+    gone = files.read_contents(spark.createDataFrame([(f"file://{tmp_path}/gone.txt",)], "source string"))
+    (reject,) = files.unreadable_files(gone).collect()
+    assert reject.reason.startswith("cannot be read")
+
+
+def test_positions_are_dense_and_checked(spark):
+    docs = spark.range(3000).select(F.concat(F.lit("f"), F.lpad("id", 5, "0")).alias("source"))
+    rows = number_by(docs, "source", partitions=200).collect()
+    assert sorted((r.source, r.position) for r in rows) == [(f"f{k:05}", k) for k in range(3000)]
+    wide = spark.range(1).select(
+        F.lit(1 << 40).alias("position"), F.lit("s").alias("source"), F.lit("url").alias("source_type"), F.lit("t").alias("raw_text")
+    )
+    with pytest.raises(Exception, match="position out of range"):
+        union_sources((wide, "position")).collect()
 
 
 def test_suffix(texts):
