@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from docsheaf import constants as C
 from docsheaf import schemas
 from docsheaf.functions.text import WS, py_strip
-from docsheaf.session import computed_once
+from docsheaf.session import computed_once, configure
 
 STRICT, REPAIRED, FALLBACK, FAILED = "strict", "repaired", "fallback", "failed"
 
@@ -45,15 +45,27 @@ def _parse_wrapped(text: Column) -> Column:
     return F.when(single & sound, F.try_variant_get(array, "$[0]", "variant"))
 
 
+# Named numbers become strings that begin with a sign no text has.
+_MARK, _END = "\ufdd0", "\ufdd1"
+_NAMED = rf"^{_MARK}(NaN|-?Infinity)$"
+
+
 def _quote_named_numbers(text: Column) -> Column:
-    return F.regexp_replace(
-        text, rf"([:\[,]{WS}*)(NaN|-?Infinity)(?={WS}*[,\]}}])", '$1"$2"'
+    """Strings are matched first and stay as they are; a name counts only as a value."""
+    string, named = r'"(?:[^"\\]|\\.)*+"', r"NaN|-?Infinity"
+    marked = F.regexp_replace(
+        text,
+        rf"({string})|((?:^|[:\[,]){WS}*)({named})(?={WS}*(?:[,\]}}]|$))",
+        rf"$1$2{_MARK}$3{_END}",
     )
+    # the marks after strings are empty
+    marked = F.replace(marked, F.lit(_MARK + _END), F.lit(""))
+    return F.regexp_replace(marked, rf"{_MARK}({named}){_END}", rf'"{_MARK}$1"')
 
 
 def strict_json(text: Column) -> Column:
     """Strict parse that also knows NaN and Infinity."""
-    named = F.rlike(text, F.lit("NaN|Infinity"))
+    named = F.rlike(text, F.lit("NaN|Infinity")) & ~F.contains(text, F.lit(_MARK))
     return F.coalesce(
         _parse_wrapped(text), F.when(named, _parse_wrapped(_quote_named_numbers(text)))
     )
@@ -77,14 +89,25 @@ def _as(value: Column, ddl: str) -> Column:
 
 def json_type(value: Column) -> Column:
     """OBJECT, ARRAY, STRING, BOOLEAN, VOID (JSON null) or a number type; null if missing."""
-    return F.substring_index(F.schema_of_variant(value), "<", 1)
+    kind = F.substring_index(F.schema_of_variant(value), "<", 1)
+    named = (kind == "STRING") & F.rlike(_as(value, "string"), F.lit(_NAMED))
+    return F.when(named, "DOUBLE").otherwise(kind)
+
+
+def _number_shown(text: Column) -> Column:
+    """A named number by its Python name; other text as it is."""
+    name = F.replace(F.lower(F.substring(text, 2, 9)), F.lit("infinity"), F.lit("inf"))
+    return F.when(F.rlike(text, F.lit(_NAMED)), name).otherwise(text)
 
 
 def _shown(value: Column, kind: Column) -> Column:
     """A present value as text; null and booleans by their Python names."""
     text = _as(value, "string")
     return (
-        F.when(kind == "VOID", "None").when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
+        F.when(kind == "VOID", "None")
+        .when(kind == "BOOLEAN", F.initcap(text))
+        .when(kind == "STRING", text)
+        .otherwise(_number_shown(text))
     )
 
 
@@ -100,7 +123,7 @@ def coerce_names(value: Column, kind: Column) -> Column:
     """Null marks a type that has no elements, which fails the reply."""
     return (
         F.when(kind.isNull(), F.array().cast("array<string>"))
-        .when(kind == "ARRAY", _as(value, "array<string>"))
+        .when(kind == "ARRAY", F.transform(_as(value, "array<string>"), lambda t: F.regexp_replace(t, _NAMED, "$1")))
         .when(kind == "OBJECT", F.map_keys(_as(value, "map<string,variant>")))
         .when(kind == "STRING", F.filter(F.split(_as(value, "string"), ""), lambda c: c != ""))
     )
@@ -117,6 +140,7 @@ def coerce_confidence(value: Column, kind: Column) -> Column:
     number = (
         F.when(kind == "STRING", F.when(F.rlike(text, F.lit(_FLOAT_TEXT)), plain.try_cast("double")))
         .when(kind == "BOOLEAN", _as(value, "boolean").cast("double"))
+        .when(F.rlike(text, F.lit(_NAMED)), F.substring(text, 2, 9).try_cast("double"))
         .otherwise(_as(value, "double"))
     )
     # NaN counts as the largest number, so it becomes 1
@@ -200,8 +224,10 @@ def parse_replies(df: DataFrame, column: str = "raw") -> DataFrame:
     """Add the extraction fields, ``parse_path`` and, for failures, ``reason``.
 
     A narrow projection in small steps, so that no value is computed twice.
-    Rows without a reply (null) get path ``failed`` and no reason.
+    Rows without a reply (null) get path ``failed`` and no reason. Of repeated
+    keys the last counts, which is a setting of the session made here.
     """
+    configure(df.sparkSession)
     keep, raw = df.columns, F.col(column)
     steps = _field_steps(_json_steps(df, raw))
 

@@ -130,11 +130,11 @@ def call_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", status.alias("status_code"), message.alias("message"))
 
 
-REPLY_CASES = 25
+REPLY_CASES = 31
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A model reply for every document, in one of 25 shapes, with ``case_no``.
+    """A model reply for every document, in one of 31 shapes, with ``case_no``.
 
     A well-formed reply quotes the whole text as its summary, two words of it
     as people, the source as organization and the language as place.
@@ -210,6 +210,12 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         around("```JSON\n", "\n```"),
         reply(conf=F.lit("true")),
         F.lit('"text"'),
+        reply(summary=F.concat(F.lit('"x: NaN, [-Infinity] '), F.col("source"), F.lit('"')), conf=F.lit("NaN")),
+        reply(people=F.lit("NaN")),
+        reply(people=F.lit('["A",NaN, -Infinity ]'), conf=F.lit("-Infinity")),
+        reply(questions=F.lit('["q1",NaN,-Infinity]'), label=F.lit("NaN")),
+        F.concat(F.lit('{"summary":"old","key_questions":NaN,'), F.substring(good, 2, 1 << 30)),
+        F.lit("[NaN]"),
     ]
     raw = F.lit(None).cast("string")
     for number, shape in reversed(list(enumerate(shapes, 1))):

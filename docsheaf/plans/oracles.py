@@ -216,9 +216,9 @@ FROM documents"""
 
 # --- replies ------------------------------------------------------------------------------------------
 
-# what each of the 25 reply shapes must give; see inputs.replies
+# what each of the 31 reply shapes must give; see inputs.replies
 _REPLIES = f"""cases AS (
-    SELECT *, doc_id % 25 + 1 AS c, string_split_regex(text, '[ \\n]') AS w,
+    SELECT *, doc_id % 31 + 1 AS c, string_split_regex(text, '[ \\n]') AS w,
         ['positive', 'neutral', 'negative'][doc_id % 3 + 1] AS lab,
         (doc_id % 101) / CAST(100.0 AS DOUBLE) AS conf,
         regexp_extract(CAST(to_json(text) AS VARCHAR), '^"([^"]+)"', 1) AS quoted
@@ -226,26 +226,29 @@ _REPLIES = f"""cases AS (
 expected AS (
     SELECT doc_id AS doc_seq, doc_id AS chunk_id, source, doc_id % 7 AS chunk_index, c AS case_no,
         substring(text, 1, 200) AS text_preview,
-        CASE WHEN c IN (7, 8, 13, 25) THEN 'failed' WHEN c IN (5, 6, 10, 22) THEN 'fallback'
+        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN 'failed' WHEN c IN (5, 6, 10, 22) THEN 'fallback'
              WHEN c = 4 THEN 'repaired' ELSE 'strict' END AS parse_path,
         CASE c WHEN 7 THEN 'empty reply' WHEN 8 THEN 'reply is not an object'
+               WHEN 31 THEN 'reply is not an object' WHEN 27 THEN 'entity list has a wrong type'
                WHEN 25 THEN 'reply is not an object' WHEN 13 THEN 'entity list has a wrong type' END AS reason,
         CASE WHEN c IN (5, 6, 10, 22) THEN true END AS parse_error,
-        CASE WHEN c IN (7, 8, 13, 25) THEN NULL WHEN c IN (6, 22) THEN {_lit(C.FALLBACK_SUMMARY)}
+        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (6, 22) THEN {_lit(C.FALLBACK_SUMMARY)}
              WHEN c = 5 THEN 'Cut off ' || source WHEN c = 10 THEN quoted
              WHEN c = 11 THEN {_lit(C.DEFAULT_SUMMARY)} WHEN c = 20 THEN 'None'
+             WHEN c = 26 THEN 'x: NaN, [-Infinity] ' || source
              ELSE trim(text, {_WS_CHARS}) END AS summary,
-        CASE WHEN c IN (7, 8, 13, 25) THEN NULL WHEN c IN (5, 6, 10, 11, 21, 22) THEN []
-             WHEN c = 12 THEN ['B', 'o', 'b'] ELSE [w[1], w[2]] END AS people,
-        CASE WHEN c IN (7, 8, 13, 25) THEN NULL WHEN c IN (5, 6, 10, 11, 21, 22) THEN [] ELSE [lang] END AS places,
-        CASE WHEN c IN (7, 8, 13, 25) THEN NULL WHEN c IN (5, 6, 10, 11, 21, 22) THEN [] ELSE [source] END AS orgs,
-        CASE WHEN c IN (7, 8, 13, 25) THEN NULL WHEN c = 5 THEN 'negative'
-             WHEN c IN (6, 11, 17, 22) THEN 'neutral' ELSE lab END AS label,
-        CASE WHEN c IN (7, 8, 13, 25) THEN NULL WHEN c IN (5, 6, 10, 22) THEN 0.0 WHEN c IN (11, 14) THEN 0.5
-             WHEN c IN (15, 16, 24) THEN 1.0 ELSE conf END AS confidence,
-        CASE WHEN c IN (7, 8, 13, 25) THEN NULL
+        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (5, 6, 10, 11, 21, 22) THEN []
+             WHEN c = 12 THEN ['B', 'o', 'b'] WHEN c = 28 THEN ['A', 'NaN', '-Infinity'] ELSE [w[1], w[2]] END AS people,
+        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (5, 6, 10, 11, 21, 22) THEN [] ELSE [lang] END AS places,
+        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (5, 6, 10, 11, 21, 22) THEN [] ELSE [source] END AS orgs,
+        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c = 5 THEN 'negative'
+             WHEN c IN (6, 11, 17, 22, 29) THEN 'neutral' ELSE lab END AS label,
+        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (5, 6, 10, 22) THEN 0.0 WHEN c IN (11, 14) THEN 0.5
+             WHEN c IN (15, 16, 24, 26) THEN 1.0 WHEN c = 28 THEN 0.0 ELSE conf END AS confidence,
+        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL
              WHEN c IN (5, 6, 10, 22) THEN [{_lit(C.FALLBACK_QUESTION)}, {_lit(C.FALLBACK_QUESTION)}, {_lit(C.FALLBACK_QUESTION)}]
              WHEN c = 11 THEN [{_lit(C.QUESTION_PAD)}, {_lit(C.QUESTION_PAD)}, {_lit(C.QUESTION_PAD)}]
+             WHEN c = 29 THEN ['q1', 'nan', '-inf']
              WHEN c = 18 THEN ['only one', {_lit(C.QUESTION_PAD)}, {_lit(C.QUESTION_PAD)}]
              ELSE ['q1', 'q2', 'q3'] END AS questions
     FROM cases),
