@@ -42,6 +42,7 @@ MAIN_REGIONS = ("article", "main", "body")
 # --- Fixed values: retry policies ----------------------------------------------
 FETCH_ATTEMPTS = 3
 FETCH_TIMEOUT_SECONDS = 15
+USER_AGENT = "docsheaf/1.0"
 MODEL_ATTEMPTS = 4
 MODEL_MIN_WAIT_SECONDS = 2
 MODEL_MAX_WAIT_SECONDS = 30

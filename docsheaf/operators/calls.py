@@ -8,9 +8,12 @@ Calls cost money and may answer differently each time, so the outcome must be
 written once and read back; see ``plans.extraction``. Leave speculation off.
 """
 
+import json
+import threading
 import time
 from collections.abc import Callable, Iterator, Mapping
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -115,6 +118,24 @@ def attempt_call(call, text: str, policy: RetryPolicy, sleep) -> tuple:
         waited += pause
 
 
+class Pace:
+    """Lets callers of several threads begin at most so many times a second."""
+
+    def __init__(self, per_second: float | None, sleep: Callable[[float], None]):
+        self.gap = 1 / per_second if per_second else 0.0
+        self.sleep, self.lock, self.next = sleep, threading.Lock(), 0.0
+
+    def wait(self) -> None:
+        if not self.gap:
+            return
+        with self.lock:
+            now = time.monotonic()
+            begin = max(now, self.next)
+            self.next = begin + self.gap
+        if begin > now:
+            self.sleep(begin - now)
+
+
 def call_rows(
     df: DataFrame,
     column: str,
@@ -123,30 +144,33 @@ def call_rows(
     sleep: Callable[[float], None] = time.sleep,
     spread_by: tuple[str, ...] = (),
     concurrency: int | None = None,
+    in_flight: int = 1,
 ) -> DataFrame:
     """Add the outcome columns ``raw, status, attempts, waited, error``.
 
-    Only the text goes to Python; other columns stay in the JVM. One client
-    serves a partition, one call at a time, so the number of partitions is the
-    number of calls in flight. ``concurrency`` sets it by hashing on
-    ``spread_by``, which must identify a row so that no partition is hot.
+    Only the text goes to Python; other columns stay in the JVM. A task has at
+    most ``in_flight`` calls under way, each on a thread with a client of its
+    own; outcomes keep the order of the rows. ``concurrency`` sets the number
+    of partitions by hashing on ``spread_by``, which must identify a row so
+    that no partition is hot. A policy's rate holds for a partition, over all
+    its threads.
     """
     if concurrency:
         df = df.repartition(concurrency, *spread_by)
 
     def calls(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        client = make_client()
-        gap = 1 / policy.calls_per_second if policy.calls_per_second else 0
+        own, pace = threading.local(), Pace(policy.calls_per_second, sleep)
         names = ["raw", "status", "attempts", "waited", "error"]
-        for batch in batches:
-            rows = []
-            for text in batch:
-                began = time.monotonic()
-                rows.append(attempt_call(client, text, policy, sleep))
-                left = gap - (time.monotonic() - began)
-                if left > 0:
-                    sleep(left)
-            yield pd.DataFrame(rows, columns=names)
+
+        def one(text):
+            if not hasattr(own, "client"):
+                own.client = make_client()
+            pace.wait()
+            return attempt_call(own.client, text, policy, sleep)
+
+        with ThreadPoolExecutor(in_flight) as threads:
+            for batch in batches:
+                yield pd.DataFrame(list(threads.map(one, batch)), columns=names)
 
     # nondeterministic: Catalyst must neither repeat nor move the calls
     outcome = F.pandas_udf(calls, StructType.fromDDL(schemas.CALL)).asNondeterministic()
@@ -178,6 +202,25 @@ class ModelConfig:
         return self.provider != "gemini"
 
 
+#: For a run whose caller chose none.
+DEFAULT_CONFIG = ModelConfig(C.DEFAULT_PROVIDER, C.PROVIDERS[C.DEFAULT_PROVIDER][2], C.PROVIDERS[C.DEFAULT_PROVIDER][0])
+
+
+def policy_for(config: ModelConfig) -> RetryPolicy:
+    """The retry rules of a provider: by the error's type, or by its message where clients have no types."""
+    return MODEL_POLICY if config.system_and_timeout else replace(MODEL_POLICY, retriable=retry_by_message)
+
+
+def request_client(make_client: Callable) -> Callable:
+    """A maker of clients for JSON text, from one of clients for requests as dictionaries."""
+
+    def make():
+        client = make_client()
+        return lambda text: client(json.loads(text))
+
+    return make
+
+
 def model_config(environment: Mapping[str, str]) -> ModelConfig:
     """Choose and check the provider on the driver, before any job starts.
 

@@ -1,18 +1,18 @@
 """The whole run: documents to chunks, calls, results, files and report.
 
 Each stage is written once and the next one reads what was written. Text is
-shuffled at most once, to spread the calls; numbering and reporting move only
-narrow rows.
+shuffled at most once, to spread the calls.
 """
 
+import json
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docsheaf import constants as C
 from docsheaf import schemas
@@ -24,7 +24,7 @@ from docsheaf.operators.cleaning import clean_documents
 from docsheaf.operators.numbering import chunk_offsets, number_chunks
 from docsheaf.operators.report import report_lines
 from docsheaf.operators.results import failed, result_records
-from docsheaf.session import configure
+from docsheaf.session import configure, exists
 from docsheaf.sources import sinks
 
 KEYS = ("doc_seq", "chunk_index")
@@ -41,51 +41,101 @@ class Run:
     lines: DataFrame
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+class StaleFolder(RuntimeError):
+    """A stage in the folder was made from other documents or with other settings."""
+
+
+def _finished(spark: SparkSession, path: str, settings: str) -> StructType | None:
+    """The schema of a complete stage; raises if it is that of another run."""
+    marker = f"{path}.done"
+    if not exists(spark, marker):
         return None
+    found = spark.read.parquet(marker).first()
+    if found.settings != settings:
+        raise StaleFolder(f"{path} was made with {found.settings}, not {settings}")
+    return StructType.fromJson(json.loads(found.schema))
+
+
+def _finish(spark: SparkSession, path: str, settings: str, schema: StructType) -> StructType:
+    marker = spark.createDataFrame([(settings, schema.json())], "settings string, schema string")
+    marker.coalesce(1).write.mode("overwrite").parquet(f"{path}.done")
+    return schema
 
 
-def _stage(spark: SparkSession, path: str, build: Callable[[], DataFrame], *partition_by) -> DataFrame:
+def _stage(
+    spark: SparkSession, path: str, settings: str, build: Callable[[], DataFrame], *partition_by
+) -> DataFrame:
     """The table at ``path``, built unless an earlier run of this folder finished it."""
-    if _read(spark, f"{path}.done") is None:
-        build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        spark.range(1).write.mode("overwrite").parquet(f"{path}.done")
-    return spark.read.parquet(path)
+    schema = _finished(spark, path, settings)
+    if schema is None:
+        built = build()
+        built.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        schema = _finish(spark, path, settings, built.schema)
+    # a table without rows has no files to tell its columns
+    return spark.read.schema(schema).parquet(path)
+
+
+def settings_of(documents: DataFrame, **values) -> str:
+    """Everything that a stage's rows depend on, as text. Reads the documents once."""
+    digest = F.sum(F.xxhash64(*documents.columns).cast("decimal(38,0)"))
+    n, total = documents.agg(F.count("*"), digest).first()
+    return json.dumps({"documents": n, "digest": str(total), **values}, sort_keys=True)
 
 
 def chunk_stage(documents: DataFrame, max_tokens: int, counter: TokenCounter, waves: int) -> DataFrame:
+    """Chunks with their ``wave``: documents in order are cut into about equal waves.
+
+    Neighbours share a wave, so a task writes to few of them.
+    """
     chunks = chunk_documents(clean_documents(documents), "clean_text", max_tokens, counter)
     chunks = chunks.withColumn("text_preview", preview(F.col("text")))
-    if waves == 1:
-        return chunks
-    return chunks.withColumn("wave", F.pmod(F.xxhash64(*KEYS), F.lit(waves)))
+    shares = [k / waves for k in range(1, waves)]
+    cuts = documents.approxQuantile("doc_seq", shares, 0.001) if shares else []
+    wave = F.lit(0)
+    for cut in cuts:
+        wave = wave + (F.col("doc_seq") > cut).cast("int")
+    return chunks.withColumn("wave", wave)
 
 
 def call_stage(
-    spark: SparkSession, chunks: DataFrame, path: str, make_client, policy, sleep,
-    concurrency: int | None, waves: int,
+    spark: SparkSession, chunks: DataFrame, path: str, settings: str,
+    send: Callable[[DataFrame], DataFrame], waves: int, recorded: DataFrame | None = None,
 ) -> DataFrame:
-    """Call the model for every chunk without a recorded outcome.
+    """An outcome for every chunk, wave by wave.
 
-    Each wave is committed when it ends, so an interrupted run repeats at most
+    ``send`` makes the calls of chunks without an outcome in ``recorded(doc_seq,
+    chunk_index, raw, error)``. A wave is written and marked when it ends; a
+    finished one is not looked at again, and an interrupted run repeats at most
     the calls of one wave.
     """
-    done = _read(spark, path)
     for wave in range(waves):
-        todo = chunks if waves == 1 else chunks.filter(F.col("wave") == wave)
-        if done is not None:
-            todo = X.pending(todo, done, *KEYS)
-        prompts = todo.withColumn("prompt", X.build_prompt(F.col("text")))
-        outcomes = X.call_rows(prompts, "prompt", make_client, policy, sleep, KEYS, concurrency)
-        outcomes.drop("prompt", "wave").write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+        part = f"{path}/wave={wave}"
+        schema = _finished(spark, f"{path}.wave-{wave}", settings)
+        if schema is not None:
+            continue
+        todo = chunks.filter(F.col("wave") == wave).drop("wave")
+        if recorded is None:
+            outcomes = send(todo)
+        else:
+            known = todo.join(recorded.select(*KEYS, "raw", "error"), list(KEYS)).withColumns(
+                {
+                    "status": F.when(F.col("error").isNull(), X.SUCCESS).otherwise(X.FAILURE),
+                    "attempts": F.lit(0),
+                    "waited": F.lit(0.0),
+                }
+            )
+            outcomes = send(X.pending(todo, recorded, *KEYS)).unionByName(known)
+        outcomes.write.mode("overwrite").parquet(part)
+        schema = _finish(spark, f"{path}.wave-{wave}", settings, outcomes.schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def parse_stage(calls: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Parsed and numbered calls; only failed ones keep their text."""
+    """Parsed and numbered calls; only failed ones keep their text.
+
+    Numbering joins them with one offset per document: a wide shuffle of the
+    parsed rows, unless the offsets are small enough for Spark to broadcast.
+    """
     parsed = parse_replies(calls)
     parsed = parsed.withColumns(
         {
@@ -98,35 +148,55 @@ def parse_stage(calls: DataFrame, chunks: DataFrame) -> DataFrame:
 
 def run_extraction(
     documents: DataFrame,
-    make_client: Callable[[], Callable[[str], str]],
+    make_client: Callable[[], Callable[[dict], str]],
     folder: str,
+    config: X.ModelConfig = X.DEFAULT_CONFIG,
     max_tokens: int = C.DEFAULT_MAX_TOKENS,
     counter: TokenCounter = estimated,
-    policy: X.RetryPolicy = X.MODEL_POLICY,
+    policy: X.RetryPolicy | None = None,
     sleep: Callable[[float], None] = time.sleep,
     concurrency: int | None = None,
+    in_flight: int = 1,
     waves: int = 1,
+    recorded: DataFrame | None = None,
     generated_at: str | None = None,
 ) -> Run:
     """Run every stage in ``folder``, which lies in storage all executors share.
 
-    Calling it again with the same folder resumes: finished stages are reused
-    and only chunks without a recorded call are sent.
+    A client gets the whole request: model, messages, temperature and timeout.
+    ``config`` chooses it and, without a ``policy``, the retry rules. Chunks
+    with an outcome in ``recorded`` are not sent.
+
+    Calling it again with the same folder resumes: finished stages and waves
+    are reused. Other documents or settings than those the folder was begun
+    with raise ``StaleFolder``.
     """
     spark = configure(documents.sparkSession)
     documents = schemas.conform(documents, schemas.DOCUMENTS)
+    policy = policy or X.policy_for(config)
+    chosen = {
+        "max_tokens": max_tokens, "waves": waves, "provider": config.provider, "model": config.model,
+        "counter": f"{getattr(counter, '__module__', '')}.{getattr(counter, '__qualname__', repr(counter))}",
+    }
+    settings = settings_of(documents, **chosen)
     chunks = _stage(
-        spark, f"{folder}/chunks",
-        lambda: chunk_stage(documents, max_tokens, counter, waves),
-        *([] if waves == 1 else ["wave"]),
+        spark, f"{folder}/chunks", settings,
+        lambda: chunk_stage(documents, max_tokens, counter, waves), "wave",
     )
     if chunks.isEmpty():
         sinks.require_rows(documents, "documents")
         raise sinks.EmptyStage("no chunks")
-    calls = call_stage(
-        spark, chunks, f"{folder}/calls", make_client, policy, sleep, concurrency, waves
+
+    def send(todo: DataFrame) -> DataFrame:
+        request = F.to_json(X.build_request(F.col("text"), config))
+        client = X.request_client(make_client)
+        rows = todo.withColumn("request", request)
+        return X.call_rows(rows, "request", client, policy, sleep, KEYS, concurrency, in_flight).drop("request")
+
+    calls = call_stage(spark, chunks, f"{folder}/calls", settings, send, waves, recorded)
+    parsed = _stage(
+        spark, f"{folder}/parsed", settings, lambda: parse_stage(calls, chunks.drop("wave"))
     )
-    parsed = _stage(spark, f"{folder}/parsed", lambda: parse_stage(calls, chunks))
     results = sinks.require_rows(result_records(parsed), "results")
     failures = failed(parsed).select(
         "chunk_id", "doc_seq", "source", "source_type", "chunk_index", "total_chunks", "text", "reason"
@@ -134,7 +204,7 @@ def run_extraction(
 
     stamp = generated_at or datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     lines = report_lines(documents, results, failures, stamp)
-    return Run(chunks, calls, results, failures, lines)
+    return Run(chunks.drop("wave"), calls, results, failures, lines)
 
 
 def save_run(run: Run, folder: str, run_id: str | None = None) -> dict[str, str]:

@@ -7,6 +7,9 @@ same expressions are written in SQL in ``oracles``.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docsheaf import constants as C
+from docsheaf.operators.chunking import chunk_documents
+from docsheaf.operators.cleaning import clean_documents
 from docsheaf.session import configure, spread
 
 
@@ -122,14 +125,48 @@ def call_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         0: (200, "ok"), 1: (429, "rate limit"), 2: (503, "unavailable"),
         3: (None, "request timeout"), 4: (400, "bad request"), 5: (400, "could not generate"),
     }
-    kind = F.pmod("event_id", F.lit(6))
+    # all columns decide the status and are part of the message
+    said = F.concat_ws(" ", "event_type", "props")
+    whole = F.coalesce(F.floor(F.abs("value")), F.lit(0))
+    kind = F.pmod(F.col("event_id") + F.length(said) + whole, F.lit(6))
     status, message = F.lit(None).cast("int"), F.lit(None).cast("string")
     for k, (code, words) in log.items():
         status = F.when(kind == k, F.lit(code).cast("int")).otherwise(status)
         message = F.when(kind == k, words).otherwise(message)
+    message = F.concat_ws(" ", message, said)
     return events.select("event_id", status.alias("status_code"), message.alias("message"))
 
 
+def recorded_replies(docs: DataFrame, max_tokens: int) -> DataFrame:
+    """A recorded outcome for every chunk of the documents, by the length of its text.
+
+    Every 17th length was refused, every 13th was cut short; the rest are full
+    records with all capitalised words of the chunk as people.
+    """
+    chunks = chunk_documents(clean_documents(docs), max_tokens=max_tokens)
+    size = F.length("text")
+    org = lambda n: F.concat(F.lit("Org "), F.pmod(size, F.lit(n)))
+    reply = F.struct(
+        F.col("text").alias("summary"),
+        F.struct(
+            F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), F.lit(0)).alias("people"),
+            F.array().cast("array<string>").alias("places"),
+            F.array(org(7), org(3)).alias("organizations"),
+        ).alias("entities"),
+        F.struct(
+            F.element_at(F.array(*map(F.lit, C.LABELS)), (F.pmod(size, F.lit(3)) + 1).cast("int")).alias("label"),
+            (F.pmod(size, F.lit(101)) / F.lit(100.0)).alias("confidence"),
+        ).alias("sentiment"),
+        F.array(F.concat(F.lit("Why "), size, F.lit("?"))).alias("key_questions"),
+    )
+    cut = '{"summary": "Cut short", "sentiment": {"label": "Negative", "conf'
+    refused = F.pmod(size, F.lit(17)) == 0
+    raw = F.when(refused, None).when(F.pmod(size, F.lit(13)) == 0, cut).otherwise(F.to_json(reply))
+    return chunks.select(
+        "doc_seq", "chunk_index", raw.alias("raw"), F.when(refused, "bad request").alias("error")
+    )
+
+
 REPLY_CASES = 31
 
 

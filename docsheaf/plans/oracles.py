@@ -345,7 +345,7 @@ _RUN_RESULTS = f"""{_RUN},
 ok AS (
     SELECT chunk_id, source, chunk_index, substring(text, 1, {C.PREVIEW_CHARS}) AS text_preview,
         CASE WHEN size % 13 = 0 THEN 'Cut short' ELSE trim(text, {_WS_CHARS}) END AS summary,
-        CASE WHEN size % 13 = 0 THEN [] ELSE [string_split(text, ' ')[1]] END AS people,
+        CASE WHEN size % 13 = 0 THEN [] ELSE regexp_extract_all(text, '[A-Z][a-z]+') END AS people,
         CAST([] AS VARCHAR[]) AS places,
         CASE WHEN size % 13 = 0 THEN [] ELSE ['Org ' || size % 7, 'Org ' || size % 3] END AS orgs,
         CASE WHEN size % 13 = 0 THEN 'negative' ELSE ['positive', 'neutral', 'negative'][size % 3 + 1] END AS label,
@@ -423,10 +423,18 @@ ORACLES = {
     "requests_gemini": f"""SELECT doc_id AS doc_seq, 'gemini-1.5-flash' AS model, 1 AS messages,
         'user' AS first_role, {_PROMPT} AS first_content, {_PROMPT} AS prompt,
         CAST(0.1 AS DOUBLE) AS temperature, CAST(NULL AS INTEGER) AS timeout FROM documents""",
-    "classify_errors": """SELECT event_id, [200, 429, 503, NULL, 400, 400][event_id % 6 + 1] AS status_code,
-        ['ok', 'rate limit', 'unavailable', 'request timeout', 'bad request', 'could not generate'][event_id % 6 + 1] AS message,
-        ['success', 'retry', 'retry', 'retry', 'fatal', 'fatal'][event_id % 6 + 1] AS typed_class,
-        ['success', 'retry', 'fatal', 'retry', 'fatal', 'retry'][event_id % 6 + 1] AS message_class FROM events""",
+    "classify_errors": """WITH log AS (
+            SELECT event_id, concat_ws(' ', event_type, props) AS said,
+                (event_id + length(concat_ws(' ', event_type, props))
+                    + coalesce(CAST(floor(abs(value)) AS BIGINT), 0)) % 6 + 1 AS k FROM events),
+        worded AS (
+            SELECT event_id, [200, 429, 503, NULL, 400, 400][k] AS status_code, k,
+                concat_ws(' ', ['ok', 'rate limit', 'unavailable', 'request timeout', 'bad request',
+                    'could not generate'][k], said) AS message FROM log)
+        SELECT event_id, status_code, message,
+            ['success', 'retry', 'retry', 'retry', 'fatal', 'fatal'][k] AS typed_class,
+            CASE WHEN k = 1 THEN 'success' WHEN regexp_matches(lower(message), '429|quota|rate|timeout')
+                 THEN 'retry' ELSE 'fatal' END AS message_class FROM worded""",
     "call_rows_model": _CALLS.format(exhausted=4, refused=1, twice=4, always=8, refused_wait=0),
     "call_rows_fetch": _CALLS.format(exhausted=3, refused=3, twice=6, always=6, refused_wait=6),
     "split_outcomes": """SELECT doc_id AS doc_seq, CASE WHEN doc_id % 4 < 2 THEN 'results' ELSE 'failed' END AS part,
@@ -467,3 +475,9 @@ ORACLES["all_rejects"] = " UNION ALL ".join(
         "missing_rejects", "pdf_rejects", "fetch_rejects", "blank_rejects",
     )
 )
+ORACLES["report_roundtrip"] = f"""WITH cut AS (
+        SELECT *, string_split(line, chr(10)) AS parts FROM ({_REPORT})),
+    listed AS (SELECT *, unnest(parts) AS part, unnest(range(0, len(parts))) AS k FROM cut)
+    SELECT row_number() OVER (ORDER BY section_no, item_no, line_no, k) - 1 AS line_no, part AS line FROM listed"""
+ORACLES["saved_run"] = f"""WITH rows AS ({_RUN_RESULTS})
+    SELECT 'results_r1.json' AS file, * FROM rows UNION ALL SELECT 'results_r1.csv', * FROM rows"""

@@ -18,10 +18,10 @@ from docsheaf.operators.chunking import (
     without_chunks,
 )
 from docsheaf.operators.cleaning import clean_documents
-from docsheaf.operators.numbering import chunk_offsets, number_chunks
+from docsheaf.operators.numbering import chunk_offsets, dense_numbers, number_chunks
 from docsheaf.operators.results import failed, flat_rows, result_records
 from docsheaf.plans import inputs, stubs
-from docsheaf.plans.extraction import run_extraction
+from docsheaf.plans.extraction import run_extraction, save_run
 from docsheaf.session import materialize, workspace
 from docsheaf.sources import captures as web
 from docsheaf.sources import files, page_texts, sinks
@@ -356,7 +356,7 @@ def top_entities(results):
 
 
 def report_lines(spark, sf_dir):
-    """The report as written and read back, with the place of each line."""
+    """The report, with the place of each line."""
     parsed = _parsed(spark, sf_dir)
     lines = R.report_lines(
         inputs.table(spark, sf_dir, "documents"), result_records(parsed), failed(parsed), GENERATED_AT
@@ -367,21 +367,57 @@ def report_lines(spark, sf_dir):
 # --- everything ---------------------------------------------------------------------------------------------
 
 
+def no_client():
+    """Every chunk has a recorded outcome, so nothing may be sent."""
+
+    def call(request):
+        raise X.CallError("a call without a client")
+
+    return call
+
+
+def _run(spark, sf_dir):
+    """Documents to results: clean, chunk, take the recorded replies, parse, number."""
+    docs = inputs.dirty_documents(spark, sf_dir)
+    return run_extraction(
+        docs, no_client, workspace(spark, "run"), max_tokens=200, waves=3,
+        recorded=inputs.recorded_replies(docs, 200), generated_at=GENERATED_AT,
+    )
+
+
 def extraction_run(spark, sf_dir):
-    """Documents to results: clean, chunk, call, parse, number, flatten."""
-    run = run_extraction(
-        inputs.dirty_documents(spark, sf_dir), stubs.rule_model, workspace(spark, "run"),
-        max_tokens=200, sleep=stubs.no_sleep, generated_at=GENERATED_AT,
-    )
-    return flat_rows(run.results)
+    return flat_rows(_run(spark, sf_dir).results)
 
 
 def extraction_failures(spark, sf_dir):
-    run = run_extraction(
-        inputs.dirty_documents(spark, sf_dir), stubs.rule_model, workspace(spark, "run"),
-        max_tokens=200, sleep=stubs.no_sleep, generated_at=GENERATED_AT,
+    return _run(spark, sf_dir).failures
+
+
+def saved_run(spark, sf_dir):
+    """The files of a run as read back, each row with the name of its file."""
+    run = _run(spark, sf_dir)
+    paths = save_run(run, workspace(spark, "saved"), "r1")
+    name = lambda path: F.lit(path.rpartition("/")[2]).alias("file")
+    rows = flat_rows(run.results)
+    nested = spark.read.schema(run.results.drop("parse_path").schema).json(paths["json"])
+    flat = sinks.read_csv(spark, paths["csv"], rows.schema)
+    return flat_rows(nested).select(name(paths["json"]), "*").unionByName(
+        flat.select(name(paths["csv"]), "*")
+    )
+
+
+def report_roundtrip(spark, sf_dir):
+    """The report as written and read back: its parts in the order of their names."""
+    path = workspace(spark, "report")
+    sinks.write_report(report_lines(spark, sf_dir), path)
+    # a summary may have several lines
+    rows = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_name").alias("part"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.col("value").alias("line"),
     )
-    return run.failures
+    return dense_numbers(rows, ["part", "block", "row"], "line_no").select("line_no", "line")
 
 
 QUERIES = {
@@ -433,6 +469,8 @@ QUERIES = {
     "report_confidence": _over_results(mean_confidence),
     "report_entities": _over_results(top_entities),
     "report_lines": report_lines,
+    "report_roundtrip": report_roundtrip,
     "extraction_run": extraction_run,
+    "saved_run": saved_run,
     "extraction_failures": extraction_failures,
 }

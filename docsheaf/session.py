@@ -32,6 +32,12 @@ def workspace(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write a stage once and read it back, so that later stages never redo it."""
     df.write.mode("errorifexists").parquet(path)

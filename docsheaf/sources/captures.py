@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docsheaf import constants as C
 from docsheaf.functions.html import html_main_text
 from docsheaf.functions.text import is_blank
 from docsheaf.operators.calls import FETCH_POLICY, RetryPolicy, call_rows
@@ -48,27 +49,31 @@ def blank_captures(captures: DataFrame) -> DataFrame:
 
 def fetch_pages(
     urls: DataFrame,
-    make_transport: Callable[[], Callable[[str], tuple[str | None, str]]],
+    make_transport: Callable[[], Callable[[str, float, dict[str, str]], tuple[str | None, str]]],
     policy: RetryPolicy = FETCH_POLICY,
     sleep: Callable[[float], None] = time.sleep,
     concurrency: int | None = None,
+    in_flight: int = 1,
+    timeout: float = C.FETCH_TIMEOUT_SECONDS,
+    user_agent: str = C.USER_AGENT,
 ) -> DataFrame:
     """Capture live pages: adds ``content_type, body`` and the call's outcome.
 
-    ``make_transport`` runs on an executor and returns a function from URL to
-    ``(content type, body)`` that raises ``CallError``. Write the result once.
+    ``make_transport`` runs on an executor and returns a function of the URL,
+    the seconds to wait and the headers to send, to ``(content type, body)``;
+    it raises ``CallError``. Write the result once.
     """
 
     def make_client():
         transport = make_transport()
 
         def call(url):
-            content_type, body = transport(url)
+            content_type, body = transport(url, timeout, {"User-Agent": user_agent})
             return json.dumps({"content_type": content_type, "body": body})
 
         return call
 
-    calls = call_rows(urls, "source", make_client, policy, sleep, ("source",), concurrency)
+    calls = call_rows(urls, "source", make_client, policy, sleep, ("source",), concurrency, in_flight)
     page = F.from_json("raw", "content_type string, body string")
     return calls.withColumn("_page", page).select(
         *urls.columns, "_page.content_type", "_page.body", "status", "attempts", "waited", "error"

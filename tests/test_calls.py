@@ -1,3 +1,4 @@
+import time
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,7 +108,8 @@ def test_requests(spark):
 
 def test_fetch_pages(spark):
     def make_transport():
-        def get(url):
+        def get(url, timeout, headers):
+            assert timeout == 15 and headers["User-Agent"]
             if url.endswith("/gone"):
                 raise X.CallError("HTTP 404", "status", 404)
             kind = None if url.endswith("/none") else "text/html"
@@ -124,3 +126,32 @@ def test_fetch_pages(spark):
     assert {tuple(r) for r in rejects} == {
         ("http://h/gone", "fetch", "HTTP 404"), ("http://h/blank", "ingest", "empty content"),
     }
+
+
+def test_calls_in_flight_keep_order_and_rate(spark):
+    import threading
+
+    def make_client():
+        name = threading.get_ident()
+
+        def call(text):
+            time.sleep(0.05)
+            return f"{text}:{name}"
+
+        return call
+
+    df = spark.range(24, numPartitions=1).select("id", F.col("id").cast("string").alias("t"))
+    policy = X.RetryPolicy(1, 1, 0, 1, X.retry_by_type, calls_per_second=100)
+    rows = X.call_rows(df, "t", make_client, policy, in_flight=6).collect()
+    assert [r.raw.split(":")[0] for r in rows] == [str(r.id) for r in rows]
+    assert 1 < len({r.raw.split(":")[1] for r in rows}) <= 6
+    waits = []
+    pace = X.Pace(10, waits.append)
+    for _ in range(4):
+        pace.wait()
+    assert [round(w, 1) for w in waits] == [0.1, 0.2, 0.3]
+
+
+def test_policy_of_a_provider():
+    assert X.policy_for(X.ModelConfig("openai", "m", "K")).retriable is X.retry_by_type
+    assert X.policy_for(X.ModelConfig("gemini", "m", "K")).retriable is X.retry_by_message

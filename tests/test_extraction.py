@@ -1,17 +1,20 @@
 import sys
 
+import clients
 import pytest
+from clients import rule_model
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from docsheaf.functions.tokens import estimated
 from docsheaf.operators.calls import MODEL_POLICY
 from docsheaf.plans import extraction as E
-from docsheaf.plans.stubs import no_sleep, rule_model
+from docsheaf.plans.stubs import no_sleep
 from docsheaf.session import workspace
 from docsheaf.sources.sinks import EmptyStage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(clients)
 
 
 def documents(spark):
@@ -49,16 +52,57 @@ def test_run_and_resume(spark, tmp_path, waves):
     assert again.results.count() == ok
 
 
-def test_interrupted_calls_are_completed(spark):
+def test_interrupted_waves_are_completed(spark):
     folder = workspace(spark, "run")
-    chunks = E.chunk_stage(documents(spark), 60, estimated, 1)
-    chunks.write.parquet(f"{folder}/chunks")
-    chunks = spark.read.parquet(f"{folder}/chunks")
-    half = chunks.filter(F.col("doc_seq") < 20)
-    args = (MODEL_POLICY, no_sleep, None, 1)
-    E.call_stage(spark, half, f"{folder}/calls", rule_model, *args)
-    calls = E.call_stage(spark, chunks, f"{folder}/calls", rule_model, *args)
+    args = dict(max_tokens=60, sleep=no_sleep, waves=3, generated_at="now")
+
+    def breaks(todo):
+        raise RuntimeError("interrupted")
+
+    docs = documents(spark)
+    settings = "s"
+    chunks = E.chunk_stage(docs, 60, estimated, 3).cache()
+    assert {r.wave for r in chunks.select("wave").distinct().collect()} == {0, 1, 2}
+    send = lambda todo: todo.select("*", F.lit("{}").alias("raw"))
+    sent = []
+
+    def first_two(todo):
+        if len(sent) == 2:
+            breaks(todo)
+        sent.append(todo.count())
+        return send(todo)
+
+    with pytest.raises(RuntimeError):
+        E.call_stage(spark, chunks, f"{folder}/calls", settings, first_two, 3)
+    calls = E.call_stage(spark, chunks, f"{folder}/calls", settings, send, 3)
     assert calls.count() == chunks.count() == calls.select(*E.KEYS).distinct().count()
+    assert calls.count() > sum(sent)
+    assert E.run_extraction(docs, rule_model, workspace(spark, "run"), **args).calls.count() == chunks.count()
+
+
+def test_other_settings_or_documents_are_refused(spark):
+    folder, docs = workspace(spark, "run"), documents(spark)
+    args = dict(sleep=no_sleep, generated_at="now")
+    E.run_extraction(docs, rule_model, folder, max_tokens=60, **args)
+    for other in ({"max_tokens": 20}, {"max_tokens": 60, "waves": 2}):
+        with pytest.raises(E.StaleFolder):
+            E.run_extraction(docs, rule_model, folder, **other, **args)
+    with pytest.raises(E.StaleFolder):
+        E.run_extraction(docs.filter("doc_seq > 3"), rule_model, folder, max_tokens=60, **args)
+
+
+def test_recorded_outcomes_are_not_sent(spark):
+    docs = documents(spark)
+    recorded = spark.createDataFrame(
+        [(d, 0, "{}" if d % 2 else None, None if d % 2 else "lost") for d in range(10)],
+        "doc_seq bigint, chunk_index int, raw string, error string",
+    )
+    run = E.run_extraction(
+        docs, rule_model, workspace(spark, "run"), max_tokens=800, sleep=no_sleep, recorded=recorded, generated_at="now"
+    )
+    calls = {r.doc_seq: (r.attempts, r.raw, r.error) for r in run.calls.collect()}
+    assert [calls[d][0] for d in range(12)] == [0] * 10 + [1, 1]
+    assert calls[3][1] == "{}" and calls[4][2] == "lost"
 
 
 def test_stop_on_empty(spark):
