@@ -272,4 +272,5 @@ def parse_replies(df: DataFrame, column: str = "raw") -> DataFrame:
         .otherwise("entity list has a wrong type")
         .alias("reason"),
     )
-    return computed_once(records, *records.columns[len(keep) :])
+    # the path alone is held back: filters on it stay above, and other fields can be pruned
+    return computed_once(records, "parse_path")

@@ -12,6 +12,7 @@ from docsheaf import constants as C
 from docsheaf.functions.numbers import two_decimals, whole_percent
 
 KINDS = C.ENTITY_HEADINGS
+POSITION_BITS = 20
 
 
 # --- aggregations -------------------------------------------------------------------
@@ -34,6 +35,30 @@ def overview(documents: DataFrame, results: DataFrame, failures: DataFrame) -> D
     )
 
 
+def totals(documents: DataFrame, results: DataFrame, failures: DataFrame) -> DataFrame:
+    """One row with all that the report counts over whole tables, each read once."""
+    names = [kind for kind, _ in KINDS]
+    none = [F.lit(None).cast("string").alias("label"), F.lit(None).cast("double").alias("confidence")]
+    none += [F.lit(False).alias(kind) for kind in names]
+    found = [F.size(f"entities.{kind}") > 0 for kind in names]
+    rows = (
+        documents.select(F.lit("document").alias("tag"), *none)
+        .unionAll(results.select(F.lit("ok"), "sentiment.label", "sentiment.confidence", *found))
+        .unionAll(failures.select(F.lit("failed"), *none))
+    )
+    tag = F.col("tag")
+    return rows.agg(
+        F.count_if(tag == "document").alias("documents"),
+        F.count_if(tag != "document").alias("chunks"),
+        F.count_if(tag == "ok").alias("succeeded"),
+        F.count_if(tag == "failed").alias("failed"),
+        F.count_if(tag == "ok").alias("total"),
+        F.coalesce(F.avg("confidence"), F.lit(0.0)).alias("mean_confidence"),
+        *[F.count_if(F.col("label") == name).alias(name) for name in C.LABELS],
+        *[F.count_if(F.col(kind)).alias(f"with_{kind}") for kind in names],
+    )
+
+
 def chunks_per_source(results: DataFrame) -> DataFrame:
     return results.groupBy("source").agg(
         F.count("*").alias("chunks"), F.min("chunk_id").alias("first_chunk")
@@ -70,7 +95,11 @@ def sentiment_distribution(results: DataFrame) -> DataFrame:
 
 
 def entity_counts(results: DataFrame) -> DataFrame:
-    """Per kind and exact name: mentions and the place of the first one."""
+    """Per kind and exact name: mentions and the place of the first one.
+
+    Chunk and position are one number, so that the aggregate can hash: a chunk
+    has fewer than 2**20 names, and there are fewer than 2**43 chunks.
+    """
     def mentions_of(kind_no: int, kind: str) -> Column:
         def mention(name, position):
             return F.struct(
@@ -80,12 +109,19 @@ def entity_counts(results: DataFrame) -> DataFrame:
         return F.transform(f"entities.{kind}", mention)
 
     mentions = [mentions_of(k, kind) for k, (kind, _) in enumerate(KINDS)]
+    place = F.shiftleft(F.col("chunk_id").cast("bigint"), POSITION_BITS).bitwiseOR(F.col("position").cast("bigint"))
     return (
         results.select("chunk_id", F.inline(F.concat(*mentions)))
         .groupBy("kind_no", F.coalesce("name", F.lit("None")).alias("name"))
-        .agg(
-            F.count("*").alias("mentions"),
-            F.min(F.struct("chunk_id", "position")).alias("first_seen"),
+        .agg(F.count("*").alias("mentions"), F.min(place).alias("place"))
+        .select(
+            "kind_no",
+            "name",
+            "mentions",
+            F.struct(
+                F.shiftright("place", POSITION_BITS).alias("chunk_id"),
+                F.col("place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).alias("position"),
+            ).alias("first_seen"),
         )
     )
 
@@ -168,12 +204,11 @@ def report_lines(
 
     sections = [
         _fixed_lines(results.sparkSession, fixed),
-        _overview_lines(documents, results, failures),
+        _total_lines(totals(documents, results, failures), rule),
         _source_lines(results),
-        _sentiment_lines(results),
         _entity_lines(results),
         _chunk_lines(results),
-        _failure_lines(failures, rule),
+        _failure_lines(failures),
     ]
     lines = sections[0]
     for section in sections[1:]:
@@ -181,9 +216,42 @@ def report_lines(
     return lines
 
 
-def _overview_lines(documents, results, failures) -> DataFrame:
-    lines = F.array(*[_text(words, _number(F.col(name))) for name, words in C.OVERVIEW_LINES])
-    return _lines(overview(documents, results, failures), SECTION_OVERVIEW, F.lit(0), lines)
+def _total_lines(row: DataFrame, rule: str) -> DataFrame:
+    """All lines that follow from the totals: overview, sentiment, kinds without
+    names, and heading and end of the failure listing if there are failures."""
+
+    def lines(section, item, texts, first=0, when=None):
+        made = F.array(
+            *[
+                F.struct(
+                    F.lit(section).alias("section_no"), F.lit(item).cast("bigint").alias("item_no"),
+                    F.lit(first + k).alias("line_no"), text.alias("line"),
+                )
+                for k, text in enumerate(texts)
+            ]
+        )
+        return made if when is None else F.when(when, made).otherwise(F.filter(made, lambda _: F.lit(False)))
+
+    total = F.greatest("total", F.lit(1)).cast("double")
+
+    def percent(name, words):
+        share = (F.col(name) * 100).cast("double") / total
+        return _text(words, _number(F.col(name), 3), "  (", whole_percent(share), ")")
+
+    overview_lines = [_text(words, _number(F.col(name))) for name, words in C.OVERVIEW_LINES]
+    mean = _text(C.CONFIDENCE_LINE, two_decimals(F.col("mean_confidence")))
+    failed = F.col("failed") > 0
+    parts = [
+        lines(SECTION_OVERVIEW, 0, overview_lines),
+        lines(SECTION_SENTIMENT, 0, [*[percent(*entry) for entry in C.SENTIMENT_LINES], F.lit(""), mean]),
+        *[
+            lines(SECTION_ENTITIES, k, [F.lit(C.NO_ENTITY_LINE)], 1, F.col(f"with_{kind}") == 0)
+            for k, (kind, _) in enumerate(KINDS)
+        ],
+        lines(SECTION_FAILED, -1, [F.lit(C.FAILED_HEADING), F.lit(rule)], when=failed),
+        lines(SECTION_FAILED, LAST_ITEM, [F.lit("")], when=failed),
+    ]
+    return row.select(F.inline(F.concat(*parts)))
 
 
 def _source_lines(results) -> DataFrame:
@@ -193,20 +261,8 @@ def _source_lines(results) -> DataFrame:
     )
 
 
-def _sentiment_lines(results) -> DataFrame:
-    total = F.greatest("total", F.lit(1)).cast("double")
-
-    def line(name, words):
-        percent = (F.col(name) * 100).cast("double") / total
-        return _text(words, _number(F.col(name), 3), "  (", whole_percent(percent), ")")
-
-    mean = _text(C.CONFIDENCE_LINE, two_decimals(F.col("mean_confidence")))
-    lines = F.array(*[line(*entry) for entry in C.SENTIMENT_LINES], F.lit(""), mean)
-    return _lines(sentiment_summary(results), SECTION_SENTIMENT, F.lit(0), lines)
-
-
 def _entity_lines(results) -> DataFrame:
-    """A heading per kind, then its names or a remark that there are none."""
+    """A heading per kind, then its names."""
     headings = _fixed_lines(
         results.sparkSession,
         [(SECTION_ENTITIES, k, 0, heading) for k, (_, heading) in enumerate(KINDS)],
@@ -218,15 +274,7 @@ def _entity_lines(results) -> DataFrame:
         F.col("rank").alias("line_no"),
         _fill(C.ENTITY_LINE, F.col("name"), _number(F.col("mentions"))).alias("line"),
     )
-    kinds = [
-        F.struct(F.lit(k).alias("kind_no"), F.count_if(F.size(f"entities.{kind}") > 0).alias("n"))
-        for k, (kind, _) in enumerate(KINDS)
-    ]
-    missing = results.agg(F.array(*kinds).alias("kinds")).select(F.inline("kinds")).filter("n = 0")
-    none = _lines(
-        missing, SECTION_ENTITIES, F.col("kind_no"), F.array(F.lit(C.NO_ENTITY_LINE))
-    ).withColumn("line_no", F.lit(1))
-    return headings.unionByName(top).unionByName(none)
+    return headings.unionByName(top)
 
 
 def _chunk_lines(results) -> DataFrame:
@@ -249,17 +297,9 @@ def _chunk_lines(results) -> DataFrame:
     return _lines(results, SECTION_CHUNKS, F.col("chunk_id"), F.concat(F.array(*head), listed))
 
 
-def _failure_lines(failures, rule) -> DataFrame:
-    """The listing, its heading and closing line; nothing if no chunk failed."""
+def _failure_lines(failures) -> DataFrame:
     line = _fill(
         C.FAILED_LINE, F.col("source"), _number(F.col("chunk_index") + 1),
         _number(F.col("total_chunks")),
     )
-    rows = _lines(failures, SECTION_FAILED, F.col("chunk_id"), F.array(line))
-    any_failed = failures.agg(F.count("*").alias("n")).filter("n > 0")
-    head = _lines(
-        any_failed, SECTION_FAILED, F.lit(-1),
-        F.array(F.lit(C.FAILED_HEADING), F.lit(rule)),
-    )
-    tail = _lines(any_failed, SECTION_FAILED, F.lit(LAST_ITEM), F.array(F.lit("")))
-    return head.unionByName(rows).unionByName(tail)
+    return _lines(failures, SECTION_FAILED, F.col("chunk_id"), F.array(line))

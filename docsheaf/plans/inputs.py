@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docsheaf import constants as C
 from docsheaf.operators.chunking import chunk_documents
 from docsheaf.operators.cleaning import clean_documents
-from docsheaf.session import configure, spread
+from docsheaf.session import configure
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +25,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("file_txt").alias("source_type"),
         F.col("text").alias("raw_text"),
     )
-    return spread(rows, "doc_seq")
+    return rows
 
 
 def _swap(text: Column, *pairs: tuple[str, str]) -> Column:
@@ -91,7 +91,7 @@ def fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as captures; some are not HTML, have no type, or are blank."""
-    pages = spread(table(spark, sf_dir, "pages"), "page_id")
+    pages = table(spark, sf_dir, "pages")
     kind = F.pmod("page_id", F.lit(10))
     return pages.select(
         "page_id",
@@ -176,7 +176,7 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     A well-formed reply quotes the whole text as its summary, two words of it
     as people, the source as organization and the language as place.
     """
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    docs = table(spark, sf_dir, "documents")
     words = F.split("text", r"[ \n]")
     people = F.array(F.get(words, F.lit(0)), F.get(words, F.lit(1)))
     confidence = F.pmod("doc_id", F.lit(101)) / F.lit(100.0)

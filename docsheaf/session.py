@@ -44,18 +44,6 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread the rows if the scan has fewer splits than the cluster has cores.
-
-    A large table has many more splits than cores and passes through without
-    a shuffle. ``keys`` must identify a row, so that no partition becomes hot.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def computed_once(df: DataFrame, *columns: str) -> DataFrame:
     """Keep later filters on these columns above the projection that computes them.
 
