@@ -13,6 +13,8 @@ ARTEFACT_REMOVED = "\u200b\ufeff"
 EM_DASH, EM_DASH_TO = "\u2014", "--"
 
 # --- Fixed values: boilerplate patterns, any of which drops a line -----------
+# a search needs no "anything" at the end of a pattern: what follows a match
+# does not change whether there is one
 BOILERPLATE_PATTERNS = (
     r"accept(ing)? (all )?cookies",
     r"subscribe to (our )?newsletter",
@@ -86,7 +88,7 @@ OVERVIEW_LINES = (
     ("failed", "  Failed / skipped chunks  : "),
 )
 SOURCES_HEADING = "SOURCES"
-SOURCE_LINE = ("  • ", "  (", " chunk(s))")
+SOURCE_LINE = "  • %s  (%s chunk(s))"
 SENTIMENT_HEADING = "SENTIMENT DISTRIBUTION"
 SENTIMENT_LINES = (
     ("positive", "  Positive : "),
@@ -100,15 +102,15 @@ ENTITY_HEADINGS = (
     ("places", "  Places:"),
     ("organizations", "  Organizations:"),
 )
-ENTITY_LINE = ("    - ", " (", "x)")
+ENTITY_LINE = "    - %s (%sx)"
 NO_ENTITY_LINE = "    (none found)"
 CHUNKS_HEADING = "CHUNK SUMMARIES"
-CHUNK_LINE = ("  [Chunk ", "]  ", "  (part ", ")")
-CHUNK_SENTIMENT_LINE = ("  Sentiment : ", " (conf: ", ")")
+CHUNK_LINE = "  [Chunk %s]  %s  (part %s)"
+CHUNK_SENTIMENT_LINE = "  Sentiment : %s (conf: %s)"
 CHUNK_SUMMARY_LINE = "  Summary   : "
 QUESTIONS_LINE, QUESTION_LINE = "  Key Questions:", "    ? "
 FAILED_HEADING = "FAILED / SKIPPED CHUNKS"
-FAILED_LINE = ("  - Source: ", "  Part ", "/")
+FAILED_LINE = "  - Source: %s  Part %s/%s"
 CLOSING_LINE = "END OF REPORT"
 
 # The instructions sent with every chunk. The wording is ours; the keys, the

@@ -161,12 +161,6 @@ def _text(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def _fill(words: tuple[str, ...], *values: Column) -> Column:
-    """The words of a line with a value after each; the last words may have none."""
-    parts = [p for pair in zip(words, values) for p in pair]
-    return _text(*parts, *words[len(values) :])
-
-
 def _number(value: Column, width: int = 0) -> Column:
     text = value.cast("string")
     return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit(" "))
@@ -255,7 +249,7 @@ def _total_lines(row: DataFrame, rule: str) -> DataFrame:
 
 
 def _source_lines(results) -> DataFrame:
-    line = _fill(C.SOURCE_LINE, F.col("source"), _number(F.col("chunks")))
+    line = F.format_string(C.SOURCE_LINE, F.col("source"), _number(F.col("chunks")))
     return _lines(
         chunks_per_source(results), SECTION_SOURCES, F.col("first_chunk"), F.array(line)
     )
@@ -272,7 +266,7 @@ def _entity_lines(results) -> DataFrame:
         F.lit(SECTION_ENTITIES).alias("section_no"),
         F.col("kind_no").cast("bigint").alias("item_no"),
         F.col("rank").alias("line_no"),
-        _fill(C.ENTITY_LINE, F.col("name"), _number(F.col("mentions"))).alias("line"),
+        F.format_string(C.ENTITY_LINE, F.col("name"), _number(F.col("mentions"))).alias("line"),
     )
     return headings.unionByName(top)
 
@@ -280,11 +274,11 @@ def _entity_lines(results) -> DataFrame:
 def _chunk_lines(results) -> DataFrame:
     head = [
         F.lit(""),
-        _fill(
+        F.format_string(
             C.CHUNK_LINE, _number(F.col("chunk_id")), F.col("source"),
             _number(F.col("chunk_index") + 1),
         ),
-        _fill(
+        F.format_string(
             C.CHUNK_SENTIMENT_LINE, F.col("sentiment.label"),
             two_decimals(F.col("sentiment.confidence")),
         ),
@@ -298,7 +292,7 @@ def _chunk_lines(results) -> DataFrame:
 
 
 def _failure_lines(failures) -> DataFrame:
-    line = _fill(
+    line = F.format_string(
         C.FAILED_LINE, F.col("source"), _number(F.col("chunk_index") + 1),
         _number(F.col("total_chunks")),
     )

@@ -5,7 +5,6 @@ regex dialect, recursion instead of a fold.
 """
 
 from docsheaf import constants as C
-from docsheaf.functions.text import WHITESPACE
 
 
 def _lit(text: str) -> str:
@@ -14,7 +13,12 @@ def _lit(text: str) -> str:
 
 # regex class of the whitespace set, and the set itself, in RE2 and SQL form
 _WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_WS_CHARS = "||".join(f"chr({ord(c)})" for c in WHITESPACE)
+# fixed values are spelled out here, so that a wrong one in the library shows
+_SPACES = [
+    9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198, 8199,
+    8200, 8201, 8202, 8232, 8233, 8239, 8287, 12288,
+]
+_WS_CHARS = "||".join(f"chr({code})" for code in _SPACES)
 _LF = "chr(10)"
 
 
@@ -51,7 +55,13 @@ _DIRTY = (
 # --- cleaning ------------------------------------------------------------------------------
 
 _PATTERNS = "|".join(
-    p.replace(r"\s", _WS).replace(r"\d", r"\p{Nd}") for p in C.BOILERPLATE_PATTERNS
+    p.replace("_", _WS)
+    for p in (
+        r"accept(ing)? (all )?cookies", r"subscribe to (our )?newsletter",
+        r"sign up for (our )?(free )?newsletter", r"©_*\p{Nd}{4}.*all rights reserved",
+        r"privacy policy_*[|·]_*terms", r"share (this )?(article|post|page)", r"follow us on",
+        r"advertisement", r"skip to (main )?(content|navigation)", r"read (also|more)[:\-]",
+    )
 )
 
 
@@ -87,7 +97,7 @@ def _words(x: str) -> str:
 
 
 def _tokens(x: str) -> str:
-    return f"CAST(floor({_words(x)} * CAST({C.TOKENS_PER_WORD} AS DOUBLE)) AS BIGINT)"
+    return f"CAST(floor({_words(x)} * CAST(1.33 AS DOUBLE)) AS BIGINT)"
 
 
 def _paragraphs(x: str) -> str:
@@ -153,7 +163,7 @@ def _chunk_ctes(docs: str, max_tokens: int, text: str = "raw_text") -> str:
 
 def _chunks(max_tokens: int) -> str:
     return f"""WITH RECURSIVE {_chunk_ctes(_DIRTY, max_tokens)}
-    SELECT *, substring(text, 1, {C.PREVIEW_CHARS}) AS text_preview FROM chunks"""
+    SELECT *, substring(text, 1, 200) AS text_preview FROM chunks"""
 
 
 # --- sources -----------------------------------------------------------------------------------
@@ -201,8 +211,8 @@ _WEB_DOCS = f"""{_WEB}, docs AS (
 # --- calls ----------------------------------------------------------------------------------------
 
 _PROMPT = (
-    f"{_lit(C.REPLY_CONTRACT + chr(10) * 2 + C.TEXT_START_MARKER + chr(10))} || text || "
-    f"{_lit(chr(10) + C.TEXT_END_MARKER)}"
+    f"{_lit(C.REPLY_CONTRACT + chr(10) * 2 + "--- TEXT TO ANALYSE ---" + chr(10))} || text || "
+    f"{_lit(chr(10) + "--- END TEXT ---")}"
 )
 _CALLS = """SELECT doc_id AS doc_seq,
     CASE WHEN doc_id % 4 < 2 THEN 'reply of '
@@ -216,6 +226,11 @@ FROM documents"""
 
 # --- replies ------------------------------------------------------------------------------------------
 
+_NO_JSON = "'Extraction failed — raw output could not be parsed as JSON.'"
+_NO_QUESTION = "'Could not extract questions.'"
+_NO_SUMMARY = "'No summary available.'"
+_PAD = "'No additional question generated.'"
+
 # what each of the 31 reply shapes must give; see inputs.replies
 _REPLIES = f"""cases AS (
     SELECT *, doc_id % 31 + 1 AS c, string_split_regex(text, '[ \\n]') AS w,
@@ -232,9 +247,9 @@ expected AS (
                WHEN 31 THEN 'reply is not an object' WHEN 27 THEN 'entity list has a wrong type'
                WHEN 25 THEN 'reply is not an object' WHEN 13 THEN 'entity list has a wrong type' END AS reason,
         CASE WHEN c IN (5, 6, 10, 22) THEN true END AS parse_error,
-        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (6, 22) THEN {_lit(C.FALLBACK_SUMMARY)}
+        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (6, 22) THEN {_NO_JSON}
              WHEN c = 5 THEN 'Cut off ' || source WHEN c = 10 THEN quoted
-             WHEN c = 11 THEN {_lit(C.DEFAULT_SUMMARY)} WHEN c = 20 THEN 'None'
+             WHEN c = 11 THEN {_NO_SUMMARY} WHEN c = 20 THEN 'None'
              WHEN c = 26 THEN 'x: NaN, [-Infinity] ' || source
              ELSE trim(text, {_WS_CHARS}) END AS summary,
         CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (5, 6, 10, 11, 21, 22) THEN []
@@ -246,10 +261,10 @@ expected AS (
         CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (5, 6, 10, 22) THEN 0.0 WHEN c IN (11, 14) THEN 0.5
              WHEN c IN (15, 16, 24, 26) THEN 1.0 WHEN c = 28 THEN 0.0 ELSE conf END AS confidence,
         CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL
-             WHEN c IN (5, 6, 10, 22) THEN [{_lit(C.FALLBACK_QUESTION)}, {_lit(C.FALLBACK_QUESTION)}, {_lit(C.FALLBACK_QUESTION)}]
-             WHEN c = 11 THEN [{_lit(C.QUESTION_PAD)}, {_lit(C.QUESTION_PAD)}, {_lit(C.QUESTION_PAD)}]
+             WHEN c IN (5, 6, 10, 22) THEN [{_NO_QUESTION}, {_NO_QUESTION}, {_NO_QUESTION}]
+             WHEN c = 11 THEN [{_PAD}, {_PAD}, {_PAD}]
              WHEN c = 29 THEN ['q1', 'nan', '-inf']
-             WHEN c = 18 THEN ['only one', {_lit(C.QUESTION_PAD)}, {_lit(C.QUESTION_PAD)}]
+             WHEN c = 18 THEN ['only one', {_PAD}, {_PAD}]
              ELSE ['q1', 'q2', 'q3'] END AS questions
     FROM cases),
 ok AS (SELECT * FROM expected WHERE parse_path <> 'failed'),
@@ -282,7 +297,7 @@ ranked AS (
 top AS (SELECT * FROM ranked WHERE rank <= 5)"""
 
 _LAST = 2**62
-_RULE, _BANNER = "-" * C.RULE_WIDTH, "=" * C.BANNER_WIDTH
+_RULE, _BANNER = "-" * 40, "=" * 70
 
 
 def _heading(section: int, title: str) -> str:
@@ -343,7 +358,7 @@ numbered AS (
     SELECT *, row_number() OVER (ORDER BY doc_seq, chunk_index) AS chunk_id, length(text) AS size FROM chunks)"""
 _RUN_RESULTS = f"""{_RUN},
 ok AS (
-    SELECT chunk_id, source, chunk_index, substring(text, 1, {C.PREVIEW_CHARS}) AS text_preview,
+    SELECT chunk_id, source, chunk_index, substring(text, 1, 200) AS text_preview,
         CASE WHEN size % 13 = 0 THEN 'Cut short' ELSE trim(text, {_WS_CHARS}) END AS summary,
         CASE WHEN size % 13 = 0 THEN [] ELSE regexp_extract_all(text, '[A-Z][a-z]+') END AS people,
         CAST([] AS VARCHAR[]) AS places,
@@ -351,8 +366,8 @@ ok AS (
         CASE WHEN size % 13 = 0 THEN 'negative' ELSE ['positive', 'neutral', 'negative'][size % 3 + 1] END AS label,
         CASE WHEN size % 13 = 0 THEN 0.0 ELSE (size % 101) / CAST(100 AS DOUBLE) END AS confidence,
         CASE WHEN size % 13 = 0
-             THEN [{_lit(C.FALLBACK_QUESTION)}, {_lit(C.FALLBACK_QUESTION)}, {_lit(C.FALLBACK_QUESTION)}]
-             ELSE ['Why ' || size || '?', {_lit(C.QUESTION_PAD)}, {_lit(C.QUESTION_PAD)}] END AS questions,
+             THEN [{_NO_QUESTION}, {_NO_QUESTION}, {_NO_QUESTION}]
+             ELSE ['Why ' || size || '?', {_PAD}, {_PAD}] END AS questions,
         CASE WHEN size % 13 = 0 THEN true END AS parse_error
     FROM numbered WHERE size % 17 <> 0)
 {_flat('ok')}"""
