@@ -1,29 +1,22 @@
-"""What several operators share: words, staged tables, shingles and numbering."""
+"""What several operators share: words, byte strings, batches and staged tables."""
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from docsheaf.session import materialize, workspace
 
 #: Between words lie the six ASCII white-space characters and nothing else.
 BLANKS = "[\\x20\\x09-\\x0D]+"
-WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def whole_text() -> Column:
-    """The text of a document; null counts as empty."""
-    return F.coalesce(F.col("text"), F.lit("")).alias("text")
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it: no later step computes it again."""
     return materialize(df, workspace(df.sparkSession, name))
@@ -61,7 +54,7 @@ def per_text(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return total[starts[1:]] - total[starts[:-1]]
 
 
-def batches(function, columns: list[str], rows: int = 2048):
+def batches(function, columns: list[str], rows: int = 512):
     """For mapInArrow: apply ``function`` to every batch, ``rows`` rows at a time, which bounds its memory."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,27 +63,3 @@ def batches(function, columns: list[str], rows: int = 2048):
                 yield from pa.table(function(part.slice(at, rows)), names=columns).to_batches()
 
     return run
-
-
-def numbered(df: DataFrame, order: list[str], into: str, partitions: int) -> DataFrame:
-    """Number the rows from 0 in the order of ``order``, densely and without one large task.
-
-    Rows are dealt by range and sorted; each partition counts its rows, and the
-    counts before it give its first number. Equal rows are numbered in any order.
-    """
-    spark = df.sparkSession
-    names = df.columns
-    dealt = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    local = dealt.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    )
-    local = staged(local, "numbered")
-    # a row a partition: at most ``partitions`` of them
-    counts = {r[0]: r[1] for r in local.groupBy("_part").count().collect()}
-    before, rows = 0, []
-    for part in sorted(counts):
-        rows.append((part, before))
-        before += counts[part]
-    offsets = spark.createDataFrame(rows, "_part int, _before bigint")
-    joined = local.join(F.broadcast(offsets), "_part")
-    return joined.select(*names, (F.col("_before") + F.col("_row")).alias(into))

@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsheaf.llm.common import batches, numbered, split_words, staged
+from docsheaf.llm.common import batches, split_words, staged
+from docsheaf.operators.numbering import dense_numbers
 
 MIN_WORDS = 50
 
@@ -104,7 +105,7 @@ def _lines(least: int, part: pa.RecordBatch):
 def _ranked(rows: DataFrame, pair: list[str], rank: str, partitions: int) -> DataFrame:
     """Add the 1-based rank of each repeated pair among all of them; null where it occurs once."""
     repeated = rows.filter(F.col(pair[0]).isNotNull() & F.col(pair[1]).isNotNull()).groupBy(*pair).count()
-    order = numbered(repeated.filter("count > 1").select(*pair), pair, rank, partitions)
+    order = dense_numbers(repeated.filter("count > 1").select(*pair), pair, rank, partitions)
     return rows.join(order.withColumn(rank, F.col(rank) + 1), pair, "left")
 
 
@@ -152,7 +153,9 @@ def repeated_runs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     first = named.groupBy("size", "a", "b").agg(
         F.min(F.struct(*KEY, "i")).alias("first"), F.count("*").alias("n")
     )
-    later = named.join(first.filter("n > 1"), ["size", "a", "b"])
+    # written, so that the join below has plain shuffles on both sides and can be split
+    first = staged(first.filter("n > 1"), "intervals")
+    later = named.join(first, ["size", "a", "b"])
     return later.filter(F.struct(*KEY, "i") != F.col("first")).select(*KEY, "i", "size")
 
 
