@@ -1,5 +1,6 @@
 """What several operators share: words, byte strings, batches and staged tables."""
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +55,14 @@ def per_text(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return total[starts[1:]] - total[starts[:-1]]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on and shares its executor's limit."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def batches(function, columns: list[str], rows: int = 512):
     """For mapInArrow: apply ``function`` to every batch, ``rows`` rows at a time, which bounds its memory."""
 

@@ -27,15 +27,18 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsheaf.llm.common import per_text, split_words, staged
+from docsheaf.llm.common import give_back, per_text, split_words, staged
 
 #: Documents of a batch.
-BATCH = 4096
+BATCH = 512
 PSEUDO = 0.1
 PRIOR = 16.0
+#: Keys that a task adds up before it sends them on.
+HELD_KEYS = 500_000
 #: Bits of the filter for each level of each pair, and probes for each.
 BITS, PROBES = 6, 4
 BROADCAST_BYTES = 256 << 20
@@ -81,6 +84,16 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
 # --- batches
 
 
+def _to_planes(numbers: np.ndarray) -> bytes:
+    """Lowest bytes first, then the next: the upper ones are almost all zero and compress away."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+
+
 def _batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
     from pyspark import TaskContext
@@ -100,10 +113,11 @@ def _batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 doc_ids=own.column("doc_id").to_pylist(),
                 held=own.column("held").to_pylist(),
                 starts=(starts + np.arange(len(starts))).tobytes(),
-                tokens=tokens.astype("<u4").tobytes(),
+                tokens=_to_planes(tokens),
                 words=hashes.tobytes(),
             )
             number += 1
+            give_back()
 
 
 class Batch:
@@ -113,7 +127,7 @@ class Batch:
         self.number, self.doc_ids = row["batch"], row["doc_ids"]
         self.held = np.array(row["held"], bool)
         self.starts = np.frombuffer(row["starts"], np.int64)
-        self.tokens = np.frombuffer(row["tokens"], "<u4").astype(np.int64)
+        self.tokens = _from_planes(row["tokens"])
         self.words = np.frombuffer(row["words"], np.uint64)
         self.before = np.insert(self.tokens[:-1], 0, 1)
         self.before[self.starts[:-1]] = 1
@@ -124,9 +138,11 @@ class Batch:
 
 
 def _rows(parts: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
+    """One batch at a time; memory held for the ones before is given back."""
     for part in parts:
         for k in range(part.num_rows):
             yield Batch(part.slice(k, 1).to_pylist()[0])
+            give_back()
 
 
 def tokenised(docs: DataFrame) -> DataFrame:
@@ -149,26 +165,44 @@ def _blocks(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
             yield s, order[cuts[s] : cuts[s + 1]]
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of each one's counts."""
+    keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+
+
 def _count(shards: int, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of counts for every shard; batches are added up as far as ``HELD_KEYS`` allows."""
+    held = {0: [], 1: []}
+
+    def sent(kind: int) -> Iterator[pa.RecordBatch]:
+        keys, n = _summed(held[kind])
+        held[kind].clear()
+        for shard, at in _blocks(keys, shards):
+            yield _record(
+                BLOCKS, shard=shard, kind=kind, keys=keys[at].tobytes(), counts=n[at].astype("<u4").tobytes()
+            )
+
     for batch in _rows(parts):
         train = np.repeat(~batch.held, np.diff(batch.starts))
         counts = np.bincount(batch.tokens[train], minlength=len(batch.words))
         used = np.flatnonzero(counts)
-        pairs, times = np.unique(batch.pairs[train], return_counts=True)
-        for kind, keys, n in ((0, batch.words[used], counts[used]), (1, pairs, times)):
-            for shard, at in _blocks(keys, shards):
-                yield _record(
-                    BLOCKS, shard=shard, kind=kind, keys=keys[at].tobytes(), counts=n[at].astype("<u4").tobytes()
-                )
+        held[0].append((batch.words[used], counts[used]))
+        held[1].append(np.unique(batch.pairs[train], return_counts=True))
+        for kind, own in held.items():
+            if sum(len(k) for k, _ in own) > HELD_KEYS:
+                yield from sent(kind)
+    for kind, own in held.items():
+        if own:
+            yield from sent(kind)
 
 
 def _added(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all blocks of a kind in order, and their counts."""
-    rows = [r for r in table.select(["kind", "keys", "counts"]).to_pylist() if r["kind"] == kind]
-    keys = np.frombuffer(b"".join(r["keys"] for r in rows), np.uint64)
-    counts = np.frombuffer(b"".join(r["counts"] for r in rows), "<u4").astype(np.int64)
-    keys, place = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(place, counts, len(keys)).astype(np.int64)
+    own = table.filter(pc.equal(table.column("kind"), kind))
+    keys = np.frombuffer(b"".join(own.column("keys").to_pylist()), np.uint64)
+    counts = np.frombuffer(b"".join(own.column("counts").to_pylist()), "<u4")
+    return _summed([(keys, counts)])
 
 
 def _positions(keys: np.ndarray, level: int, probe: int, size: int) -> np.ndarray:
@@ -211,6 +245,7 @@ def read_levels(keys: np.ndarray, bits: np.ndarray, offset, size) -> np.ndarray:
 def _merge(key: tuple, table: pa.Table) -> pa.Table:
     words, counts = _added(table, 0)
     pairs, times = _added(table, 1)
+    give_back()
     row = _record(
         MODEL, shard=key[0].as_py(), n_tokens=int(counts.sum()), n_words=len(words), word_keys=words.tobytes(),
         word_counts=counts.tobytes(), bits=build_filter(pairs, times).tobytes(),
@@ -303,7 +338,9 @@ def level_counts(levels: np.ndarray) -> np.ndarray:
 def _score(shards: int, total: int, distinct: int, prior: float, held, parts: Iterator[pa.RecordBatch]):
     columns = [c.split()[0] for c in SCORES.split(", ")]
     for part in parts:
-        for row in part.to_pylist():
+        for k in range(part.num_rows):
+            give_back()
+            row = part.slice(k, 1).to_pylist()[0]
             batch = Batch(row)
             count = _restored(batch.words, shards, row["words_found"], np.int64)
             base = (count + PSEUDO) / (total + PSEUDO * (distinct + 1))
