@@ -100,11 +100,29 @@ BASE = (
     ),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", r"\+[0-9]", _within(8, 15), 0.5, r"phone|call|tel|mobile|fax"),
 )
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+#: The country gives the length, so what follows the number is not taken with it. Codes
+#: without a known length are taken without spaces.
+_IBANS = "|".join(
+    [
+        f"(?:{'|'.join(codes.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{length - 4}}}+"
+        for length, codes in IBAN_LENGTHS.items()
+    ]
+    + [f"(?!{'|'.join(' '.join(IBAN_LENGTHS.values()).split())})[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}+"]
+)
+
 #: Found by checksum, or by context alone where the number has none.
 ADDED = (
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBANS})(?![A-Za-z0-9])",
         "[A-Z]{2}[0-9]{2}",
         _mod97,
         0.7,

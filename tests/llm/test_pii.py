@@ -57,6 +57,18 @@ def test_known_numbers(table):
     assert float(found[4].scores) > float(found[5].scores)
 
 
+def test_ibans_before_capitals_and_digits(table):
+    number = "GB82 WEST 1234 5698 7654 32"
+    after = [" Please pay", " The", " 7 days", " BIC ABCD", " BIC", "\nDE", ".", "", " DE89370400440532013000"]
+    rows = [(k, f"IBAN {n}{a}") for k, (n, a) in enumerate((n, a) for n in (number, number.replace(" ", "")) for a in after)]
+    found = check(table([*rows, (98, f"{number}X"), (99, "account GB82 WEST 1234 5698 7654 33 The")]))
+    for doc, text in rows:
+        first, *more = found[doc].spans.split(",")
+        assert first == f"iban:5:{5 + len(number if ' WEST' in text else number.replace(' ', ''))}", text
+        assert len(more) == ("DE8937" in text)
+    assert found[98].spans == found[99].spans == ""
+
+
 def test_many_matches_in_one_text(table):
     check(table([(0, "a@b.cd " * 3000), (1, "a.a" * 20_000 + "@" + "b.c" * 20_000), (2, "1." * 30_000)]))
 
