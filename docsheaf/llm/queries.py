@@ -3,9 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from docsheaf.llm import (
-    credentials, exact_dedup, line_quality, line_runs, mixing, ngram_model, pieces, pii, simhash, token_store,
+    credentials, exact_dedup, filter_audit, line_quality, line_runs, mixing, ngram_model, pieces, pii, simhash,
+    token_store, url_filter, vector_codes,
 )
 from docsheaf.llm.common import read_table
+from docsheaf.llm.oracles import ORACLES as ORACLES
 
 
 def tokenizer_file(name: str) -> str:
@@ -61,6 +63,19 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.digest(line_runs.without_repeated_runs(docs))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return filter_audit.audited(docs, read_table(spark, sf_dir, "labels"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(url_filter.judged(read_table(spark, sf_dir, "pages")))
+
+
 QUERIES = {
     "op1_pieces": op1_pieces,
     "op2_mixing": op2_mixing,
@@ -72,20 +87,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_ngram_model": op9_ngram_model,
     "op10_line_runs": op10_line_runs,
-}
-
-ORACLES = {
-    "op6_exact_dedup": r"""
-        WITH d AS (
-            SELECT doc_id, length(coalesce(text, '')) AS chars,
-                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm
-            FROM documents
-        ), r AS (
-            SELECT *, first_value(doc_id) OVER w AS keep_id,
-                   count(*) OVER (PARTITION BY norm) AS group_size
-            FROM d WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id)
-        )
-        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
-        FROM r
-    """,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_url_filter": op13_url_filter,
 }
