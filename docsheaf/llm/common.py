@@ -13,6 +13,9 @@ from docsheaf.session import materialize, workspace
 #: Between words lie the six ASCII white-space characters and nothing else.
 BLANKS = "[\\x20\\x09-\\x0D]+"
 
+#: Bytes of strings that a function is given at once, but for a row that has more.
+BATCH_BYTES = 8 << 20
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -63,12 +66,27 @@ def give_back() -> None:
         trim(0)
 
 
+def cuts(part: pa.RecordBatch, rows: int) -> Iterator[tuple[int, int]]:
+    """Where a batch is cut: after ``rows`` rows, or before the strings in it pass ``BATCH_BYTES``."""
+    size = np.zeros(part.num_rows, np.int64)
+    for column in part.columns:
+        for values in column.flatten() if pa.types.is_struct(column.type) else [column]:
+            if pa.types.is_string(values.type) or pa.types.is_binary(values.type):
+                size += pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(size), 0
+    while at < part.num_rows:
+        room = (ends[at - 1] if at else 0) + BATCH_BYTES
+        end = min(at + rows, int(np.searchsorted(ends, room, side="right")))
+        yield at, max(end, at + 1)
+        at = max(end, at + 1)
+
+
 def batches(function, columns: list[str], rows: int = 512):
-    """For mapInArrow: apply ``function`` to every batch, ``rows`` rows at a time, which bounds its memory."""
+    """For mapInArrow: apply ``function`` to every batch, some rows at a time, which bounds its memory."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for at in range(0, part.num_rows, rows):
-                yield from pa.table(function(part.slice(at, rows)), names=columns).to_batches()
+            for at, end in cuts(part, rows):
+                yield from pa.table(function(part.slice(at, end - at)), names=columns).to_batches()
 
     return run
