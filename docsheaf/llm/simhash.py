@@ -18,7 +18,8 @@ complete and their number grows with the members, not with their square.
 
 Equal fingerprints are one node, so copies never meet in a bucket. Null and
 blank texts have the fingerprint zero and are linked like others. A null
-identifier belongs to the class of its fingerprint. Repeated rows give
+identifier belongs to the class of its fingerprint. Unlike texts of one
+identifier are linked by their fingerprints alone. Repeated rows give
 repeated rows; an empty table gives an empty one.
 """
 
@@ -81,14 +82,17 @@ def majority_bits(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """``(doc_id, fp)``: the 64 bits of every document as a signed number."""
+    """``(doc_id, digest, fp)``: a digest and the 64 bits of every document as signed numbers."""
 
     def function(part):
         bits = majority_bits(*shingle_hashes(part.column("text"), words))
-        return [part.column("doc_id"), bits.view(np.int64)]
+        return [part.column("doc_id"), part.column("digest"), bits.view(np.int64)]
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(batches(function, ["doc_id", "fp"], rows=512), "doc_id bigint, fp bigint")
+    text = F.coalesce("text", F.lit("")).alias("text")
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64(text).alias("digest"), text)
+    return rows.mapInArrow(
+        batches(function, ["doc_id", "digest", "fp"], rows=512), "doc_id bigint, digest bigint, fp bigint"
+    )
 
 
 def _remainder(word: int) -> int:
@@ -176,14 +180,28 @@ def close_links(classes: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, bucket: int = BUCKET) -> DataFrame:
-    """``(doc_id, fp, component_id)``: fingerprint and smallest identifier of the group."""
+    """``(doc_id, digest, fp, group, component_id)`` of every document.
+
+    ``digest`` tells texts apart, ``group`` is the same for all documents that
+    are linked, and ``component_id`` is their smallest identifier.
+    """
     fps = staged(fingerprints(docs, words), "fingerprints")
-    classes = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
-    groups = components(close_links(classes.filter("node is not null"), bucket))
-    named = classes.join(groups, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id")
+    classes = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    nodes = classes.filter("least is not null").select(F.col("fp").alias("node"), "fp")
+    groups = components(close_links(nodes, bucket)).withColumnRenamed("node", "fp")
+    grouped = classes.join(groups, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("group"))
+    named = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
+    return fps.join(grouped.drop("least").join(named, "group"), "fp").select(
+        "doc_id", "digest", "fp", "group", "component_id"
+    )
+
+
+def first_of_groups(groups: DataFrame) -> DataFrame:
+    """``(doc_id, digest)`` of the document that stays of every group: the first by identifier, then digest."""
+    first = groups.filter("doc_id = component_id").groupBy("group").agg(
+        F.min("doc_id").alias("doc_id"), F.min("digest").alias("digest")
     )
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return first.select("doc_id", "digest")
 
 
 def digest(groups: DataFrame) -> DataFrame:
