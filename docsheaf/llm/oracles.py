@@ -186,15 +186,16 @@ WITH parsed AS (
     SELECT step, count(*) FILTER (WHERE by_rule = 'allow') AS allow, count(*) FILTER (WHERE by_rule = 'block') AS block
     FROM scored WHERE held AND by_rule IS NOT NULL GROUP BY step
 ), errors AS (
-    SELECT step, sum(allow) OVER () AS every_allow, sum(block) OVER () AS every_block,
+    SELECT greatest(least(step, 0), lag(step) OVER (ORDER BY step) + 1) AS least,
+           sum(allow) OVER () AS every_allow, sum(block) OVER () AS every_block,
            sum(allow) OVER (ORDER BY step) - allow AS lost, sum(block) OVER (ORDER BY step) - block AS stopped
     FROM steps
 ), best AS (
-    SELECT step FROM errors WHERE every_allow > 0 AND every_block > 0
-    ORDER BY round(lost::DOUBLE / every_allow + 1 - stopped::DOUBLE / every_block, 12), abs(step), step LIMIT 1
+    SELECT least FROM errors WHERE every_allow > 0 AND every_block > 0
+    ORDER BY round(lost::DOUBLE / every_allow + 1 - stopped::DOUBLE / every_block, 12), abs(least), least LIMIT 1
 )
 SELECT page_id, host, path, rule,
-       coalesce(urls.by_rule, CASE WHEN step >= coalesce((SELECT step FROM best), 0) THEN 'allow' ELSE 'block' END)
+       coalesce(urls.by_rule, CASE WHEN step >= coalesce((SELECT least FROM best), 0) THEN 'allow' ELSE 'block' END)
            AS verdict
 FROM urls JOIN scored USING (r)
 """

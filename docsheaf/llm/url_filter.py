@@ -160,9 +160,12 @@ def calibrated(examples: DataFrame) -> int:
     lost = (F.sum("allow").over(upwards) - F.col("allow")) / F.sum("allow").over(everything)
     passed = 1 - (F.sum("block").over(upwards) - F.col("block")) / F.sum("block").over(everything)
     both = (F.sum("allow").over(everything) > 0) & (F.sum("block").over(everything) > 0)
-    errors = steps.select("step", F.when(both, F.round(lost + passed, 12)).alias("errors")).filter("errors is not null")
-    best = errors.orderBy("errors", F.abs("step"), "step").first()
-    return best.step if best else 0
+    # all from the step after the one below have the same errors
+    since = F.lag("step").over(Window.partitionBy(F.lit(0)).orderBy("step")) + 1
+    nearest = F.greatest(F.least("step", F.lit(0)), since).alias("least")
+    errors = steps.select(nearest, F.when(both, F.round(lost + passed, 12)).alias("errors")).filter("errors is not null")
+    best = errors.orderBy("errors", F.abs("least"), "least").first()
+    return best.least if best else 0
 
 
 def judged(pages: DataFrame, rules=RULES) -> DataFrame:

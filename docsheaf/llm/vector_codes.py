@@ -103,9 +103,10 @@ class Chunk:
         read = lambda name, kind: np.frombuffer(row[name], kind)
         self.order = read("places", "<u4").reshape(parts, n)
         self.values = read("components", "<i4").reshape(parts, n, width)
-        self.low = read("low", "<i4").reshape(parts, -1, width)
-        self.high = read("high", "<i4").reshape(parts, -1, width)
-        self.sums = read("sums", "<i8").reshape(parts, -1, width)
+        blocks = len(self.starts) - 1
+        self.low = read("low", "<i4").reshape(parts, blocks, width)
+        self.high = read("high", "<i4").reshape(parts, blocks, width)
+        self.sums = read("sums", "<i8").reshape(parts, blocks, width)
 
 
 def _packed(components: np.ndarray, parts: int) -> dict:
