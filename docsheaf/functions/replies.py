@@ -120,10 +120,15 @@ def coerce_summary(value: Column, kind: Column) -> Column:
 
 
 def coerce_names(value: Column, kind: Column) -> Column:
-    """Null marks a type that has no elements, which fails the reply."""
+    """Null marks a type that has no elements, which fails the reply.
+
+    An element that is null has the name that text shows for it, here and so in
+    every file and count.
+    """
+    named = lambda t: F.coalesce(F.regexp_replace(t, _NAMED, "$1"), F.lit("None"))
     return (
         F.when(kind.isNull(), F.array().cast("array<string>"))
-        .when(kind == "ARRAY", F.transform(_as(value, "array<string>"), lambda t: F.regexp_replace(t, _NAMED, "$1")))
+        .when(kind == "ARRAY", F.transform(_as(value, "array<string>"), named))
         .when(kind == "OBJECT", F.map_keys(_as(value, "map<string,variant>")))
         .when(kind == "STRING", F.filter(F.split(_as(value, "string"), ""), lambda c: c != ""))
     )

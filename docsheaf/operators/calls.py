@@ -182,6 +182,31 @@ def pending(rows: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
     return rows.join(done.select(*keys), list(keys), "left_anti")
 
 
+def no_wait(seconds: float) -> None:
+    """For trying a policy without its pauses."""
+
+
+def replay_client() -> Callable[[str], str]:
+    """A client that gives the answers recorded with a request, an attempt each: for trying policies on past calls.
+
+    A request is JSON with an ``id`` and ``answers`` of ``kind``, ``status_code`` and ``reply``.
+    """
+    last, left = None, []
+
+    def call(text: str) -> str:
+        nonlocal last, left
+        request = json.loads(text)
+        if request["id"] != last:
+            last, left = request["id"], request["answers"]
+        answer, left = left[0], left[1:] or left
+        if answer["kind"] == "ok":
+            last = None
+            return answer["reply"]
+        raise CallError(answer["reply"], answer["kind"], answer.get("status_code"))
+
+    return call
+
+
 # --- model requests ------------------------------------------------------------------
 
 

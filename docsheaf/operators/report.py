@@ -112,7 +112,7 @@ def entity_counts(results: DataFrame) -> DataFrame:
     place = F.shiftleft(F.col("chunk_id").cast("bigint"), POSITION_BITS).bitwiseOR(F.col("position").cast("bigint"))
     return (
         results.select("chunk_id", F.inline(F.concat(*mentions)))
-        .groupBy("kind_no", F.coalesce("name", F.lit("None")).alias("name"))
+        .groupBy("kind_no", "name")
         .agg(F.count("*").alias("mentions"), F.min(place).alias("place"))
         .select(
             "kind_no",

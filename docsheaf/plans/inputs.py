@@ -79,6 +79,16 @@ def named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def read_files(files: DataFrame) -> DataFrame:
+    """The files as read; some could not be."""
+    bad = F.pmod(F.length("content"), F.lit(5)) == 2
+    return files.select(
+        "source",
+        F.when(~bad, F.col("content")).alias("content"),
+        F.when(bad, F.concat(F.lit("stream ended after "), F.length("content"))).alias("error"),
+    )
+
+
 def fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as a log of fetches; some failed."""
     failed = F.pmod("page_id", F.lit(11)) == 5
@@ -167,11 +177,36 @@ def recorded_replies(docs: DataFrame, max_tokens: int) -> DataFrame:
     )
 
 
-REPLY_CASES = 31
+def recorded_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request for every document, with the answers that its attempts once got, by the length of its text:
+    a reply; two rate limits, then a reply; a timeout each time; a refusal each time."""
+    docs = documents(spark, sf_dir)
+    kinds = {
+        0: [("ok", None)],
+        1: [("rate_limit", 429), ("rate_limit", 429), ("ok", None)],
+        2: [("timeout", None)] * C.MODEL_ATTEMPTS,
+        3: [("status", 400)] * C.MODEL_ATTEMPTS,
+    }
+
+    def answer(kind, status):
+        reply = F.col("raw_text") if kind == "ok" else F.concat(F.lit(f"{kind} after "), F.length("raw_text"))
+        return F.struct(
+            F.lit(kind).alias("kind"), F.lit(status).cast("int").alias("status_code"), reply.alias("reply")
+        )
+
+    size = F.pmod(F.length("raw_text"), F.lit(4))
+    answers = F.array(*[answer(*a) for a in kinds[0]])
+    for kind, row in kinds.items():
+        answers = F.when(size == kind, F.array(*[answer(*a) for a in row])).otherwise(answers)
+    request = F.to_json(F.struct(F.col("doc_seq").alias("id"), answers.alias("answers")))
+    return docs.select("doc_seq", request.alias("request"))
+
+
+REPLY_CASES = 32
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A model reply for every document, in one of 31 shapes, with ``case_no``.
+    """A model reply for every document, in one of 32 shapes, with ``case_no``.
 
     A well-formed reply quotes the whole text as its summary, two words of it
     as people, the source as organization and the language as place.
@@ -253,6 +288,9 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         reply(questions=F.lit('["q1",NaN,-Infinity]'), label=F.lit("NaN")),
         F.concat(F.lit('{"summary":"old","key_questions":NaN,'), F.substring(good, 2, 1 << 30)),
         F.lit("[NaN]"),
+        reply(entities=F.concat(
+            F.lit('{"people":[null,'), org, F.lit('],"places":['), place, F.lit(',null],"organizations":[null]}')
+        )),
     ]
     raw = F.lit(None).cast("string")
     for number, shape in reversed(list(enumerate(shapes, 1))):

@@ -214,13 +214,11 @@ _PROMPT = (
     f"{_lit(C.REPLY_CONTRACT + chr(10) * 2 + "--- TEXT TO ANALYSE ---" + chr(10))} || text || "
     f"{_lit(chr(10) + "--- END TEXT ---")}"
 )
-_CALLS = """SELECT doc_id AS doc_seq,
-    CASE WHEN doc_id % 4 < 2 THEN 'reply of '
-        || (length(text) + length(CAST(doc_id AS VARCHAR)) + 1) END AS raw,
-    CASE WHEN doc_id % 4 < 2 THEN 'success' ELSE 'failed' END AS status,
-    [1, 3, {exhausted}, {refused}][doc_id % 4 + 1] AS attempts,
-    CAST([0, {twice}, {always}, {refused_wait}][doc_id % 4 + 1] AS DOUBLE) AS waited,
-    [NULL, NULL, 'request timeout', 'bad request'][doc_id % 4 + 1] AS error
+_CALLS = """SELECT doc_id AS doc_seq, CASE WHEN length(text) % 4 < 2 THEN text END AS raw,
+    CASE WHEN length(text) % 4 < 2 THEN 'success' ELSE 'failed' END AS status,
+    [1, 3, {exhausted}, {refused}][length(text) % 4 + 1] AS attempts,
+    CAST([0, {twice}, {always}, {refused_wait}][length(text) % 4 + 1] AS DOUBLE) AS waited,
+    [NULL, NULL, 'timeout after ', 'status after '][length(text) % 4 + 1] || length(text) AS error
 FROM documents"""
 
 
@@ -231,9 +229,9 @@ _NO_QUESTION = "'Could not extract questions.'"
 _NO_SUMMARY = "'No summary available.'"
 _PAD = "'No additional question generated.'"
 
-# what each of the 31 reply shapes must give; see inputs.replies
+# what each of the 32 reply shapes must give; see inputs.replies
 _REPLIES = f"""cases AS (
-    SELECT *, doc_id % 31 + 1 AS c, string_split_regex(text, '[ \\n]') AS w,
+    SELECT *, doc_id % 32 + 1 AS c, string_split_regex(text, '[ \\n]') AS w,
         ['positive', 'neutral', 'negative'][doc_id % 3 + 1] AS lab,
         (doc_id % 101) / CAST(100.0 AS DOUBLE) AS conf,
         regexp_extract(CAST(to_json(text) AS VARCHAR), '^"([^"]+)"', 1) AS quoted
@@ -253,9 +251,10 @@ expected AS (
              WHEN c = 26 THEN 'x: NaN, [-Infinity] ' || source
              ELSE trim(text, {_WS_CHARS}) END AS summary,
         CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (5, 6, 10, 11, 21, 22) THEN []
-             WHEN c = 12 THEN ['B', 'o', 'b'] WHEN c = 28 THEN ['A', 'NaN', '-Infinity'] ELSE [w[1], w[2]] END AS people,
-        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (5, 6, 10, 11, 21, 22) THEN [] ELSE [lang] END AS places,
-        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (5, 6, 10, 11, 21, 22) THEN [] ELSE [source] END AS orgs,
+             WHEN c = 12 THEN ['B', 'o', 'b'] WHEN c = 28 THEN ['A', 'NaN', '-Infinity'] WHEN c = 32 THEN ['None', source]
+             ELSE [w[1], coalesce(w[2], 'None')] END AS people,
+        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (5, 6, 10, 11, 21, 22) THEN [] WHEN c = 32 THEN [lang, 'None'] ELSE [lang] END AS places,
+        CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (5, 6, 10, 11, 21, 22) THEN [] WHEN c = 32 THEN ['None'] ELSE [source] END AS orgs,
         CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c = 5 THEN 'negative'
              WHEN c IN (6, 11, 17, 22, 29) THEN 'neutral' ELSE lab END AS label,
         CASE WHEN c IN (7, 8, 13, 25, 27, 31) THEN NULL WHEN c IN (5, 6, 10, 22) THEN 0.0 WHEN c IN (11, 14) THEN 0.5
@@ -452,9 +451,9 @@ ORACLES = {
                  THEN 'retry' ELSE 'fatal' END AS message_class FROM worded""",
     "call_rows_model": _CALLS.format(exhausted=4, refused=1, twice=4, always=8, refused_wait=0),
     "call_rows_fetch": _CALLS.format(exhausted=3, refused=3, twice=6, always=6, refused_wait=6),
-    "split_outcomes": """SELECT doc_id AS doc_seq, CASE WHEN doc_id % 4 < 2 THEN 'results' ELSE 'failed' END AS part,
-        [NULL, NULL, 'request timeout', 'bad request'][doc_id % 4 + 1] AS error FROM documents""",
-    "resume_calls": "SELECT doc_id AS doc_seq, length(text) AS chars FROM documents WHERE doc_id % 4 >= 2",
+    "split_outcomes": """SELECT doc_id AS doc_seq, CASE WHEN length(text) % 4 < 2 THEN 'results' ELSE 'failed' END AS part,
+        [NULL, NULL, 'timeout after ', 'status after '][length(text) % 4 + 1] || length(text) AS error FROM documents""",
+    "resume_calls": "SELECT doc_id AS doc_seq, length(text) AS chars FROM documents WHERE length(text) % 4 >= 2",
     "parse_replies": f"WITH {_REPLIES} SELECT doc_seq, case_no, parse_path, reason, parse_error FROM expected",
     "coerce_replies": f"""WITH {_REPLIES} SELECT doc_seq, summary,
         array_to_string(people, '|') AS people, array_to_string(places, '|') AS places,
@@ -484,10 +483,16 @@ ORACLES = {
         total_chunks, text, 'bad request' AS reason FROM numbered WHERE size % 17 = 0""",
 }
 
+# a Latin-1 character is one byte
+_SIZE = f"CASE WHEN doc_seq % 2 = 0 THEN octet_length(encode(raw_text)) ELSE length({_LATIN1}) END"
+ORACLES["unreadable_rejects"] = f"""WITH {_FILES}, sized AS (
+        SELECT path, kind, {_SIZE} AS size FROM files)
+    SELECT path AS source, 'ingest' AS stage, 'cannot be read: stream ended after ' || size AS reason
+    FROM sized WHERE kind IS NOT NULL AND size % 5 = 2"""
 ORACLES["all_rejects"] = " UNION ALL ".join(
     f"({ORACLES[name]})" for name in (
         "file_rejects", "page_rejects", "capture_rejects",
-        "missing_rejects", "pdf_rejects", "fetch_rejects", "blank_rejects",
+        "missing_rejects", "pdf_rejects", "fetch_rejects", "blank_rejects", "unreadable_rejects",
     )
 )
 ORACLES["report_roundtrip"] = f"""WITH cut AS (

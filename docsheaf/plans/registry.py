@@ -20,7 +20,7 @@ from docsheaf.operators.chunking import (
 from docsheaf.operators.cleaning import clean_documents
 from docsheaf.operators.numbering import chunk_offsets, dense_numbers, number_chunks
 from docsheaf.operators.results import failed, flat_rows, result_records
-from docsheaf.plans import inputs, stubs
+from docsheaf.plans import inputs
 from docsheaf.plans.extraction import run_extraction, save_run
 from docsheaf.session import materialize, workspace
 from docsheaf.sources import captures as web
@@ -195,6 +195,11 @@ def blank_rejects(spark, sf_dir):
     return without_chunks(add_chunks(docs, max_tokens=200))
 
 
+def unreadable_rejects(spark, sf_dir):
+    """Accepted files of which some had an error when they were read."""
+    return files.unreadable_files(inputs.read_files(_file_names(inputs.dirty_documents(spark, sf_dir))))
+
+
 def all_rejects(spark, sf_dir):
     """Every skipped input of all sources and kinds in one table."""
     return union_rejects(*[reject(spark, sf_dir) for reject in REJECTS])
@@ -202,6 +207,7 @@ def all_rejects(spark, sf_dir):
 
 REJECTS = (
     file_rejects, page_rejects, capture_rejects, missing_rejects, pdf_rejects, fetch_rejects, blank_rejects,
+    unreadable_rejects,
 )
 
 
@@ -241,13 +247,11 @@ def classify_errors(spark, sf_dir):
     return X.classify_log(inputs.call_log(spark, sf_dir))
 
 
-def _keyed_calls(policy):
+def _replayed_calls(policy):
     def query(spark, sf_dir):
-        docs = inputs.documents(spark, sf_dir)
-        text = F.concat(F.col("doc_seq").cast("string"), F.lit("\n"), F.col("raw_text"))
-        rows = docs.select("doc_seq", text.alias("request"))
-        calls = X.call_rows(rows, "request", stubs.keyed_client, policy, stubs.no_sleep)
-        return calls.drop("request")
+        """The retry rules over recorded answers, of as many attempts as the policy makes."""
+        rows = inputs.recorded_attempts(spark, sf_dir)
+        return X.call_rows(rows, "request", X.replay_client, policy, X.no_wait).drop("request")
 
     return query
 
@@ -255,7 +259,7 @@ def _keyed_calls(policy):
 def split_outcomes(spark, sf_dir):
     """Calls written once, then split by outcome."""
     calls = materialize(
-        _keyed_calls(X.MODEL_POLICY)(spark, sf_dir), workspace(spark, "calls")
+        _replayed_calls(X.MODEL_POLICY)(spark, sf_dir), workspace(spark, "calls")
     )
     ok = calls.filter(F.col("status") == X.SUCCESS)
     bad = calls.filter(F.col("status") == X.FAILURE)
@@ -267,7 +271,7 @@ def split_outcomes(spark, sf_dir):
 def resume_calls(spark, sf_dir):
     """Calls still to make after a run that recorded only the successes."""
     calls = materialize(
-        _keyed_calls(X.MODEL_POLICY)(spark, sf_dir).select("doc_seq", "status"),
+        _replayed_calls(X.MODEL_POLICY)(spark, sf_dir).select("doc_seq", "status"),
         workspace(spark, "calls"),
     )
     rows = inputs.documents(spark, sf_dir).select("doc_seq", "raw_text")
@@ -284,7 +288,7 @@ def parse_replies_query(spark, sf_dir):
 
 
 def _joined(column):
-    return F.array_join(column, "|", "null")
+    return F.array_join(column, "|")
 
 
 def coerce_replies(spark, sf_dir):
@@ -449,13 +453,14 @@ QUERIES = {
     "html_main_text": html_main_text,
     "page_chunks": page_chunks,
     "capture_rejects": capture_rejects,
+    "unreadable_rejects": unreadable_rejects,
     "all_rejects": all_rejects,
     "union_sources": union_sources_query,
     "requests_openai": _requests("openai"),
     "requests_gemini": _requests("gemini"),
     "classify_errors": classify_errors,
-    "call_rows_model": _keyed_calls(X.MODEL_POLICY),
-    "call_rows_fetch": _keyed_calls(X.FETCH_POLICY),
+    "call_rows_model": _replayed_calls(X.MODEL_POLICY),
+    "call_rows_fetch": _replayed_calls(X.FETCH_POLICY),
     "split_outcomes": split_outcomes,
     "resume_calls": resume_calls,
     "parse_replies": parse_replies_query,

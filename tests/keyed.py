@@ -1,12 +1,8 @@
-"""A deterministic client, so that calls can be checked against SQL."""
+"""A client that behaves by rule."""
 
 from docsheaf.operators.calls import CallError
 
 
-def no_sleep(seconds: float) -> None:
-    pass
-
-
 def keyed_client():
     """Behaves by the number on the first line, modulo 4: succeeds; fails twice
     with a rate limit, then succeeds; always times out; is refused."""

@@ -1,12 +1,20 @@
+import sys
 import time
+
+import keyed
 import pytest
+from keyed import keyed_client
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from docsheaf import constants as C
 from docsheaf.operators import calls as X
-from docsheaf.plans.stubs import keyed_client, no_sleep
+from docsheaf.operators.calls import no_wait as no_sleep
 from docsheaf.sources import captures
 
+cloudpickle.register_pickle_by_value(keyed)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def outcomes(policy, client, text):
     waits = []
@@ -155,3 +163,15 @@ def test_calls_in_flight_keep_order_and_rate(spark):
 def test_policy_of_a_provider():
     assert X.policy_for(X.ModelConfig("openai", "m", "K")).retriable is X.retry_by_type
     assert X.policy_for(X.ModelConfig("gemini", "m", "K")).retriable is X.retry_by_message
+
+
+def test_replayed_answers():
+    import json
+
+    answers = [{"kind": "rate_limit", "status_code": 429, "reply": "slow"}, {"kind": "ok", "reply": "fine"}]
+    call = X.replay_client()
+    for key in (1, 1, 2):
+        text = json.dumps({"id": key, "answers": answers})
+        assert outcomes(X.MODEL_POLICY, call, text) == (("fine", "success", 2, 2.0, None), [2])
+    lasting = json.dumps({"id": 3, "answers": [{"kind": "timeout", "reply": "late"}]})
+    assert outcomes(X.MODEL_POLICY, call, lasting) == ((None, "failed", 4, 8.0, "late"), [2, 2, 4])

@@ -7,9 +7,8 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from docsheaf.functions.tokens import estimated
-from docsheaf.operators.calls import MODEL_POLICY
+from docsheaf.operators.calls import no_wait as no_sleep
 from docsheaf.plans import extraction as E
-from docsheaf.plans.stubs import no_sleep
 from docsheaf.session import workspace
 from docsheaf.sources.sinks import EmptyStage
 
