@@ -11,6 +11,7 @@ written once and read back; see ``plans.extraction``. Leave speculation off.
 import json
 import threading
 import time
+from collections import deque
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -92,7 +93,7 @@ class RetryPolicy:
     min_wait: float
     max_wait: float
     retriable: Callable[[Exception], bool]
-    calls_per_second: float | None = None  # per partition
+    calls_per_second: float | None = None  # attempts, over all tasks of a run; in call_rows, of each partition
 
     def wait(self, attempt: int) -> float:
         return min(max(self.base * 2 ** (attempt - 1), self.min_wait), self.max_wait)
@@ -104,13 +105,18 @@ MODEL_POLICY = RetryPolicy(
 FETCH_POLICY = RetryPolicy(C.FETCH_ATTEMPTS, 2, 0, float("inf"), retry_fetch)
 
 
-def attempt_call(call, text: str, policy: RetryPolicy, sleep) -> tuple:
-    """One row: ``(raw, status, attempts, waited, error)``."""
+def attempt_call(call, text: str, policy: RetryPolicy, sleep, begin=lambda: None, failed=lambda error: None) -> tuple:
+    """One row: ``(raw, status, attempts, waited, error)``.
+
+    ``begin()`` comes before every attempt, ``failed(error)`` after one that failed.
+    """
     waited = 0.0
     for attempt in range(1, policy.attempts + 1):
+        begin()
         try:
             return call(text) or "", SUCCESS, attempt, waited, None
         except Exception as error:  # noqa: BLE001 - any error becomes the row's outcome
+            failed(error)
             if attempt == policy.attempts or not policy.retriable(error):
                 return None, FAILURE, attempt, waited, str(error)
         pause = policy.wait(attempt)
@@ -118,6 +124,22 @@ def attempt_call(call, text: str, policy: RetryPolicy, sleep) -> tuple:
         waited += pause
 
 
+def caller(make_client: Callable, policy: RetryPolicy, sleep: Callable[[float], None]) -> Callable:
+    """A maker of functions from a request to its outcome, with a client for each thread."""
+
+    def make():
+        own = threading.local()
+
+        def one(request):
+            if not hasattr(own, "client"):
+                own.client = make_client()
+            return attempt_call(own.client, request, policy, sleep)
+
+        return one
+
+    return make
+
+
 class Pace:
     """Lets callers of several threads begin at most so many times a second."""
 
@@ -136,6 +158,37 @@ class Pace:
             self.sleep(begin - now)
 
 
+#: Rows begun or ended behind a slow call, for each call under way.
+AHEAD = 8
+
+
+def in_order(batches: Iterator, one: Callable, in_flight: int) -> Iterator[list]:
+    """The outcomes of every batch of rows, with ``in_flight`` calls under way also across batches.
+
+    A slow call holds back its batch's outcomes, but no other call until
+    ``AHEAD`` times as many rows wait behind it.
+    """
+    sizes, running, done = deque(), deque(), []
+
+    def ended() -> Iterator[list]:
+        done.append(running.popleft().result())
+        while sizes and len(done) >= sizes[0]:
+            n = sizes.popleft()
+            yield done[:n]
+            del done[:n]
+
+    with ThreadPoolExecutor(in_flight) as threads:
+        for batch in batches:
+            sizes.append(len(batch))
+            for row in batch:
+                if len(running) == AHEAD * in_flight:
+                    yield from ended()
+                running.append(threads.submit(one, row))
+        while running:
+            yield from ended()
+    yield from (done[:0] for _ in sizes)
+
+
 def call_rows(
     df: DataFrame,
     column: str,
@@ -165,12 +218,10 @@ def call_rows(
         def one(text):
             if not hasattr(own, "client"):
                 own.client = make_client()
-            pace.wait()
-            return attempt_call(own.client, text, policy, sleep)
+            return attempt_call(own.client, text, policy, sleep, pace.wait)
 
-        with ThreadPoolExecutor(in_flight) as threads:
-            for batch in batches:
-                yield pd.DataFrame(list(threads.map(one, batch)), columns=names)
+        for outcomes in in_order(batches, one, in_flight):
+            yield pd.DataFrame(outcomes, columns=names)
 
     # nondeterministic: Catalyst must neither repeat nor move the calls
     outcome = F.pandas_udf(calls, StructType.fromDDL(schemas.CALL)).asNondeterministic()

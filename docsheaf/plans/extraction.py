@@ -24,10 +24,13 @@ from docsheaf.operators.cleaning import clean_documents
 from docsheaf.operators.numbering import chunk_offsets, number_chunks
 from docsheaf.operators.report import report_lines
 from docsheaf.operators.results import failed, result_records
+from docsheaf.operators.shared_rate import write_outcomes_at_rate
 from docsheaf.session import configure, exists
 from docsheaf.sources import sinks
+from docsheaf.sources.journal import read_outcomes, write_outcomes
 
 KEYS = ("doc_seq", "chunk_index")
+KEY_TYPES = "doc_seq bigint, chunk_index int"
 
 
 @dataclass(frozen=True)
@@ -97,6 +100,18 @@ def chunk_stage(documents: DataFrame, max_tokens: int, counter: TokenCounter, wa
     return chunks.withColumn("wave", wave)
 
 
+def _recorded_stage(chunks: DataFrame, recorded: DataFrame) -> DataFrame:
+    """The given outcomes of the chunks with their wave, without texts."""
+    known = recorded.select(*KEYS, "raw", "error")
+    return chunks.select(*KEYS, "wave").join(known, list(KEYS)).withColumns(
+        {
+            "status": F.when(F.col("error").isNull(), X.SUCCESS).otherwise(X.FAILURE),
+            "attempts": F.lit(0),
+            "waited": F.lit(0.0),
+        }
+    )
+
+
 def call_stage(
     spark: SparkSession, chunks: DataFrame, path: str, settings: str,
     send: Callable[[DataFrame], DataFrame], waves: int, recorded: DataFrame | None = None,
@@ -104,32 +119,59 @@ def call_stage(
     """An outcome for every chunk, wave by wave.
 
     ``send`` makes the calls of chunks without an outcome in ``recorded(doc_seq,
-    chunk_index, raw, error)``. A wave is written and marked when it ends; a
-    finished one is not looked at again, and an interrupted run repeats at most
-    the calls of one wave.
+    chunk_index, raw, error)``, which is written once by wave. A wave is written
+    and marked when it ends; a finished one is not looked at again, and what an
+    interrupted run repeats of the others is up to ``send``.
     """
+    known = None
+    if recorded is not None:
+        build = lambda: _recorded_stage(chunks, recorded)
+        known = _stage(spark, f"{path}.recorded", settings, build, "wave")
     for wave in range(waves):
         part = f"{path}/wave={wave}"
         schema = _finished(spark, f"{path}.wave-{wave}", settings)
         if schema is not None:
             continue
         todo = chunks.filter(F.col("wave") == wave).drop("wave")
-        if recorded is None:
+        if known is None:
             outcomes = send(todo)
         else:
-            known = todo.join(recorded.select(*KEYS, "raw", "error"), list(KEYS)).withColumns(
-                {
-                    "status": F.when(F.col("error").isNull(), X.SUCCESS).otherwise(X.FAILURE),
-                    "attempts": F.lit(0),
-                    "waited": F.lit(0.0),
-                }
-            )
-            outcomes = send(X.pending(todo, recorded, *KEYS)).unionByName(known)
+            given = known.filter(F.col("wave") == wave).drop("wave")
+            outcomes = todo.join(given, list(KEYS))
+            # keys alone: texts are only dealt out if there are calls to make
+            left = X.pending(todo.select(*KEYS), given, *KEYS)
+            if not left.isEmpty():
+                outcomes = send(todo.join(left, list(KEYS), "left_semi")).unionByName(outcomes)
         outcomes.write.mode("overwrite").parquet(part)
         schema = _finish(spark, f"{path}.wave-{wave}", settings, outcomes.schema)
     return spark.read.schema(schema).parquet(path)
 
 
+def journalled(
+    make_client: Callable, folder: str, policy: X.RetryPolicy, sleep: Callable[[float], None],
+    concurrency: int | None = None, in_flight: int = 1,
+) -> Callable[[DataFrame], DataFrame]:
+    """A ``send`` whose outcomes are on record in ``folder`` as each call ends.
+
+    Rows with an outcome there are not sent. A policy with a rate has it over
+    all tasks, which then run at once: ``concurrency`` of them, or one for every
+    slot.
+    """
+
+    def send(rows: DataFrame) -> DataFrame:
+        spark = rows.sparkSession
+        todo = X.pending(rows, read_outcomes(spark, folder, KEY_TYPES), *KEYS)
+        if policy.calls_per_second:
+            tasks = concurrency or spark.sparkContext.defaultParallelism
+            write_outcomes_at_rate(todo, folder, KEYS, make_client, policy, sleep, tasks, in_flight)
+        else:
+            todo = todo.repartition(concurrency, *KEYS) if concurrency else todo
+            write_outcomes(todo, folder, KEYS, X.caller(make_client, policy, sleep), in_flight)
+        return rows.drop("request").join(read_outcomes(spark, folder, KEY_TYPES), list(KEYS))
+
+    return send
+
+
 def parse_stage(calls: DataFrame, chunks: DataFrame) -> DataFrame:
     """Parsed and numbered calls; only failed ones keep their text.
 
@@ -168,8 +210,9 @@ def run_extraction(
     with an outcome in ``recorded`` are not sent.
 
     Calling it again with the same folder resumes: finished stages and waves
-    are reused. Other documents or settings than those the folder was begun
-    with raise ``StaleFolder``.
+    are reused, and of a wave that was interrupted the calls that ended are on
+    record. Other documents or settings than those the folder was begun with
+    raise ``StaleFolder``.
     """
     spark = configure(documents.sparkSession)
     documents = schemas.conform(documents, schemas.DOCUMENTS)
@@ -187,11 +230,12 @@ def run_extraction(
         sinks.require_rows(documents, "documents")
         raise sinks.EmptyStage("no chunks")
 
+    journal = journalled(
+        X.request_client(make_client), f"{folder}/journal", policy, sleep, concurrency, in_flight
+    )
+
     def send(todo: DataFrame) -> DataFrame:
-        request = F.to_json(X.build_request(F.col("text"), config))
-        client = X.request_client(make_client)
-        rows = todo.withColumn("request", request)
-        return X.call_rows(rows, "request", client, policy, sleep, KEYS, concurrency, in_flight).drop("request")
+        return journal(todo.withColumn("request", F.to_json(X.build_request(F.col("text"), config))))
 
     calls = call_stage(spark, chunks, f"{folder}/calls", settings, send, waves, recorded)
     parsed = _stage(
