@@ -51,15 +51,24 @@ NAMES = ["part", "before", "doc_ids", "sizes", "bits", "payload"]
 
 #: A text with this can hold a special token, which is found before words are.
 SPECIAL = "<|"
+#: Lower-case Latin letters of two bytes, and their capitals: composed, and no combining mark among them.
+LATIN, CAPITAL = "ß-öø-ÿā-įı-ſ", "À-ÖØ-Þ"
+
+
+def byte_letters() -> dict[int, str]:
+    """The tokenizer's letter for every byte: itself where that can be printed, else the next from 256 on."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(0x100) if byte not in printed]
+    return {byte: chr(byte) for byte in printed} | {byte: chr(0x100 + k) for k, byte in enumerate(others)}
 
 
 class WordTokens:
     """Ids of whole texts, each distinct word tokenised once.
 
     The tokenizer drops white space, lower-cases, and never joins what white
-    space parts, so the ids of a text are those of its words. Printable ASCII
-    words are cut into the tokenizer's pieces here and each distinct piece goes
-    to its model; other words go through the whole tokenizer.
+    space parts, so the ids of a text are those of its words. Words of printable
+    ASCII and composed Latin letters are cut into the tokenizer's pieces here and
+    each distinct piece goes to its model; other words go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -69,25 +78,32 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        # Fixed value: the tokenizer's own pieces, for lower-case printable ASCII
-        self.pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
-        self.plain = re.compile(r"[!-~]+").fullmatch
+        # Fixed value: the tokenizer's own pieces, for the lower-case characters here
+        letters = f"a-z{LATIN}"
+        self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^{letters}0-9]+").findall
+        self.plain = re.compile(f"[!-~{LATIN}{CAPITAL}]+").fullmatch
+        self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
-        self.piece_ids: dict[str, list[int]] = {}
+        self.piece_ids: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+
     def word(self, word: str) -> bytes:
         if not self.plain(word):
             return self.whole(word)
-        ids = []
-        for piece in self.pieces(word):
-            own = self.piece_ids.get(piece)
+        out, piece_ids = [], self.piece_ids
+        for piece in self.pieces(word.lower()):
+            own = piece_ids.get(piece)
             if own is None:
-                own = self.piece_ids[piece] = [t.id for t in self.model.tokenize(piece)]
-            ids += own
-        return np.array(ids, "<u4").tobytes()
+                own = piece_ids[piece] = self.piece(piece)
+            out.append(own)
+        return b"".join(out)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch of texts, the end id after each, and where each text's begin."""
@@ -173,7 +189,7 @@ def id_counts(ids: DataFrame) -> DataFrame:
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
-    """Lengths of the best prefix code of at most ``longest`` bits, by package-merge.
+    """Lengths of the best prefix code of at most ``longest`` bits, or as many as the symbols need, by package-merge.
 
     Each round pairs up the cheapest entries of the one before and merges the
     pairs with the symbols. The cheapest 2n - 2 entries of the last round are
@@ -182,8 +198,7 @@ def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
     n = len(counts)
     if n <= 2:
         return np.ones(n, np.int64)
-    if n > 1 << longest:
-        raise ValueError(f"{n} symbols need more than {longest} bits")
+    longest = max(longest, (n - 1).bit_length())
     order = np.argsort(counts, kind="stable")
     weights = np.asarray(counts, np.int64)[order]
     row, symbols = weights, [np.ones(n, bool)]
@@ -318,7 +333,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, partitions: int | No
     code = corpus_code(id_counts(ids))
     table = pa.table({"id": code.ids, "length": code.lengths})
     spark.createDataFrame(table.to_pandas(), "id bigint, length bigint").coalesce(1).write.parquet(f"{path}/codes")
-    ordered = ids.repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "ids")
+    # repeated and null identifiers are dealt by their rows
+    keys = ["doc_id", F.xxhash64("ids"), "n_tokens"]
+    ordered = ids.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys, "ids")
     ordered.mapInArrow(partial(_blocks, code), BLOCKS).write.parquet(f"{path}/blocks")
 
 
