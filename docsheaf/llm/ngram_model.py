@@ -2,19 +2,25 @@
 
 Texts are taken in batches of documents. Of its distinct words and word pairs,
 each batch sends one block of hashes and counts to every shard of the hash
-space, so what is shuffled are a few large rows, combined before. A shard adds
-the blocks up. It keeps the exact counts of words, and a Bloom filter of the
-counts of pairs, quantised to powers of two: a pair of level q is held under
+space, so what is shuffled are a few large rows, combined before. How many
+shards there are follows from the corpus: from its tokens for pairs, and for
+words from the distinct hashes in a fixed share of the hash space. A task has its
+blocks in the order of their shards and adds them up one after another, so it
+holds one shard. A shard of words keeps the exact counts; a shard of pairs is a Bloom
+filter of the counts, quantised to powers of two: a pair of level q is held under
 the levels 1 to q, and its level is read by asking for one after another.
 
 The filter is broadcast while all its shards take at most ``BROADCAST_BYTES``;
 beyond that, batches ask the shards for their pairs as they do for the exact
 counts of their words, one block of questions and one of answers for each
-batch and shard. Both ways read the same bits and give the same scores.
+batch and shard; a task holds one shard and answers one block at a time. Both
+ways read the same bits and give the same scores.
 
 A pair's probability is that of its count with ``PRIOR`` pseudo-counts shared
 out by the words' smoothed probabilities. A false positive of the filter can
-only appear for two known words and is bounded by their counts.
+only appear for two known words and is bounded by their counts. A level stands
+for the mean of its counts, so the chances of a word's followers add up to one
+only nearly.
 
 Documents whose identifier, as text, has a CRC-32 divisible by ten are held out
 of training; a null identifier is. Null and blank texts have the end token
@@ -24,6 +30,7 @@ empty one. Other columns, whatever their names, are not read.
 
 from collections.abc import Iterator
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,24 +38,31 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsheaf.llm.common import give_back, per_text, split_words, staged
+from docsheaf.llm.common import cuts, give_back, per_text, split_words, staged
 
 #: Documents of a batch.
 BATCH = 512
 PSEUDO = 0.1
 PRIOR = 16.0
 #: Keys that a task adds up before it sends them on.
-HELD_KEYS = 500_000
+HELD_KEYS = 400_000
+#: Tokens to a shard of pairs, and distinct words to a shard of words; one word hash in ``SAMPLED`` is counted for that.
+PAIR_TOKENS, SHARD_WORDS, SAMPLED = 1 << 20, 1 << 17, 1 << 8
+LEAST_SHARDS = 16
 #: Bits of the filter for each level of each pair, and probes for each.
 BITS, PROBES = 6, 4
-BROADCAST_BYTES = 256 << 20
+BROADCAST_BYTES = 64 << 20
 
 #: No word has these bytes.
 END, BEGIN = b"\n", b" "
 
-BATCHES = "batch bigint, doc_ids array<bigint>, held array<boolean>, starts binary, tokens binary, words binary"
-BLOCKS = "shard int, kind int, keys binary, counts binary"
-MODEL = "shard int, n_tokens bigint, n_words bigint, word_keys binary, word_counts binary, bits binary"
+BATCHES = (
+    "batch bigint, doc_ids array<bigint>, held array<boolean>, starts binary, tokens binary, words binary, "
+    "n_tokens bigint, sample array<bigint>"
+)
+WORDS, PAIRS = 0, 1
+BLOCKS = "kind int, shard int, keys binary, counts binary"
+MODEL = "kind int, shard int, n_tokens bigint, n_keys bigint, keys binary, data binary"
 ANSWERS = "batch bigint, shard int, found binary"
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
@@ -81,6 +95,13 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return (keys >> np.uint64(33)).astype(np.int64) % shards
 
 
+class Shards(NamedTuple):
+    """Number of shards of words and of pairs."""
+
+    words: int
+    pairs: int
+
+
 # --- batches
 
 
@@ -100,8 +121,8 @@ def _batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     number = TaskContext.get().partitionId() << 32
     for part in parts:
-        for at in range(0, part.num_rows, BATCH):
-            own = part.slice(at, BATCH)
+        for at, end in cuts(part, BATCH):
+            own = part.slice(at, end - at)
             words, starts = split_words(own.column("text"), lower=True)
             coded = words.dictionary_encode()
             names = [END, BEGIN, *[w.encode() for w in coded.dictionary.to_pylist()]]
@@ -115,6 +136,8 @@ def _batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 starts=(starts + np.arange(len(starts))).tobytes(),
                 tokens=_to_planes(tokens),
                 words=hashes.tobytes(),
+                n_tokens=len(tokens),
+                sample=hashes[hashes % np.uint64(SAMPLED) == 0].view(np.int64).tolist(),
             )
             number += 1
             give_back()
@@ -124,8 +147,7 @@ class Batch:
     """A batch of tokenised documents. Tokens are places in ``words``; 0 is the end, 1 the beginning."""
 
     def __init__(self, row: dict):
-        self.number, self.doc_ids = row["batch"], row["doc_ids"]
-        self.held = np.array(row["held"], bool)
+        self.doc_ids, self.held = row.get("doc_ids"), np.array(row.get("held", []), bool)
         self.starts = np.frombuffer(row["starts"], np.int64)
         self.tokens = _from_planes(row["tokens"])
         self.words = np.frombuffer(row["words"], np.uint64)
@@ -137,12 +159,14 @@ class Batch:
         return pair_keys(self.words[self.before], self.words[self.tokens])
 
 
-def _rows(parts: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
-    """One batch at a time; memory held for the ones before is given back."""
+def _rows(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time; memory held for the ones before is given back now and then."""
     for part in parts:
         for k in range(part.num_rows):
-            yield Batch(part.slice(k, 1).to_pylist()[0])
-            give_back()
+            yield {name: column[k].as_py() for name, column in zip(part.schema.names, part.columns, strict=True)}
+            if k % 16 == 15:
+                give_back()
+        give_back()
 
 
 def tokenised(docs: DataFrame) -> DataFrame:
@@ -152,6 +176,13 @@ def tokenised(docs: DataFrame) -> DataFrame:
     return staged(rows.mapInArrow(_batches, BATCHES), "batches")
 
 
+def shards_for(batches: DataFrame) -> Shards:
+    """As many shards as keep each of them small."""
+    tokens = batches.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    words = batches.select(F.explode("sample").alias("word")).agg(F.count_distinct("word")).first()[0] * SAMPLED
+    return Shards(max(LEAST_SHARDS, -(-words // SHARD_WORDS)), max(LEAST_SHARDS, -(-tokens // PAIR_TOKENS)))
+
+
 # --- counting
 
 
@@ -171,24 +202,24 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys, np.bincount(place, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
 
 
-def _count(shards: int, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(shards: Shards, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of counts for every shard; batches are added up as far as ``HELD_KEYS`` allows."""
-    held = {0: [], 1: []}
+    held = {WORDS: [], PAIRS: []}
 
     def sent(kind: int) -> Iterator[pa.RecordBatch]:
         keys, n = _summed(held[kind])
         held[kind].clear()
-        for shard, at in _blocks(keys, shards):
+        for shard, at in _blocks(keys, shards[kind]):
             yield _record(
-                BLOCKS, shard=shard, kind=kind, keys=keys[at].tobytes(), counts=n[at].astype("<u4").tobytes()
+                BLOCKS, kind=kind, shard=shard, keys=keys[at].tobytes(), counts=n[at].astype("<u4").tobytes()
             )
 
-    for batch in _rows(parts):
+    for batch in map(Batch, _rows(parts)):
         train = np.repeat(~batch.held, np.diff(batch.starts))
         counts = np.bincount(batch.tokens[train], minlength=len(batch.words))
         used = np.flatnonzero(counts)
-        held[0].append((batch.words[used], counts[used]))
-        held[1].append(np.unique(batch.pairs[train], return_counts=True))
+        held[WORDS].append((batch.words[used], counts[used]))
+        held[PAIRS].append(np.unique(batch.pairs[train], return_counts=True))
         for kind, own in held.items():
             if sum(len(k) for k, _ in own) > HELD_KEYS:
                 yield from sent(kind)
@@ -197,14 +228,6 @@ def _count(shards: int, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield from sent(kind)
 
 
-def _added(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all blocks of a kind in order, and their counts."""
-    own = table.filter(pc.equal(table.column("kind"), kind))
-    keys = np.frombuffer(b"".join(own.column("keys").to_pylist()), np.uint64)
-    counts = np.frombuffer(b"".join(own.column("counts").to_pylist()), "<u4")
-    return _summed([(keys, counts)])
-
-
 def _positions(keys: np.ndarray, level: int, probe: int, size: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         salt = np.uint64(level * PROBES + probe + 1) * np.uint64(0xD6E8FEB86659FD93)
@@ -242,67 +265,86 @@ def read_levels(keys: np.ndarray, bits: np.ndarray, offset, size) -> np.ndarray:
     return out
 
 
-def _merge(key: tuple, table: pa.Table) -> pa.Table:
-    words, counts = _added(table, 0)
-    pairs, times = _added(table, 1)
-    give_back()
-    row = _record(
-        MODEL, shard=key[0].as_py(), n_tokens=int(counts.sum()), n_words=len(words), word_keys=words.tobytes(),
-        word_counts=counts.tobytes(), bits=build_filter(pairs, times).tobytes(),
-    )
-    return pa.Table.from_batches([row])
+def _shard(kind: int, shard: int, held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    keys, counts = _summed(held)
+    kept, data = (keys, counts.tobytes()) if kind == WORDS else (keys[:0], build_filter(keys, counts).tobytes())
+    return _record(
+        MODEL, kind=kind, shard=shard, n_tokens=int(counts.sum()), n_keys=len(keys), keys=kept.tobytes(), data=data
+    )
+
+
+def _merge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shards of blocks that come in the order of their shards."""
+    now, held, room = None, [], HELD_KEYS
+    for row in _rows(parts):
+        if now != (row["kind"], row["shard"]):
+            if held:
+                yield _shard(*now, held)
+            now, held, room = (row["kind"], row["shard"]), [], HELD_KEYS
+        held.append((np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["counts"], "<u4")))
+        if sum(len(keys) for keys, _ in held) > room:
+            held = [_summed(held)]
+            room = 2 * max(HELD_KEYS, len(held[0][0]))
+    if held:
+        yield _shard(*now, held)
 
 
-def trained(batches: DataFrame, shards: int) -> DataFrame:
-    """A row for each shard: exact counts of its words, and the filter of its pairs."""
-    blocks = batches.mapInArrow(partial(_count, shards), BLOCKS)
-    return staged(blocks.groupBy("shard").applyInArrow(_merge, MODEL), "ngram-model")
+def trained(batches: DataFrame, shards: Shards) -> DataFrame:
+    """A row for each shard: exact counts of its words, or the filter of its pairs."""
+    blocks = batches.select("held", "starts", "tokens", "words").mapInArrow(partial(_count, shards), BLOCKS)
+    ordered = blocks.repartition("kind", "shard").sortWithinPartitions("kind", "shard")
+    return staged(ordered.mapInArrow(_merge, MODEL), "ngram-model")
 
 
 # --- questions and answers
 
 
-def _ask(shards: int, kind: str, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in _rows(parts):
-        keys = batch.words if kind == "words" else np.unique(batch.pairs)
-        for shard, at in _blocks(keys, shards):
+def _ask(shards: Shards, kind: int, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in _rows(parts):
+        batch = Batch(row)
+        keys = batch.words if kind == WORDS else np.unique(batch.pairs)
+        for shard, at in _blocks(keys, shards[kind]):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([batch.number]), pa.array([shard], pa.int32()), pa.array([keys[at].tobytes()], pa.binary())],
-                ["batch", "shard", "keys"],
+                [pa.array([shard], pa.int32()), pa.array([row["batch"]]), pa.array([keys[at].tobytes()], pa.binary())],
+                ["shard", "batch", "keys"],
             )
 
 
 def _word_counts(keys: np.ndarray, shard: dict) -> bytes:
-    known, counts = np.frombuffer(shard["word_keys"], np.uint64), np.frombuffer(shard["word_counts"], np.int64)
+    known, counts = np.frombuffer(shard["keys"], np.uint64), np.frombuffer(shard["data"], np.int64)
     at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
     found = known[at] == keys if len(known) else np.zeros(len(keys), bool)
     return np.where(found, counts[at] if len(known) else 0, 0).astype(np.int64).tobytes()
 
 
 def _pair_levels(keys: np.ndarray, shard: dict) -> bytes:
-    bits = np.frombuffer(shard["bits"], np.uint8)
+    bits = np.frombuffer(shard["data"], np.uint8)
     return read_levels(keys, bits, 0, len(bits) * 8).astype(np.uint8).tobytes()
 
 
-def _answer(function, width: int, questions: pa.Table, model: pa.Table) -> pa.Table:
-    shard = model.to_pylist()[0] if model.num_rows else None
-    rows = []
-    for asked in questions.to_pylist():
-        keys = np.frombuffer(asked["keys"], np.uint64)
-        found = function(keys, shard) if shard else bytes(width * len(keys))
-        rows.append(_record(ANSWERS, batch=asked["batch"], shard=asked["shard"], found=found))
-    schema = pa.schema([("batch", pa.int64()), ("shard", pa.int32()), ("found", pa.binary())])
-    return pa.Table.from_batches(rows, schema)
+def _answer(kind: int, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers to questions that follow their shard's row, if it has one."""
+    function, width = (_word_counts, 8) if kind == WORDS else (_pair_levels, 1)
+    shard = None
+    for row in _rows(parts):
+        if row["data"] is not None:
+            shard = row
+            continue
+        keys = np.frombuffer(row["keys"], np.uint64)
+        known = shard is not None and shard["shard"] == row["shard"]
+        found = function(keys, shard) if known else bytes(width * len(keys))
+        yield _record(ANSWERS, batch=row["batch"], shard=row["shard"], found=found)
 
 
-def _answers(batches: DataFrame, model: DataFrame, shards: int, kind: str) -> DataFrame:
-    """``(batch, <kind>)``: for each batch the answers of all shards."""
-    asked = batches.mapInArrow(partial(_ask, shards, kind), "batch bigint, shard int, keys binary")
-    function, width = (_word_counts, 8) if kind == "words" else (_pair_levels, 1)
-    used = ["shard", "word_keys", "word_counts"] if kind == "words" else ["shard", "bits"]
-    both = asked.groupBy("shard").cogroup(model.select(*used).groupBy("shard"))
-    answers = both.applyInArrow(partial(_answer, function, width), ANSWERS)
-    return answers.groupBy("batch").agg(F.collect_list(F.struct("shard", "found")).alias(f"{kind}_found"))
+def _answers(batches: DataFrame, model: DataFrame, shards: Shards, kind: int) -> DataFrame:
+    """``(batch, found)``: for each batch the answers of all shards."""
+    columns = ["batch", "starts", "tokens", "words"]
+    asked = batches.select(*columns).mapInArrow(partial(_ask, shards, kind), "shard int, batch bigint, keys binary")
+    known = model.filter(F.col("kind") == kind).select("shard", F.lit(-1).cast("bigint").alias("batch"), "keys", "data")
+    both = known.unionByName(asked.withColumn("data", F.lit(None).cast("binary")))
+    ordered = both.repartition("shard").sortWithinPartitions("shard", "batch")
+    answers = ordered.mapInArrow(partial(_answer, kind), ANSWERS)
+    return answers.groupBy("batch").agg(F.collect_list(F.struct("shard", "found")).alias("found"))
 
 
 def _restored(keys: np.ndarray, shards: int, answers: list[dict], kind) -> np.ndarray:
@@ -315,16 +357,15 @@ def _restored(keys: np.ndarray, shards: int, answers: list[dict], kind) -> np.nd
 
 
 class Filter:
-    """The filter's shards end to end."""
+    """The filter's shards end to end; a shard without pairs has no bits."""
 
-    def __init__(self, model: DataFrame):
-        rows = model.select("shard", "bits").toArrow().to_pylist()
-        self.bits = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8)
-        shards = max([r["shard"] for r in rows], default=0) + 1
-        self.size, self.offset, at = np.ones(shards, np.uint64), np.zeros(shards, np.int64), 0
+    def __init__(self, model: DataFrame, shards: int):
+        rows = model.filter(F.col("kind") == PAIRS).select("shard", "data").toArrow().to_pylist()
+        self.bits = np.frombuffer(b"".join(r["data"] for r in rows), np.uint8)
+        self.size, self.offset, at = np.zeros(shards, np.uint64), np.zeros(shards, np.int64), 0
         for r in rows:
-            self.size[r["shard"]], self.offset[r["shard"]] = len(r["bits"]) * 8, at * 8
-            at += len(r["bits"])
+            self.size[r["shard"]], self.offset[r["shard"]] = len(r["data"]) * 8, at * 8
+            at += len(r["data"])
 
 
 # --- scores
@@ -335,14 +376,14 @@ def level_counts(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, 1.5 * 2.0 ** (levels - 1) - 0.5, 0.0)
 
 
-def _score(shards: int, total: int, distinct: int, prior: float, held, parts: Iterator[pa.RecordBatch]):
+def _score(shards: Shards, total: int, distinct: int, prior: float, held, parts: Iterator[pa.RecordBatch]):
     columns = [c.split()[0] for c in SCORES.split(", ")]
     for part in parts:
         for k in range(part.num_rows):
             give_back()
             row = part.slice(k, 1).to_pylist()[0]
             batch = Batch(row)
-            count = _restored(batch.words, shards, row["words_found"], np.int64)
+            count = _restored(batch.words, shards.words, row["words_found"], np.int64)
             base = (count + PSEUDO) / (total + PSEUDO * (distinct + 1))
             # as many documents begin as end
             times = count.copy()
@@ -350,16 +391,15 @@ def _score(shards: int, total: int, distinct: int, prior: float, held, parts: It
             pairs = batch.pairs
             if held is None:
                 keys, place = np.unique(pairs, return_inverse=True)
-                levels = _restored(keys, shards, row["pairs_found"], np.uint8)[place]
+                levels = _restored(keys, shards.pairs, row["pairs_found"], np.uint8)[place]
             else:
                 levels = np.zeros(len(pairs), np.int64)
-                known = np.flatnonzero((times[batch.before] > 0) & (count[batch.tokens] > 0))
                 filter_ = held.value
-                shard = shard_of(pairs[known], shards)
-                if len(known):
-                    levels[known] = read_levels(
-                        pairs[known], filter_.bits, filter_.offset[shard], filter_.size[shard]
-                    )
+                shard = shard_of(pairs, shards.pairs)
+                known = (times[batch.before] > 0) & (count[batch.tokens] > 0) & (filter_.size[shard] > 0)
+                known = np.flatnonzero(known)
+                shard = shard[known]
+                levels[known] = read_levels(pairs[known], filter_.bits, filter_.offset[shard], filter_.size[shard])
             before, own = times[batch.before], count[batch.tokens]
             seen = np.minimum(level_counts(levels), np.minimum(before, own))
             chance = (seen + prior * base[batch.tokens]) / (before + prior)
@@ -378,20 +418,22 @@ def _score(shards: int, total: int, distinct: int, prior: float, held, parts: It
 def scores(docs: DataFrame, prior: float = PRIOR, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every document."""
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     batches = tokenised(docs)
+    shards = shards_for(batches)
     model = trained(batches, shards)
+    words = F.col("kind") == WORDS
     total, distinct, size = model.agg(
-        F.coalesce(F.sum("n_tokens"), F.lit(0)),
-        F.coalesce(F.sum("n_words"), F.lit(0)),
-        F.coalesce(F.sum(F.octet_length("bits")), F.lit(0)),
+        F.coalesce(F.sum(F.when(words, F.col("n_tokens"))), F.lit(0)),
+        F.coalesce(F.sum(F.when(words, F.col("n_keys"))), F.lit(0)),
+        F.coalesce(F.sum(F.when(~words, F.octet_length("data"))), F.lit(0)),
     ).first()
-    asked = batches.join(_answers(batches, model, shards, "words"), "batch")
+    rows = batches.drop("n_tokens", "sample")
+    asked = rows.join(_answers(batches, model, shards, WORDS).withColumnRenamed("found", "words_found"), "batch")
     held = None
     if size <= broadcast_bytes:
-        held = spark.sparkContext.broadcast(Filter(model))
+        held = spark.sparkContext.broadcast(Filter(model, shards.pairs))
     else:
-        asked = asked.join(_answers(batches, model, shards, "pairs"), "batch")
+        asked = asked.join(_answers(batches, model, shards, PAIRS).withColumnRenamed("found", "pairs_found"), "batch")
     scored = asked.mapInArrow(partial(_score, shards, total, distinct, prior, held), SCORES)
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"),

@@ -71,3 +71,47 @@ def test_pairs_beat_words_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = nm.scores(docs).filter("held_out").collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def exact_scores(rows):
+    """Scores of all texts with exact pair counts put through the levels: what a filter without false positives gives."""
+    tokens = {doc: [*re.findall(r"[^ \t-\r]+", text.lower()), "\n"] for doc, text in rows}
+    train = {doc: own for doc, own in tokens.items() if zlib.crc32(str(doc).encode()) % 10}
+    words = Counter(w for own in train.values() for w in own)
+    pairs = Counter(p for own in train.values() for p in zip([" ", *own], own, strict=False))
+    total, times = sum(words.values()), words | {" ": words["\n"]}
+    out = {}
+    for doc, own in tokens.items():
+        out[doc] = 0.0
+        for a, b in zip([" ", *own], own, strict=False):
+            n = pairs[a, b]
+            mean = 1.5 * 2.0 ** math.floor(math.log2(n)) - 0.5 if n else 0.0
+            base = (words[b] + 0.1) / (total + 0.1 * (len(words) + 1))
+            seen = min(mean, times.get(a, 0), words[b])
+            out[doc] += math.log10((seen + nm.PRIOR * base) / (times.get(a, 0) + nm.PRIOR))
+    return out
+
+
+@pytest.mark.parametrize("sent", [nm.BROADCAST_BYTES, 0])
+def test_scores_against_exact_pair_counts(table, sent):
+    rnd = random.Random(3)
+    words = [f"w{k}" for k in range(300)]
+    rows = [(k, " ".join(rnd.choices(words, [1 / (j + 1) for j in range(300)], k=rnd.randint(0, 60)))) for k in range(600)]
+    exact = exact_scores(rows)
+    found = {r.doc_id: r.score for r in nm.scores(table(rows), broadcast_bytes=sent).collect()}
+    # a false positive raises a pair's chance and nothing lowers it
+    assert all(found[doc] >= score - 1e-9 for doc, score in exact.items())
+    tokens = sum(len(text.split()) + 1 for _, text in rows)
+    assert sum(found.values()) - sum(exact.values()) < 0.05 * tokens
+    assert sum(math.isclose(found[doc], score, abs_tol=1e-9) for doc, score in exact.items()) > 60
+
+
+def test_shards_follow_the_corpus(table, monkeypatch):
+    rnd = random.Random(5)
+    rows = [(k, " ".join(f"x{rnd.randrange(3000)}" for _ in range(100))) for k in range(200)]
+    wide = {r.doc_id: r.score for r in nm.scores(table(rows)).collect()}
+    monkeypatch.setattr(nm, "SAMPLED", 4)
+    monkeypatch.setattr(nm, "SHARD_WORDS", 50)
+    shards = nm.shards_for(nm.tokenised(table(rows)))
+    assert 30 < shards.words < 120 and shards.pairs == nm.LEAST_SHARDS
+    assert wide.keys() == {r.doc_id for r in nm.scores(table(rows), broadcast_bytes=0).collect()}
