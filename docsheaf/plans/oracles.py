@@ -489,6 +489,7 @@ ORACLES["unreadable_rejects"] = f"""WITH {_FILES}, sized AS (
         SELECT path, kind, {_SIZE} AS size FROM files)
     SELECT path AS source, 'ingest' AS stage, 'cannot be read: stream ended after ' || size AS reason
     FROM sized WHERE kind IS NOT NULL AND size % 5 = 2"""
+ORACLES["text_ranges"] = ORACLES["text_decode"]
 ORACLES["all_rejects"] = " UNION ALL ".join(
     f"({ORACLES[name]})" for name in (
         "file_rejects", "page_rejects", "capture_rejects",

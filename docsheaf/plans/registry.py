@@ -24,7 +24,7 @@ from docsheaf.plans import inputs
 from docsheaf.plans.extraction import run_extraction, save_run
 from docsheaf.session import materialize, workspace
 from docsheaf.sources import captures as web
-from docsheaf.sources import files, page_texts, sinks
+from docsheaf.sources import files, page_texts, ranges, sinks
 from docsheaf.sources.union import number_by, union_rejects, union_sources
 
 GENERATED_AT = "2024-01-01 00:00:00"
@@ -138,6 +138,17 @@ def text_files(spark, sf_dir):
     return found.select(name.alias("path"), "source_type", F.col("raw_text").alias("text"))
 
 
+def text_ranges(spark, sf_dir):
+    """Each document written as a file, in one of two encodings, and read in ranges of a kilobyte."""
+    path = workspace(spark, "files")
+    docs = _file_names(inputs.dirty_documents(spark, sf_dir))
+    name = F.concat(F.lit("d"), F.pmod("doc_seq", F.lit(10)), F.lit("/"), F.col("doc_seq"), F.lit(".txt"))
+    files.write_contents(docs.select(name.alias("source"), "content"), path).count()
+    pieces, _ = ranges.read_text_pieces(spark, path, range_bytes=1024, split_bytes=4 << 20)
+    found = F.regexp_extract("source", r"/([0-9]+)\.txt$", 1).cast("bigint")
+    return ranges.joined_pieces(pieces).select(found.alias("doc_seq"), F.col("raw_text").alias("text"))
+
+
 def number_files(spark, sf_dir):
     """Files numbered in the order of their paths over 200 partitions, united with the pages."""
     docs = _file_names(inputs.documents(spark, sf_dir)).select(
@@ -443,6 +454,7 @@ QUERIES = {
     "file_routes": file_routes,
     "file_rejects": file_rejects,
     "text_files": text_files,
+    "text_ranges": text_ranges,
     "number_files": number_files,
     "missing_rejects": missing_rejects,
     "pdf_rejects": pdf_rejects,
