@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsheaf import constants as C
+from docsheaf.functions.text import unify_newlines
 from docsheaf.operators.chunking import chunk_documents
 from docsheaf.operators.cleaning import clean_documents
 from docsheaf.session import configure
@@ -63,6 +64,14 @@ def dirty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.withColumn("raw_text", dirty(F.col("doc_seq"), F.col("raw_text")))
 
 
+def document_pieces(docs: DataFrame, size: int) -> DataFrame:
+    """The documents cut after every ``size`` characters, wherever that is."""
+    text = unify_newlines(F.col("raw_text"))
+    last = F.floor(F.greatest(F.length("t") - 1, F.lit(0)) / size)
+    cuts = F.transform(F.sequence(F.lit(0), last), lambda k: F.substr("t", (k * size + 1).cast("int"), F.lit(size)))
+    return docs.select("doc_seq", text.alias("t")).select("doc_seq", F.posexplode(cuts).alias("piece_no", "raw_text"))
+
+
 def blanked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents; some have only white space and lines that cleaning drops."""
     docs = documents(spark, sf_dir)

@@ -395,6 +395,8 @@ ORACLES = {
     "chunks_60": _chunks(60),
     "chunks_200": _chunks(200),
     "chunks_800": _chunks(800),
+    "long_chunks": f"""WITH RECURSIVE {_chunk_ctes(_DIRTY, 60)}
+        SELECT doc_seq, chunk_index, total_chunks, text FROM chunks""",
     "chunk_numbers": f"""WITH RECURSIVE {_chunk_ctes(_DOCS, 200)}
         SELECT doc_seq, source, chunk_index, total_chunks,
             row_number() OVER (ORDER BY doc_seq, chunk_index) AS chunk_id FROM chunks""",

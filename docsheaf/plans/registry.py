@@ -18,6 +18,7 @@ from docsheaf.operators.chunking import (
     without_chunks,
 )
 from docsheaf.operators.cleaning import clean_documents
+from docsheaf.operators.long_documents import chunk_long_documents
 from docsheaf.operators.numbering import chunk_offsets, dense_numbers, number_chunks
 from docsheaf.operators.results import failed, flat_rows, result_records
 from docsheaf.plans import inputs
@@ -77,6 +78,12 @@ def _chunks(max_tokens):
     return query
 
 
+def long_chunks(spark, sf_dir):
+    """The chunks of documents that come in pieces of a thousand characters."""
+    pieces = inputs.document_pieces(inputs.dirty_documents(spark, sf_dir), 1000)
+    return chunk_long_documents(pieces, max_tokens=60)
+
+
 def chunk_numbers(spark, sf_dir):
     docs = clean_documents(inputs.documents(spark, sf_dir))
     chunks = chunk_documents(docs, max_tokens=200).select(
@@ -448,6 +455,7 @@ QUERIES = {
     "chunks_60": _chunks(60),
     "chunks_200": _chunks(200),
     "chunks_800": _chunks(800),
+    "long_chunks": long_chunks,
     "chunk_numbers": chunk_numbers,
     "chunks_by_source": chunks_by_source,
     "text_decode": text_decode,
