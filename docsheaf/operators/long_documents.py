@@ -200,7 +200,7 @@ def in_blocks(units: DataFrame) -> DataFrame:
 
 
 def _maps(max_tokens: int):
-    def one(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         block = Block(rows, max_tokens)
         if not block.n:
             return pd.DataFrame(columns=[field.split()[0] for field in MAPS.split(", ")])
@@ -216,7 +216,7 @@ def _maps(max_tokens: int):
 def open_sums(maps: DataFrame, max_tokens: int) -> DataFrame:
     """``(block, open_sum)``: what the units before each block left open."""
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("block")
         now, out = 0, []
         for row in rows.itertuples():
@@ -259,7 +259,7 @@ def packed_units(units: DataFrame, max_tokens: int) -> DataFrame:
     maps = materialize(blocks.groupBy("block").applyInPandas(_maps(max_tokens), MAPS), workspace(spark, "unit-maps"))
     entered = blocks.join(open_sums(maps, max_tokens), "block")
 
-    def places(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def places(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         block = Block(rows, max_tokens)
         opened = block.opened(int(rows["open_sum"].iloc[0]))
         return pd.DataFrame({"n": block.rows["n"].to_numpy(), "block": key[0], "opened": opened})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docsheaf import constants as C
 from docsheaf.functions.numbers import two_decimals, whole_percent
+from docsheaf.operators.top_names import candidate_counts
 
 KINDS = C.ENTITY_HEADINGS
 POSITION_BITS = 20
@@ -94,49 +95,40 @@ def sentiment_distribution(results: DataFrame) -> DataFrame:
     )
 
 
-def entity_counts(results: DataFrame) -> DataFrame:
-    """Per kind and exact name: mentions and the place of the first one.
+def mentions(results: DataFrame) -> DataFrame:
+    """``(grp, name, place)`` of every name in every result.
 
     Chunk and position are one number, so that the aggregate can hash: a chunk
     has fewer than 2**20 names, and there are fewer than 2**43 chunks.
     """
+
     def mentions_of(kind_no: int, kind: str) -> Column:
         def mention(name, position):
-            return F.struct(
-                F.lit(kind_no).alias("kind_no"), name.alias("name"), position.alias("position")
-            )
+            return F.struct(F.lit(kind_no).alias("grp"), name.alias("name"), position.alias("position"))
 
         return F.transform(f"entities.{kind}", mention)
 
-    mentions = [mentions_of(k, kind) for k, (kind, _) in enumerate(KINDS)]
+    every = F.concat(*[mentions_of(k, kind) for k, (kind, _) in enumerate(KINDS)])
     place = F.shiftleft(F.col("chunk_id").cast("bigint"), POSITION_BITS).bitwiseOR(F.col("position").cast("bigint"))
-    return (
-        results.select("chunk_id", F.inline(F.concat(*mentions)))
-        .groupBy("kind_no", "name")
-        .agg(F.count("*").alias("mentions"), F.min(place).alias("place"))
-        .select(
-            "kind_no",
-            "name",
-            "mentions",
-            F.struct(
-                F.shiftright("place", POSITION_BITS).alias("chunk_id"),
-                F.col("place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).alias("position"),
-            ).alias("first_seen"),
-        )
-    )
+    return results.select("chunk_id", F.inline(every)).select("grp", "name", place.alias("place"))
 
 
 def top_entities(results: DataFrame, n: int = C.TOP_ENTITIES) -> DataFrame:
     """The most frequent names of each kind; ties go to the one seen first.
 
-    Spark keeps only the best ``n`` per kind in every task before the shuffle.
+    Names that cannot be among the first ``n`` are not shuffled, and Spark keeps
+    only the best ``n`` per kind in every task before the last shuffle.
     """
-    order = Window.partitionBy("kind_no").orderBy(F.desc("mentions"), "first_seen")
+    counts = candidate_counts(mentions(results), n)
+    order = Window.partitionBy("grp").orderBy(F.desc("n"), "place")
+    first = F.struct(
+        F.shiftright("place", POSITION_BITS).alias("chunk_id"),
+        F.col("place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).alias("position"),
+    )
     return (
-        entity_counts(results)
-        .withColumn("rank", F.row_number().over(order))
+        counts.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= n)
-        .select("kind_no", "rank", "name", "mentions", "first_seen")
+        .select(F.col("grp").alias("kind_no"), "rank", "name", F.col("n").alias("mentions"), first.alias("first_seen"))
     )
 
 
