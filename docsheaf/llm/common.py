@@ -88,5 +88,6 @@ def batches(function, columns: list[str], rows: int = 512):
         for part in parts:
             for at, end in cuts(part, rows):
                 yield from pa.table(function(part.slice(at, end - at)), names=columns).to_batches()
+            give_back()
 
     return run
