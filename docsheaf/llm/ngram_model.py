@@ -48,6 +48,8 @@ PRIOR = 16.0
 HELD_KEYS = 400_000
 #: Tokens to a shard of pairs, and distinct words to a shard of words; one word hash in ``SAMPLED`` is counted for that.
 PAIR_TOKENS, SHARD_WORDS, SAMPLED = 1 << 20, 1 << 17, 1 << 8
+#: Questions for words, over all batches, to a shard of words.
+SHARD_QUESTIONS = 1 << 22
 LEAST_SHARDS = 16
 #: Bits of the filter for each level of each pair, and probes for each.
 BITS, PROBES = 6, 4
@@ -178,9 +180,13 @@ def tokenised(docs: DataFrame) -> DataFrame:
 
 def shards_for(batches: DataFrame) -> Shards:
     """As many shards as keep each of them small."""
-    tokens = batches.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("n_tokens", F.octet_length("words"))]
+    tokens, asked = batches.agg(*sums).first()
     words = batches.select(F.explode("sample").alias("word")).agg(F.count_distinct("word")).first()[0] * SAMPLED
-    return Shards(max(LEAST_SHARDS, -(-words // SHARD_WORDS)), max(LEAST_SHARDS, -(-tokens // PAIR_TOKENS)))
+    return Shards(
+        max(LEAST_SHARDS, -(-words // SHARD_WORDS), -(-asked // 8 // SHARD_QUESTIONS)),
+        max(LEAST_SHARDS, -(-tokens // PAIR_TOKENS)),
+    )
 
 
 # --- counting
