@@ -252,14 +252,14 @@ def run_extraction(
 
 
 def save_run(run: Run, folder: str, run_id: str | None = None) -> dict[str, str]:
-    """Write the JSON, CSV and report of a run under run-stamped names."""
+    """Publish the JSON, CSV and report of a run together, under run-stamped names.
+
+    A save that was stopped may be repeated; one that ended gives its paths again.
+    """
     run_id = run_id or datetime.now().strftime("%Y%m%d_%H%M%S")
-    paths = {
-        "json": f"{folder}/results_{run_id}.json",
-        "csv": f"{folder}/results_{run_id}.csv",
-        "report": f"{folder}/summary_{run_id}.txt",
+    outputs = {
+        "json": (f"results_{run_id}.json", lambda path: sinks.write_json(run.results, path)),
+        "csv": (f"results_{run_id}.csv", lambda path: sinks.write_csv(run.results, path)),
+        "report": (f"summary_{run_id}.txt", lambda path: sinks.write_report(run.lines, path)),
     }
-    sinks.write_json(run.results, paths["json"])
-    sinks.write_csv(run.results, paths["csv"])
-    sinks.write_report(run.lines, paths["report"])
-    return paths
+    return sinks.publish(run.results.sparkSession, folder, run_id, outputs)
