@@ -132,6 +132,34 @@ def top_entities(results: DataFrame, n: int = C.TOP_ENTITIES) -> DataFrame:
     )
 
 
+# --- counted while a stage is written --------------------------------------------------
+
+
+def counters() -> list[Column]:
+    """What the report counts over all parsed calls, to be observed while they are written."""
+    ok = F.col("parse_path") != "failed"
+    return [
+        F.count_if(ok).alias("succeeded"),
+        F.count_if(~ok).alias("failed"),
+        F.sum(F.when(ok, F.col("sentiment.confidence"))).alias("confidence"),
+        *[F.count_if(ok & (F.col("sentiment.label") == name)).alias(name) for name in C.LABELS],
+        *[F.count_if(ok & (F.size(f"entities.{kind}") > 0)).alias(f"with_{kind}") for kind, _ in KINDS],
+    ]
+
+
+def counted_totals(spark, documents: int, counted: dict) -> DataFrame:
+    """The row of ``totals`` from counters that were observed."""
+    n = counted["succeeded"]
+    row = {
+        "documents": documents, "chunks": n + counted["failed"], "succeeded": n, "failed": counted["failed"], "total": n,
+        "mean_confidence": (counted["confidence"] or 0.0) / n if n else 0.0,
+        **{name: counted[name] for name in C.LABELS},
+        **{f"with_{kind}": counted[f"with_{kind}"] for kind, _ in KINDS},
+    }
+    types = ", ".join(f"{name} {'double' if name == 'mean_confidence' else 'bigint'}" for name in row)
+    return spark.createDataFrame([tuple(row.values())], types)
+
+
 # --- lines ----------------------------------------------------------------------------
 
 SECTION_OVERVIEW, SECTION_SOURCES, SECTION_SENTIMENT = 1, 2, 3
@@ -171,8 +199,12 @@ def report_lines(
     failures: DataFrame,
     generated_at: str,
     title: str = "DOCUMENT EXTRACTION — SUMMARY REPORT",
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """``(section_no, item_no, line_no, line)``; sorted by these it is the report."""
+    """``(section_no, item_no, line_no, line)``; sorted by these it is the report.
+
+    ``counted`` is the row of ``totals`` where it is known already.
+    """
     rule, banner = "-" * C.RULE_WIDTH, "=" * C.BANNER_WIDTH
     opening = [banner, f"  {title}", f"{C.GENERATED_LINE}{generated_at}", banner, ""]
     headings = {
@@ -190,7 +222,7 @@ def report_lines(
 
     sections = [
         _fixed_lines(results.sparkSession, fixed),
-        _total_lines(totals(documents, results, failures), rule),
+        _total_lines(totals(documents, results, failures) if counted is None else counted, rule),
         _source_lines(results),
         _entity_lines(results),
         _chunk_lines(results),

@@ -6,11 +6,13 @@ shuffled at most once, to spread the calls.
 
 import json
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,7 +24,8 @@ from docsheaf.operators import calls as X
 from docsheaf.operators.chunking import chunk_documents, preview
 from docsheaf.operators.cleaning import clean_documents
 from docsheaf.operators.numbering import chunk_offsets, number_chunks
-from docsheaf.operators.report import report_lines
+from docsheaf.operators.report import counted_totals, report_lines
+from docsheaf.operators.report import counters as report_counters
 from docsheaf.operators.results import failed, result_records
 from docsheaf.operators.shared_rate import write_outcomes_at_rate
 from docsheaf.session import configure, exists
@@ -41,7 +44,13 @@ class Run:
     calls: DataFrame
     results: DataFrame
     failures: DataFrame
-    lines: DataFrame
+    totals: DataFrame
+    report: Callable[[], DataFrame]
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """The report's lines. Top names are counted when it is first asked for."""
+        return self.report()
 
 
 class StaleFolder(RuntimeError):
@@ -59,21 +68,39 @@ def _finished(spark: SparkSession, path: str, settings: str) -> StructType | Non
     return StructType.fromJson(json.loads(found.schema))
 
 
-def _finish(spark: SparkSession, path: str, settings: str, schema: StructType) -> StructType:
-    marker = spark.createDataFrame([(settings, schema.json())], "settings string, schema string")
+def _finish(
+    spark: SparkSession, path: str, settings: str, schema: StructType, counted: dict | None = None
+) -> StructType:
+    row = (settings, schema.json(), json.dumps(counted))
+    marker = spark.createDataFrame([row], "settings string, schema string, counted string")
     marker.coalesce(1).write.mode("overwrite").parquet(f"{path}.done")
     return schema
 
 
+def counted_in(spark: SparkSession, path: str) -> dict:
+    """What was counted while a finished stage was written."""
+    return json.loads(spark.read.parquet(f"{path}.done").first().counted)
+
+
 def _stage(
-    spark: SparkSession, path: str, settings: str, build: Callable[[], DataFrame], *partition_by
+    spark: SparkSession, path: str, settings: str, build: Callable[[], DataFrame], *partition_by, counters=()
 ) -> DataFrame:
-    """The table at ``path``, built unless an earlier run of this folder finished it."""
+    """The table at ``path``, built unless an earlier run of this folder finished it.
+
+    ``counters`` are counted by the tasks that write it and kept with its marker;
+    a task that is tried again counts once.
+    """
     schema = _finished(spark, path, settings)
     if schema is None:
-        built = build()
-        built.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        schema = _finish(spark, path, settings, built.schema)
+        built, counted = build(), None
+        rows = built
+        if counters:
+            observed = Observation(f"stage-{uuid.uuid4().hex}")
+            rows = built.observe(observed, *counters)
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        if counters:
+            counted = observed.get
+        schema = _finish(spark, path, settings, built.schema, counted)
     # a table without rows has no files to tell its columns
     return spark.read.schema(schema).parquet(path)
 
@@ -239,7 +266,7 @@ def run_extraction(
 
     calls = call_stage(spark, chunks, f"{folder}/calls", settings, send, waves, recorded)
     parsed = _stage(
-        spark, f"{folder}/parsed", settings, lambda: parse_stage(calls, chunks.drop("wave"))
+        spark, f"{folder}/parsed", settings, lambda: parse_stage(calls, chunks.drop("wave")), counters=report_counters()
     )
     results = sinks.require_rows(result_records(parsed), "results")
     failures = failed(parsed).select(
@@ -247,8 +274,9 @@ def run_extraction(
     )
 
     stamp = generated_at or datetime.now().strftime("%Y-%m-%d %H:%M:%S")
-    lines = report_lines(documents, results, failures, stamp)
-    return Run(chunks.drop("wave"), calls, results, failures, lines)
+    totals = counted_totals(spark, json.loads(settings)["documents"], counted_in(spark, f"{folder}/parsed"))
+    report = lambda: report_lines(documents, results, failures, stamp, counted=totals)
+    return Run(chunks.drop("wave"), calls, results, failures, totals, report)
 
 
 def save_run(run: Run, folder: str, run_id: str | None = None) -> dict[str, str]:

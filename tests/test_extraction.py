@@ -111,3 +111,48 @@ def test_stop_on_empty(spark):
             E.run_extraction(rows, rule_model, workspace(spark, "run"), sleep=no_sleep)
     with pytest.raises(EmptyStage, match="results"):
         E.run_extraction(docs, no_calls, workspace(spark, "run"), sleep=no_sleep)
+
+
+def test_totals_are_counted_while_the_stage_is_written(spark, tmp_path):
+    from docsheaf.operators import report as R
+
+    folder = workspace(spark, "run")
+    args = dict(max_tokens=60, sleep=no_sleep, generated_at="now")
+    run = E.run_extraction(documents(spark), rule_model, folder, **args)
+    whole = R.totals(documents(spark), run.results, run.failures).first().asDict()
+    found = run.totals.first().asDict()
+    assert abs(found.pop("mean_confidence") - whole.pop("mean_confidence")) < 1e-9
+    assert found == whole and list(found) == list(whole)
+    # a resumed run has them from the marker
+    again = E.run_extraction(documents(spark), no_calls, folder, **args)
+    assert again.totals.first() == run.totals.first()
+    lines = again.lines._jdf.queryExecution().analyzed().toString()
+    assert "raw_text" not in lines
+
+
+def test_tasks_that_are_tried_again_count_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    mark = tmp_path / "failed-once"
+
+    def fails_once(parts):
+        import os
+
+        from pyspark import TaskContext
+
+        if TaskContext.get().partitionId() == 1 and not os.path.exists(mark):
+            open(mark, "w").close()
+            # the rows are written, then the task is lost
+            yield from parts
+            raise RuntimeError("lost")
+        yield from parts
+
+    rows = spark.range(0, 1000, 1, 4).mapInArrow(fails_once, "id bigint")
+    counters = [F.count("*").alias("n"), F.sum("id").alias("sum")]
+    path = workspace(spark, "stage")
+    if spark.sparkContext.master.startswith("local[") and "," not in spark.sparkContext.master:
+        # one machine does not try a task again: the whole stage is
+        with pytest.raises(Exception, match="lost"):
+            E._stage(spark, path, "s", lambda: rows, counters=counters)
+    assert E._stage(spark, path, "s", lambda: rows, counters=counters).count() == 1000
+    assert E.counted_in(spark, path) == {"n": 1000, "sum": 499500}
