@@ -3,7 +3,7 @@
 Base kinds are patterns. Beyond them, text that assigns anything is lexed as
 source or configuration: names, quoted literals, operators and bare words are
 parsed into pairs of a target name and a value (``name = "x"``, ``name: x``,
-``"name": "x"``, ``name := a + "x"``). Names that stand for a literal elsewhere
+``"name": "x"``, ``name := a + "x"``, ``"name" => "x"``). Names that stand for a literal elsewhere
 in the text are replaced by it, over any number of steps, so a secret is found
 where it is written even if its own name is harmless. A literal is scored by
 how sensitive the names are that it reaches, and by its own shape. Literals
@@ -94,7 +94,10 @@ def assignments(text: str) -> list[tuple[str, list[tuple[str, str, int, int]]]]:
     while k + 2 < len(tokens):
         kind, written, _, _ = tokens[k]
         step = 1
-        if tokens[k + 1][0] == "assign" or tokens[k + 1][1] == ":=":
+        link = tokens[k + 1][1]
+        # an arrow also links names to functions and types; it assigns literals
+        arrow = link == "=>" and kind in ("name", "string") and tokens[k + 2][0] == "string"
+        if tokens[k + 1][0] == "assign" or link == ":=" or arrow:
             name = written.strip("\"'") if kind in ("name", "string") else ""
             terms, at = [], k + 2
             while at < len(tokens) and tokens[at][0] in ("string", "name", "bare"):

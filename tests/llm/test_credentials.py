@@ -59,3 +59,12 @@ def test_odd_rows(odd, odd_extra, empty):
     mixed = "".join(f"{chr(65 + k % 26)}{k}" for k in range(20_000))
     long = f'pwd = "{mixed}"\n' + "'" * 20_000 + "= :" * 20_000
     assert cr.secrets_of(long)
+
+
+def test_arrows_assign_literals():
+    def found(text):
+        return [text[a:b] for a, b, _, score in cr.scored_literals(text) if score >= cr.LEAST_SCORE]
+
+    for text in ("'password' => 'Zk39fjQ02mxP'", 'api_key=>"Zk39fjQ02mxP",', "$a = ['db' => 1, 'secret' => 'Zk39fjQ02mxP'];"):
+        assert found(text) == ["Zk39fjQ02mxP"]
+    assert found("password => password.length") == found("token => { return 'Zk39fjQ02mxP' }") == found("x => 'Zk39fjQ02mxP'") == []
