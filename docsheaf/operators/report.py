@@ -147,6 +147,19 @@ def counters() -> list[Column]:
     ]
 
 
+def added_counters(counts: list[dict]) -> dict:
+    """The counters of several parts as one."""
+    return {name: sum(c[name] or 0 for c in counts) for name in counts[0]}
+
+
+def merged_sources(*parts: DataFrame) -> DataFrame:
+    """``chunks_per_source`` of several parts as one."""
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part)
+    return both.groupBy("source").agg(F.sum("chunks").alias("chunks"), F.min("first_chunk").alias("first_chunk"))
+
+
 def counted_totals(spark, documents: int, counted: dict) -> DataFrame:
     """The row of ``totals`` from counters that were observed."""
     n = counted["succeeded"]
@@ -200,10 +213,12 @@ def report_lines(
     generated_at: str,
     title: str = "DOCUMENT EXTRACTION — SUMMARY REPORT",
     counted: DataFrame | None = None,
+    sources: DataFrame | None = None,
 ) -> DataFrame:
     """``(section_no, item_no, line_no, line)``; sorted by these it is the report.
 
-    ``counted`` is the row of ``totals`` where it is known already.
+    ``counted`` is the row of ``totals``, ``sources`` the ``chunks_per_source``,
+    where they are known already.
     """
     rule, banner = "-" * C.RULE_WIDTH, "=" * C.BANNER_WIDTH
     opening = [banner, f"  {title}", f"{C.GENERATED_LINE}{generated_at}", banner, ""]
@@ -223,7 +238,7 @@ def report_lines(
     sections = [
         _fixed_lines(results.sparkSession, fixed),
         _total_lines(totals(documents, results, failures) if counted is None else counted, rule),
-        _source_lines(results),
+        _source_lines(chunks_per_source(results) if sources is None else sources),
         _entity_lines(results),
         _chunk_lines(results),
         _failure_lines(failures),
@@ -272,11 +287,9 @@ def _total_lines(row: DataFrame, rule: str) -> DataFrame:
     return row.select(F.inline(F.concat(*parts)))
 
 
-def _source_lines(results) -> DataFrame:
+def _source_lines(sources) -> DataFrame:
     line = F.format_string(C.SOURCE_LINE, F.col("source"), _number(F.col("chunks")))
-    return _lines(
-        chunks_per_source(results), SECTION_SOURCES, F.col("first_chunk"), F.array(line)
-    )
+    return _lines(sources, SECTION_SOURCES, F.col("first_chunk"), F.array(line))
 
 
 def _entity_lines(results) -> DataFrame:

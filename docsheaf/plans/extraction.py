@@ -24,7 +24,7 @@ from docsheaf.operators import calls as X
 from docsheaf.operators.chunking import chunk_documents, preview
 from docsheaf.operators.cleaning import clean_documents
 from docsheaf.operators.numbering import chunk_offsets, number_chunks
-from docsheaf.operators.report import counted_totals, report_lines
+from docsheaf.operators.report import added_counters, chunks_per_source, counted_totals, merged_sources, report_lines
 from docsheaf.operators.report import counters as report_counters
 from docsheaf.operators.results import failed, result_records
 from docsheaf.operators.shared_rate import write_outcomes_at_rate
@@ -142,8 +142,9 @@ def _recorded_stage(chunks: DataFrame, recorded: DataFrame) -> DataFrame:
 def call_stage(
     spark: SparkSession, chunks: DataFrame, path: str, settings: str,
     send: Callable[[DataFrame], DataFrame], waves: int, recorded: DataFrame | None = None,
+    ended: Callable[[int], None] = lambda wave: None,
 ) -> DataFrame:
-    """An outcome for every chunk, wave by wave.
+    """An outcome for every chunk, wave by wave. ``ended`` is called after each.
 
     ``send`` makes the calls of chunks without an outcome in ``recorded(doc_seq,
     chunk_index, raw, error)``, which is written once by wave. A wave is written
@@ -158,6 +159,7 @@ def call_stage(
         part = f"{path}/wave={wave}"
         schema = _finished(spark, f"{path}.wave-{wave}", settings)
         if schema is not None:
+            ended(wave)
             continue
         todo = chunks.filter(F.col("wave") == wave).drop("wave")
         if known is None:
@@ -171,6 +173,7 @@ def call_stage(
                 outcomes = send(todo.join(left, list(KEYS), "left_semi")).unionByName(outcomes)
         outcomes.write.mode("overwrite").parquet(part)
         schema = _finish(spark, f"{path}.wave-{wave}", settings, outcomes.schema)
+        ended(wave)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -199,7 +202,7 @@ def journalled(
     return send
 
 
-def parse_stage(calls: DataFrame, chunks: DataFrame) -> DataFrame:
+def parsed_calls(calls: DataFrame, offsets: DataFrame) -> DataFrame:
     """Parsed and numbered calls; only failed ones keep their text.
 
     Numbering joins them with one offset per document: a wide shuffle of the
@@ -212,7 +215,37 @@ def parse_stage(calls: DataFrame, chunks: DataFrame) -> DataFrame:
             "reason": F.coalesce("error", "reason"),
         }
     ).drop("raw", "status", "attempts", "waited", "error")
-    return number_chunks(parsed, chunk_offsets(chunks))
+    return number_chunks(parsed, offsets)
+
+
+def parse_wave(spark: SparkSession, folder: str, settings: str, wave: int, offsets: DataFrame) -> StructType:
+    """Parse a wave's calls, and add what the report counts to that of the waves before.
+
+    The sums up to a wave lie beside it, so a report after it reads neither
+    the waves before nor their replies again.
+    """
+    marker = f"{folder}/parsed.wave-{wave}"
+    schema = _finished(spark, marker, settings)
+    if schema is not None:
+        return schema
+    path = f"{folder}/parsed/wave={wave}"
+    built = parsed_calls(spark.read.parquet(f"{folder}/calls/wave={wave}"), offsets)
+    observed = Observation(f"wave-{uuid.uuid4().hex}")
+    built.observe(observed, *report_counters()).write.mode("overwrite").parquet(path)
+    own = chunks_per_source(result_records(spark.read.schema(built.schema).parquet(path)))
+    counts, sources = [observed.get], [own]
+    if wave:
+        counts.append(counted_in(spark, f"{folder}/parsed.wave-{wave - 1}"))
+        sources.append(spark.read.parquet(f"{folder}/sources.upto-{wave - 1}"))
+    merged_sources(*sources).write.mode("overwrite").parquet(f"{folder}/sources.upto-{wave}")
+    return _finish(spark, marker, settings, built.schema, added_counters(counts))
+
+
+def progress(spark: SparkSession, folder: str, wave: int) -> tuple[DataFrame, DataFrame]:
+    """The report's totals and chunks per source up to a finished wave of a run in ``folder``."""
+    marker = spark.read.parquet(f"{folder}/parsed.wave-{wave}.done").first()
+    totals = counted_totals(spark, json.loads(marker.settings)["documents"], json.loads(marker.counted))
+    return totals, spark.read.parquet(f"{folder}/sources.upto-{wave}")
 
 
 def run_extraction(
@@ -264,18 +297,18 @@ def run_extraction(
     def send(todo: DataFrame) -> DataFrame:
         return journal(todo.withColumn("request", F.to_json(X.build_request(F.col("text"), config))))
 
-    calls = call_stage(spark, chunks, f"{folder}/calls", settings, send, waves, recorded)
-    parsed = _stage(
-        spark, f"{folder}/parsed", settings, lambda: parse_stage(calls, chunks.drop("wave")), counters=report_counters()
-    )
+    offsets = _stage(spark, f"{folder}/offsets", settings, lambda: chunk_offsets(chunks))
+    ended = lambda wave: parse_wave(spark, folder, settings, wave, offsets)
+    calls = call_stage(spark, chunks, f"{folder}/calls", settings, send, waves, recorded, ended)
+    parsed = spark.read.schema(ended(waves - 1)).parquet(f"{folder}/parsed")
     results = sinks.require_rows(result_records(parsed), "results")
     failures = failed(parsed).select(
         "chunk_id", "doc_seq", "source", "source_type", "chunk_index", "total_chunks", "text", "reason"
     )
 
     stamp = generated_at or datetime.now().strftime("%Y-%m-%d %H:%M:%S")
-    totals = counted_totals(spark, json.loads(settings)["documents"], counted_in(spark, f"{folder}/parsed"))
-    report = lambda: report_lines(documents, results, failures, stamp, counted=totals)
+    totals, sources = progress(spark, folder, waves - 1)
+    report = lambda: report_lines(documents, results, failures, stamp, counted=totals, sources=sources)
     return Run(chunks.drop("wave"), calls, results, failures, totals, report)
 
 

@@ -491,6 +491,9 @@ ORACLES["unreadable_rejects"] = f"""WITH {_FILES}, sized AS (
         SELECT path, kind, {_SIZE} AS size FROM files)
     SELECT path AS source, 'ingest' AS stage, 'cannot be read: stream ended after ' || size AS reason
     FROM sized WHERE kind IS NOT NULL AND size % 5 = 2"""
+ORACLES["stop_on_empty"] = """SELECT 'none' AS "case", 'no documents' AS reason, CAST(0 AS BIGINT) AS documents, false AS saved
+    UNION ALL SELECT 'blank', 'no chunks', count(*), false FROM documents
+    UNION ALL SELECT 'refused', 'no results', count(*), false FROM documents"""
 ORACLES["text_ranges"] = ORACLES["text_decode"]
 ORACLES["all_rejects"] = " UNION ALL ".join(
     f"({ORACLES[name]})" for name in (

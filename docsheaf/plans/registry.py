@@ -415,6 +415,26 @@ def extraction_failures(spark, sf_dir):
     return _run(spark, sf_dir).failures
 
 
+def stop_on_empty(spark, sf_dir):
+    """Runs that stop and save nothing: without documents, without text in any, with every call refused."""
+    docs = inputs.documents(spark, sf_dir)
+    blank = docs.withColumn("raw_text", F.regexp_replace("raw_text", r"\S", " "))
+    refused = inputs.recorded_replies(docs, 200).withColumns(
+        {"raw": F.lit(None).cast("string"), "error": F.coalesce("error", F.lit("refused"))}
+    )
+    rows = []
+    for case, these, recorded in (("none", docs.filter("doc_seq is null"), None), ("blank", blank, None), ("refused", docs, refused)):
+        folder = workspace(spark, "stopped")
+        try:
+            run = run_extraction(these, no_client, f"{folder}/run", max_tokens=200, recorded=recorded)
+            save_run(run, folder, "r1")
+            reason = None
+        except sinks.EmptyStage as stop:
+            reason = str(stop)
+        rows.append((case, reason, these.count(), sinks.published(spark, folder, "r1") is not None))
+    return spark.createDataFrame(rows, "case string, reason string, documents bigint, saved boolean")
+
+
 def saved_run(spark, sf_dir):
     """The files of a run as read back, each row with the name of its file."""
     run = _run(spark, sf_dir)
@@ -496,6 +516,7 @@ QUERIES = {
     "report_lines": report_lines,
     "report_roundtrip": report_roundtrip,
     "extraction_run": extraction_run,
+    "stop_on_empty": stop_on_empty,
     "saved_run": saved_run,
     "extraction_failures": extraction_failures,
 }

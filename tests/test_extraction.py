@@ -156,3 +156,45 @@ def test_tasks_that_are_tried_again_count_once(spark, tmp_path):
             E._stage(spark, path, "s", lambda: rows, counters=counters)
     assert E._stage(spark, path, "s", lambda: rows, counters=counters).count() == 1000
     assert E.counted_in(spark, path) == {"n": 1000, "sum": 499500}
+
+
+def test_report_parts_are_kept_per_wave(spark):
+    from docsheaf.operators import report as R
+
+    folder, n = workspace(spark, "run"), 4
+    args = dict(max_tokens=60, sleep=no_sleep, waves=n, generated_at="now")
+    run = E.run_extraction(documents(spark), rule_model, folder, **args)
+    waves = {r.doc_seq: r.wave for r in spark.read.parquet(f"{folder}/chunks").select("doc_seq", "wave").collect()}
+    parsed = spark.read.parquet(f"{folder}/parsed")
+    for wave in range(n):
+        totals, sources = E.progress(spark, folder, wave)
+        upto = parsed.filter(F.col("wave") <= wave)
+        results, failures = E.result_records(upto), E.failed(upto)
+        whole = R.totals(documents(spark), results, failures).first().asDict()
+        found = totals.first().asDict()
+        assert abs(found.pop("mean_confidence") - whole.pop("mean_confidence")) < 1e-9 and found == whole
+        recount = R.chunks_per_source(results)
+        assert sorted(map(tuple, sources.collect())) == sorted(map(tuple, recount.collect()))
+    assert set(waves.values()) == set(range(n))
+    lines = R.report_lines(documents(spark), run.results, run.failures, "now")
+    key = lambda r: tuple(r)
+    assert sorted(run.lines.collect(), key=key) == sorted(lines.collect(), key=key)
+
+
+def test_an_interrupted_wave_is_counted_once(spark, monkeypatch):
+    folder = workspace(spark, "run")
+    args = dict(max_tokens=60, sleep=no_sleep, waves=3, generated_at="now")
+    real, calls = E.merged_sources, []
+
+    def breaks(*parts):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("interrupted")
+        return real(*parts)
+
+    monkeypatch.setattr(E, "merged_sources", breaks)
+    with pytest.raises(RuntimeError):
+        E.run_extraction(documents(spark), rule_model, folder, **args)
+    monkeypatch.undo()
+    run = E.run_extraction(documents(spark), rule_model, folder, **args)
+    assert run.totals.first().succeeded == run.results.count() and run.totals.first().failed == run.failures.count()
