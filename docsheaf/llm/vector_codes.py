@@ -16,7 +16,7 @@ leaves a task are sums and counts of each entry.
 Vectors that are null, or have a null, an infinite or an undefined component are
 dropped. A vector shorter than the longest one, or than a multiple of ``PARTS``,
 ends in zeros. Components beyond ``largest()`` in size, at eight parts of eight
-about 2^28, are taken as that, as squared distances would not fit a long. Null
+about 2^27, are taken as that, as squared distances would not fit a long. Null
 identifiers come last in the choice of the first entries; repeated identifiers
 are ordered by their components, and rows repeated as a whole are coded each.
 With fewer than ``ENTRIES`` vectors the codebooks have as many entries; an
