@@ -119,9 +119,23 @@ def coerce_summary(value: Column, kind: Column) -> Column:
     return F.coalesce(text, F.lit(C.DEFAULT_SUMMARY))
 
 
-def coerce_names(value: Column, kind: Column) -> Column:
+def _keys_as_written(value: Column, text: Column, path: str) -> Column:
+    """The keys of an object in the order of the reply.
+
+    A variant sorts them. Where the text has other keys at the path (an object
+    is repeated, of which the last counts) or cannot be read that way, the order
+    is the variant's.
+    """
+    keys = F.map_keys(_as(value, "map<string,variant>"))
+    written = F.array_distinct(F.json_object_keys(F.get_json_object(text, path)))
+    return F.when(F.array_sort(written) == F.array_sort(keys), written).otherwise(keys)
+
+
+def coerce_names(value: Column, kind: Column, text: Column, path: str) -> Column:
     """Null marks a type that has no elements, which fails the reply.
 
+    ``text`` is the JSON in which the value stands at ``path``.
+
     An element that is null has the name that text shows for it, here and so in
     every file and count.
     """
@@ -129,7 +143,7 @@ def coerce_names(value: Column, kind: Column) -> Column:
     return (
         F.when(kind.isNull(), F.array().cast("array<string>"))
         .when(kind == "ARRAY", F.transform(_as(value, "array<string>"), named))
-        .when(kind == "OBJECT", F.map_keys(_as(value, "map<string,variant>")))
+        .when(kind == "OBJECT", _keys_as_written(value, text, path))
         .when(kind == "STRING", F.filter(F.split(_as(value, "string"), ""), lambda c: c != ""))
     )
 
@@ -236,8 +250,11 @@ def parse_replies(df: DataFrame, column: str = "raw") -> DataFrame:
     keep, raw = df.columns, F.col(column)
     steps = _field_steps(_json_steps(df, raw))
 
+    block = F.col("_json")
+    text = F.when(F.col("_path") == REPAIRED, without_trailing_commas(block)).otherwise(block)
+
     def names(name):
-        found = coerce_names(F.col(f"_v_{name}"), F.col(f"_t_{name}"))
+        found = coerce_names(F.col(f"_v_{name}"), F.col(f"_t_{name}"), text, f"$.entities.{name}")
         return F.when(F.col("_path") != FAILED, found)
 
     steps = steps.withColumns({f"_{name}": names(name) for name in _NAMES})

@@ -55,6 +55,12 @@ CASES = {
     "emoji people": (g('["A","B"]', '"é\U0001f600"'), FULL | dict(people=["é", "\U0001f600"])),
     "empty string people": (g('["A","B"]', '""'), FULL | dict(people=[])),
     "object people": (g('["A","B"]', '{"a":1,"b":2}'), FULL | dict(people=["a", "b"])),
+    "object people in order": (g('["A","B"]', '{"z":1,"b":{"q":1},"a":2,"z":3}'), FULL | dict(people=["z", "b", "a"])),
+    "repaired object people": (g('["A","B"]', '{"z":1,"b":2,}'), FULL | dict(parse_path="repaired", people=["z", "b"])),
+    "object people and nan": (g('["A","B"]', '{"z":NaN,"b":2}'), FULL | dict(people=["b", "z"])),
+    "entities twice": (g('"entities":', '"entities":{"people":{"z":1,"x":2}},"entities":').replace('["A","B"]', '{"k":1,"c":2}'),
+                       FULL | dict(people=["c", "k"])),
+    "null among people": (g('["A","B"]', '["A",null]'), FULL | dict(people=["A", "None"])),
     "null people": (g('["A","B"]', "null"), bad(TYPE)),
     "number people": (g('["A","B"]', "5"), bad(TYPE)),
     "bool places": (g('"places":[]', '"places":true'), bad(TYPE)),
