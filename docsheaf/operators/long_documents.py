@@ -51,9 +51,8 @@ def document_lines(pieces: DataFrame) -> DataFrame:
     cut = pieces.select("doc_seq", "piece_no", F.split("raw_text", "\n").alias("lines"))
     before = Window.partitionBy("doc_seq").orderBy("piece_no").rowsBetween(Window.unboundedPreceding, -1)
     # a row for each piece, without text
-    ends = materialize(
-        cut.select("doc_seq", "piece_no", (F.size("lines") - 1).cast("bigint").alias("ends")), workspace(pieces.sparkSession, "ends")
-    )
+    ends = cut.select("doc_seq", "piece_no", (F.size("lines") - 1).cast("bigint").alias("ends"))
+    ends = materialize(ends, workspace(pieces.sparkSession, "ends"))
     first = ends.select("doc_seq", "piece_no", F.coalesce(F.sum("ends").over(before), F.lit(0)).alias("first"))
     each = cut.join(first, ["doc_seq", "piece_no"]).select(
         "doc_seq", "piece_no", "first", (F.size("lines") - 1).alias("last"), F.posexplode("lines").alias("k", "text")
@@ -246,7 +245,8 @@ def open_sums(maps: DataFrame, max_tokens: int) -> DataFrame:
     empty = [F.lit(None).cast(kind).alias(c) for c, kind in maps.dtypes[1:]]
     asked = runs.select("_run", *columns).unionByName(ends.select("_run", "block", *empty))
     found = asked.groupBy("_run").applyInPandas(run, "block bigint, open_sum bigint")
-    return maps.select("block").join(found, "block", "left").select("block", F.coalesce("open_sum", F.lit(0)).alias("open_sum"))
+    known = maps.select("block").join(found, "block", "left")
+    return known.select("block", F.coalesce("open_sum", F.lit(0)).alias("open_sum"))
 
 
 def packed_units(units: DataFrame, max_tokens: int) -> DataFrame:
