@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 
 from docsheaf import constants as C
 from docsheaf import schemas
+from docsheaf.session import small_batches
 
 SUCCESS, FAILURE = "success", "failed"
 
@@ -210,6 +211,8 @@ def call_rows(
     """
     if concurrency:
         df = df.repartition(concurrency, *spread_by)
+    # a worker holds a batch of requests, its outcomes and what is ahead: by bytes, not by rows
+    small_batches(df.sparkSession)
 
     def calls(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own, pace = threading.local(), Pace(policy.calls_per_second, sleep)

@@ -175,3 +175,27 @@ def test_replayed_answers():
         assert outcomes(X.MODEL_POLICY, call, text) == (("fine", "success", 2, 2.0, None), [2])
     lasting = json.dumps({"id": 3, "answers": [{"kind": "timeout", "reply": "late"}]})
     assert outcomes(X.MODEL_POLICY, call, lasting) == ((None, "failed", 4, 8.0, "late"), [2, 2, 4])
+
+
+def test_requests_come_in_batches_by_bytes(spark):
+    from docsheaf import session
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    df = spark.range(0, 3000, 1, 1).select(F.concat(F.lit("0\n"), F.repeat(F.lit("x"), 8000)).alias("t"))
+
+    def client():
+        return lambda text: str(len(text))
+
+    def sized(batches):
+        for batch in batches:
+            yield batch.assign(n=int(batch["t"].str.len().sum()))
+
+    try:
+        out = X.call_rows(df, "t", client, X.MODEL_POLICY, no_sleep)
+        assert out.agg(F.min("raw"), F.max("raw"), F.count("*")).first() == ("8002", "8002", 3000)
+        most = df.mapInPandas(sized, "t string, n bigint").agg(F.max("n")).first()[0]
+        assert most <= session.ARROW_BYTES + 8002
+    finally:
+        spark.conf.unset(key)
+        session.configure(spark)
