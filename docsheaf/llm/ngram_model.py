@@ -38,9 +38,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsheaf.llm.common import cuts, give_back, per_text, split_words, staged
+from docsheaf.session import small_batches
 
 #: Documents of a batch.
 BATCH = 512
+#: Bytes of rows that Spark sends to Python at once.
+ROWS_BYTES = 4 << 20
 PSEUDO = 0.1
 PRIOR = 16.0
 #: Keys that a task adds up before it sends them on.
@@ -423,6 +426,8 @@ def _score(shards: Shards, total: int, distinct: int, prior: float, held, parts:
 def scores(docs: DataFrame, prior: float = PRIOR, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every document."""
     spark = docs.sparkSession
+    # a row is a batch of documents already: a few at a time
+    small_batches(spark, ROWS_BYTES)
     batches = tokenised(docs)
     shards = shards_for(batches)
     model = trained(batches, shards)

@@ -115,3 +115,14 @@ def test_shards_follow_the_corpus(table, monkeypatch):
     shards = nm.shards_for(nm.tokenised(table(rows)))
     assert 30 < shards.words < 120 and shards.pairs == nm.LEAST_SHARDS
     assert wide.keys() == {r.doc_id for r in nm.scores(table(rows), broadcast_bytes=0).collect()}
+
+
+def test_rows_come_to_python_a_few_at_a_time(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    try:
+        docs = spark.createDataFrame([(1, "a b"), (2, "a")], "doc_id bigint, text string")
+        assert nm.scores(docs).count() == 2
+        assert int(spark.conf.get(key).rstrip("b")) <= nm.ROWS_BYTES == 4 << 20
+    finally:
+        spark.conf.unset(key)
