@@ -1,5 +1,8 @@
 """From raw documents to token ids: five stages, each on all that the one before kept.
 
+The mixture decides the order of the token ids: the last table's files, in the order
+of their names, have the documents in that of the schedule.
+
 Rows without an identifier cannot be told apart, so near-duplicate removal
 leaves them alone. Of repeated rows one stays there. Further columns of the
 documents are kept up to the last stage; ``n_chars``, if there, follows the text.
@@ -9,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docsheaf.llm import line_quality, line_runs, mixing, pieces, simhash
-from docsheaf.llm.common import read_table, staged
+from docsheaf.llm.common import as_written, read_table, staged
 from docsheaf.llm.queries import tokenizer_file
 
 
@@ -49,8 +52,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``(doc_id, ids, n_pieces, decoded_equal)`` of every document."""
-    return pieces.encode_and_decode(docs, tokenizer_file("piece_bpe_32k.model"))
+    """``(doc_id, ids, n_pieces, decoded_equal)`` of every document, in the order in which they were written."""
+    return pieces.encode_and_decode(as_written(docs), tokenizer_file("piece_bpe_32k.model"))
 
 
 STAGES = [

@@ -58,6 +58,12 @@ def test_mixture(steps):
     assert [r.doc_id for r in mixing.in_order(mixing.mixed(steps[3])).collect()] == [r.doc_id for r in chosen]
 
 
+def test_ids_are_written_in_the_order_of_the_mixture(spark, steps):
+    found = mixing.in_order(mixing.mixed(steps[3])).select("doc_id").collect()
+    rows = steps[5].select("doc_id", "_metadata.file_name", "_metadata.row_index").collect()
+    assert [r.doc_id for r in sorted(rows, key=lambda r: r[1:])] == [r.doc_id for r in found]
+
+
 def test_encode(steps):
     sentencepiece = pytest.importorskip("sentencepiece")
     model = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file("piece_bpe_32k.model"))
