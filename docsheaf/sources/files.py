@@ -163,10 +163,13 @@ def write_contents(files: DataFrame, folder: str) -> DataFrame:
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(uri)
+        made = set()
         for part in parts:
             for row in part.to_pylist():
                 path = f"{root}/{row['source']}"
-                store.create_dir(path.rpartition("/")[0], recursive=True)
+                if (parent := path.rpartition("/")[0]) not in made:
+                    store.create_dir(parent, recursive=True)
+                    made.add(parent)
                 with store.open_output_stream(path) as stream:
                     stream.write(row["content"] or b"")
             yield pa.RecordBatch.from_arrays([part.column("source")], ["source"])

@@ -114,7 +114,8 @@ def byte_ranges(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
 def in_splits(files: DataFrame, range_bytes: int = RANGE_BYTES, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """The ranges, dealt out in the order of their files so that every partition has about ``split_bytes``."""
     spark = files.sparkSession
-    # range files are listed from stores: once
+    # files are listed from stores: once, as a range sort reads its rows twice
+    files = materialize(files, workspace(spark, "listed"))
     numbered = materialize(dense_numbers(files, ["source"], "file_no"), workspace(spark, "files"))
     sized = numbered.select("file_no", (F.col("size") + OPEN_COST).alias("cost"))
     total = sized.agg(F.coalesce(F.sum("cost"), F.lit(0))).first()[0]
@@ -124,23 +125,49 @@ def in_splits(files: DataFrame, range_bytes: int = RANGE_BYTES, split_bytes: int
     return dealt.repartitionByRange(splits, "_at").sortWithinPartitions("_at").drop("_at", "before", "file_no")
 
 
-def _opened(source: str):
-    from pyarrow import fs
+class _Opened:
+    """The file of the row at hand, opened once for ranges that follow each other."""
 
-    store, path = fs.FileSystem.from_uri(text_files._uri(source))
-    return store.open_input_file(path)
+    def __init__(self):
+        self.source, self.file = None, None
+
+    def read_at(self, source: str, length: int, start: int) -> bytes:
+        from pyarrow import fs
+
+        if source != self.source:
+            self.close()
+            store, path = fs.FileSystem.from_uri(text_files._uri(source))
+            self.file, self.source = store.open_input_file(path), source
+        return self.file.read_at(length, start)
+
+    def close(self) -> None:
+        file, self.source, self.file = self.file, None, None
+        if file is not None:
+            file.close()
+
+
+def _read_together(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose ranges have at most ``PIECE_BYTES`` together, or one row."""
+    for part in parts:
+        at, size = 0, 0
+        for k, length in enumerate(part.column("length").to_pylist()):
+            if k > at and size + length > PIECE_BYTES:
+                yield part.slice(at, k - at)
+                at, size = k, 0
+            size += length
+        if part.num_rows:
+            yield part.slice(at)
 
 
 def _scanned(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The content of files of one range, and the map of every range of others."""
-    for part in parts:
-        for k in range(part.num_rows):
-            own = part.slice(k, 1)
-            row = own.to_pylist()[0]
+    file = _Opened()
+    for own in _read_together(parts):
+        contents, maps, errors = [], [], []
+        for row in own.to_pylist():
             content, ends, error = None, None, None
             try:
-                with _opened(row["source"]) as file:
-                    raw = file.read_at(row["length"], row["start"])
+                raw = file.read_at(row["source"], row["length"], row["start"])
                 if len(raw) < row["length"]:
                     raise OSError(f"{len(raw)} bytes of {row['length']} at {row['start']}")
                 if row["ranges"] == 1:
@@ -149,11 +176,15 @@ def _scanned(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ends = end_states(raw)
             except Exception as problem:  # noqa: BLE001 - any problem becomes the file's reject
                 error = str(problem).split("\n")[0]
-            yield pa.RecordBatch.from_arrays(
-                [*own.columns, pa.array([content], pa.binary()), pa.array([ends], pa.list_(pa.int32())),
-                 pa.array([error], pa.string())],
-                [*own.schema.names, "content", "ends", "error"],
-            )
+                file.close()
+            contents.append(content)
+            maps.append(ends)
+            errors.append(error)
+        yield pa.RecordBatch.from_arrays(
+            [*own.columns, pa.array(contents, pa.binary()), pa.array(maps, pa.list_(pa.int32())), pa.array(errors, pa.string())],
+            [*own.schema.names, "content", "ends", "error"],
+        )
+    file.close()
 
 
 def scan_ranges(ranges: DataFrame) -> DataFrame:
@@ -186,17 +217,17 @@ def encodings(scanned: DataFrame) -> DataFrame:
 
 
 def _decoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        for k in range(part.num_rows):
-            own = part.slice(k, 1)
-            row = own.to_pylist()[0]
-            with _opened(row["source"]) as file:
-                first = max(0, row["start"] - 1)
-                raw = file.read_at(row["start"] - first + row["length"] + 3, first)
+    file = _Opened()
+    for own in _read_together(parts):
+        texts = []
+        for row in own.to_pylist():
+            first = max(0, row["start"] - 1)
+            raw = file.read_at(row["source"], row["start"] - first + row["length"] + 3, first)
             begin = row["start"] - first
             end = begin + row["length"]
-            text = piece_text(raw[:begin], raw[begin:end], raw[end:], row["utf8"])
-            yield pa.RecordBatch.from_arrays([*own.columns, pa.array([text])], [*own.schema.names, "raw_text"])
+            texts.append(piece_text(raw[:begin], raw[begin:end], raw[end:], row["utf8"]))
+        yield pa.RecordBatch.from_arrays([*own.columns, pa.array(texts, pa.string())], [*own.schema.names, "raw_text"])
+    file.close()
 
 
 def read_text_pieces(
@@ -208,17 +239,24 @@ def read_text_pieces(
     pieces in order are its text. Blank and empty files have one piece.
     """
     listed = text_files.route_files(text_files.list_files(spark, path)).filter(F.col("source_type") == "file_txt")
-    # contents of small files are written once; of the others only maps
+    # contents of small files are written once; of the others maps, and then their pieces
     scanned = materialize(scan_ranges(in_splits(listed, range_bytes, split_bytes)), workspace(spark, "ranges"))
     several = encodings(scanned)
     whole = scanned.filter("content is not null").withColumn("raw_text", text_files.decode_text(F.col("content")))
     asked = scanned.filter("ranges > 1").drop("content", "ends", "error").join(
         several.filter("error is null").select("source", "utf8"), "source"
     )
+    # the rows are small and what is read for them is not: dealt out by the bytes of their ranges
+    cost = F.col("length") + F.when(F.col("range_no") == 0, OPEN_COST).otherwise(0)
+    total = scanned.filter("ranges > 1").agg(F.coalesce(F.sum(cost), F.lit(0))).first()[0]
+    asked = asked.repartitionByRange(max(1, -(-total // split_bytes)), "source", "start")
+    asked = asked.sortWithinPartitions("source", "start")
     schema = ", ".join(f"`{name}` {kind}" for name, kind in asked.dtypes)
-    cut = asked.mapInArrow(_decoded, f"{schema}, raw_text string")
     columns = ["source", "source_type", "ranges", "range_no", "raw_text"]
-    pieces = whole.select(*columns).unionByName(cut.select(*columns))
+    cut = asked.mapInArrow(_decoded, f"{schema}, raw_text string").select(*columns)
+    # whoever asks for pieces by their number would have all ranges read again for each question
+    cut = materialize(cut, workspace(spark, "pieces"))
+    pieces = whole.select(*columns).unionByName(cut)
     bad = scanned.filter("ranges = 1 and error is not null").select("source", "error").unionByName(
         several.filter("error is not null").select("source", "error")
     )

@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from docsheaf.session import workspace
 from docsheaf.sources import files, ranges
@@ -95,3 +97,15 @@ def test_files_that_cannot_be_read(spark):
         several = ranges.encodings(scanned)
         errors = several.filter("error is not null") if size == 60 else scanned.filter("error is not null")
         assert errors.select("source").distinct().count() == 2
+
+
+def test_second_reading_is_dealt_out_by_bytes(spark):
+    path = workspace(spark, "ranges-in")
+    table = spark.createDataFrame([(f"f{k}.txt", b"ab\n" * 2000) for k in range(40)], "source string, content binary")
+    files.write_contents(table, path).count()
+    pieces, _ = ranges.read_text_pieces(spark, path, range_bytes=1000, split_bytes=4 * (6000 + ranges.OPEN_COST))
+    rows = pieces.select("source", "piece_no", F.input_file_name().alias("part")).collect()
+    assert len(rows) == 240
+    # ten splits, each written by a task: none reads many more ranges than the others
+    parts = Counter(r.part for r in rows)
+    assert len(parts) >= 8 and max(parts.values()) <= 60
