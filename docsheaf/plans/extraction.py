@@ -34,6 +34,8 @@ from docsheaf.sources.journal import read_outcomes, write_outcomes
 
 KEYS = ("doc_seq", "chunk_index")
 KEY_TYPES = "doc_seq bigint, chunk_index int"
+#: ``(doc_seq, chunk_index, raw, error)`` of chunks whose outcome is known, or how to look it up for written chunks.
+Recorded = DataFrame | Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -127,9 +129,9 @@ def chunk_stage(documents: DataFrame, max_tokens: int, counter: TokenCounter, wa
     return chunks.withColumn("wave", wave)
 
 
-def _recorded_stage(chunks: DataFrame, recorded: DataFrame) -> DataFrame:
+def _recorded_stage(chunks: DataFrame, recorded: Recorded) -> DataFrame:
     """The given outcomes of the chunks with their wave, without texts."""
-    known = recorded.select(*KEYS, "raw", "error")
+    known = (recorded(chunks) if callable(recorded) else recorded).select(*KEYS, "raw", "error")
     return chunks.select(*KEYS, "wave").join(known, list(KEYS)).withColumns(
         {
             "status": F.when(F.col("error").isNull(), X.SUCCESS).otherwise(X.FAILURE),
@@ -141,7 +143,7 @@ def _recorded_stage(chunks: DataFrame, recorded: DataFrame) -> DataFrame:
 
 def call_stage(
     spark: SparkSession, chunks: DataFrame, path: str, settings: str,
-    send: Callable[[DataFrame], DataFrame], waves: int, recorded: DataFrame | None = None,
+    send: Callable[[DataFrame], DataFrame], waves: int, recorded: Recorded | None = None,
     ended: Callable[[int], None] = lambda wave: None,
 ) -> DataFrame:
     """An outcome for every chunk, wave by wave. ``ended`` is called after each.
@@ -260,14 +262,15 @@ def run_extraction(
     concurrency: int | None = None,
     in_flight: int = 1,
     waves: int = 1,
-    recorded: DataFrame | None = None,
+    recorded: Recorded | None = None,
     generated_at: str | None = None,
 ) -> Run:
     """Run every stage in ``folder``, which lies in storage all executors share.
 
     A client gets the whole request: model, messages, temperature and timeout.
     ``config`` chooses it and, without a ``policy``, the retry rules. Chunks
-    with an outcome in ``recorded`` are not sent.
+    with an outcome in ``recorded`` are not sent; a function gets the written
+    chunks, so that what it looks up by their text need not cut them again.
 
     Calling it again with the same folder resumes: finished stages and waves
     are reused, and of a wave that was interrupted the calls that ended are on

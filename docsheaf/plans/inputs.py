@@ -162,7 +162,11 @@ def recorded_replies(docs: DataFrame, max_tokens: int) -> DataFrame:
     Every 17th length was refused, every 13th was cut short; the rest are full
     records with all capitalised words of the chunk as people.
     """
-    chunks = chunk_documents(clean_documents(docs), max_tokens=max_tokens)
+    return replies_to(chunk_documents(clean_documents(docs), max_tokens=max_tokens))
+
+
+def replies_to(chunks: DataFrame) -> DataFrame:
+    """The recorded outcomes of ``recorded_replies`` for chunks that are cut already."""
     size = F.length("text")
     org = lambda n: F.concat(F.lit("Org "), F.pmod(size, F.lit(n)))
     reply = F.struct(

@@ -403,7 +403,7 @@ def _run(spark, sf_dir):
     docs = inputs.dirty_documents(spark, sf_dir)
     return run_extraction(
         docs, no_client, workspace(spark, "run"), max_tokens=200, waves=3,
-        recorded=inputs.recorded_replies(docs, 200), generated_at=GENERATED_AT,
+        recorded=inputs.replies_to, generated_at=GENERATED_AT,
     )
 
 
@@ -419,7 +419,7 @@ def stop_on_empty(spark, sf_dir):
     """Runs that stop and save nothing: without documents, without text in any, with every call refused."""
     docs = inputs.documents(spark, sf_dir)
     blank = docs.withColumn("raw_text", F.regexp_replace("raw_text", r"\S", " "))
-    refused = inputs.recorded_replies(docs, 200).withColumns(
+    refused = lambda chunks: inputs.replies_to(chunks).withColumns(
         {"raw": F.lit(None).cast("string"), "error": F.coalesce("error", F.lit("refused"))}
     )
     rows = []

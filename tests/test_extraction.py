@@ -198,3 +198,23 @@ def test_an_interrupted_wave_is_counted_once(spark, monkeypatch):
     monkeypatch.undo()
     run = E.run_extraction(documents(spark), rule_model, folder, **args)
     assert run.totals.first().succeeded == run.results.count() and run.totals.first().failed == run.failures.count()
+
+
+def test_known_outcomes_are_looked_up_for_written_chunks(spark):
+    from docsheaf.plans import inputs
+    from docsheaf.plans.registry import no_client
+
+    rows = [(k, f"s{k % 3}", "file_txt", f"Anna met Bo {'again ' * (k % 9)}in Rome.\n\n" * (k % 5 + 1)) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_seq bigint, source string, source_type string, raw_text string")
+    seen, found = [], []
+
+    def known(chunks):
+        seen.append(set(chunks.columns))
+        return inputs.replies_to(chunks)
+
+    for recorded in (inputs.recorded_replies(docs, 20), known):
+        run = E.run_extraction(docs, no_client, workspace(spark, "run"), max_tokens=20, waves=2, recorded=recorded)
+        found.append([sorted(map(str, df.collect())) for df in (run.calls, run.results, run.failures)])
+    assert found[0] == found[1] and found[0][1]
+    # of the chunks as written, not as cut again
+    assert len(seen) == 1 and "wave" in seen[0]
