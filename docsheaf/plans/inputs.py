@@ -66,10 +66,11 @@ def dirty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_pieces(docs: DataFrame, size: int) -> DataFrame:
     """The documents cut after every ``size`` characters, wherever that is."""
-    text = unify_newlines(F.col("raw_text"))
-    last = F.floor(F.greatest(F.length("t") - 1, F.lit(0)) / size)
-    cuts = F.transform(F.sequence(F.lit(0), last), lambda k: F.substr("t", (k * size + 1).cast("int"), F.lit(size)))
-    return docs.select("doc_seq", text.alias("t")).select("doc_seq", F.posexplode(cuts).alias("piece_no", "raw_text"))
+    text = docs.select("doc_seq", unify_newlines(F.col("raw_text")).alias("t"))
+    # one pass over the text: to find a place by its number takes a pass for each piece
+    cuts = F.regexp_extract_all("t", F.lit(f"(?s)(.{{1,{size}}})"), F.lit(1))
+    cuts = F.when(F.length("t") > 0, cuts).otherwise(F.array("t"))
+    return text.select("doc_seq", F.posexplode(cuts).alias("piece_no", "raw_text"))
 
 
 def blanked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,10 +4,12 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from docsheaf.operators import long_documents as L
 from docsheaf.operators.chunking import chunk_documents
 from docsheaf.operators.cleaning import clean_documents
+from docsheaf.plans.inputs import document_pieces
 from docsheaf.session import materialize
 
 
@@ -135,3 +137,44 @@ def test_one_document_packs_in_several_tasks(spark, monkeypatch):
     assert " ".join(r.text for r in sorted(found, key=lambda r: r.chunk_index)).split() == text.split()
     assert {r.total_chunks for r in found} == {len(found)} and len(found) > 100
     assert len(list(Path(written["unit-places"]).glob("part-*.parquet"))) > 3
+
+
+def test_pieces_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        made.add(1)
+        return text
+
+    rows = [(doc, n, f"A line. And more\nof {n}\n\nthe end") for doc in range(20) for n in range(5)]
+    pieces = spark.createDataFrame(rows, "doc_seq bigint, piece_no bigint, raw_text string")
+    found = L.chunk_long_documents(pieces.withColumn("raw_text", counted("raw_text")), max_tokens=20)
+    assert found.select("doc_seq").distinct().count() == 20
+    assert made.value == len(rows)
+
+
+def test_blocks_of_lines_cut_paragraphs_anywhere(spark, monkeypatch):
+    monkeypatch.setattr(L, "LINES", 3)
+    monkeypatch.setattr(L, "BLOCK", 4)
+    rnd = random.Random(5)
+    texts = [random_text(rnd) for _ in range(12)] + ["", "one two\n" * 40, "one. " * 50 + "\n" * 9 + "two.\n" * 30]
+    docs = spark.createDataFrame(
+        [(k, "s", "file_txt", t) for k, t in enumerate(texts)], "doc_seq bigint, source string, source_type string, raw_text string"
+    )
+    pieces = docs.selectExpr("doc_seq", "0L AS piece_no", "raw_text")
+    for most in (5, 60):
+        whole = chunk_documents(clean_documents(docs), max_tokens=most).select("doc_seq", "chunk_index", "total_chunks", "text")
+        found = L.chunk_long_documents(pieces, max_tokens=most)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_pieces_of_documents(spark):
+    texts = ["", None, "a", "é😀" * 7, "x" * 20, "one\r\ntwo\rthree\n\n" * 3, " \x85\x00" * 5]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_seq bigint, raw_text string")
+    for size in (1, 5, 20):
+        found = document_pieces(docs, size).collect()
+        for k, text in enumerate(texts):
+            own = [r.raw_text for r in sorted(found, key=lambda r: r.piece_no) if r.doc_seq == k]
+            plain = text and text.replace("\r\n", "\n").replace("\r", "\n")
+            assert own == ([plain[at : at + size] for at in range(0, len(plain), size)] if plain else [text])
