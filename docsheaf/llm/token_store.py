@@ -16,11 +16,14 @@ first. Repeated rows are stored each. An empty table gives an empty store.
 Other columns, whatever their names, are not read.
 """
 
+import re
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import partial
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsheaf.llm.common import batches, split_words, staged
+from docsheaf.llm.common import batches, split_words, staged, string_bytes
 from docsheaf.session import workspace
 
 END_ID = 2
@@ -37,8 +40,10 @@ LONGEST = 20
 #: Ids from one checkpoint to the next, and ids after which a block is closed.
 EVERY = 64
 BLOCK_IDS = 1 << 17
-#: Words whose ids a Python worker remembers at most.
+#: Pieces of words whose ids a Python worker remembers at most, but for those of a batch.
 REMEMBERED = 600_000
+#: Documents of a batch: the more there are, the fewer pieces are looked up twice.
+BATCH_ROWS = 2048
 
 IDS = "doc_id bigint, n_tokens bigint, ids binary"
 BLOCKS = (
@@ -62,8 +67,11 @@ def byte_letters() -> dict[int, str]:
     return {byte: chr(byte) for byte in printed} | {byte: chr(0x100 + k) for k, byte in enumerate(others)}
 
 
+token_id = attrgetter("id")
+
+
 class WordTokens:
-    """Ids of whole texts, each distinct word tokenised once.
+    """Ids of whole texts, each distinct piece of a word tokenised once.
 
     The tokenizer drops white space, lower-cases, and never joins what white
     space parts, so the ids of a text are those of its words. Words of printable
@@ -72,66 +80,68 @@ class WordTokens:
     """
 
     def __init__(self, path: str):
-        import re
-
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         # Fixed value: the tokenizer's own pieces, for the lower-case characters here
         letters = f"a-z{LATIN}"
-        self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^{letters}0-9]+").findall
-        self.plain = re.compile(f"[!-~{LATIN}{CAPITAL}]+").fullmatch
+        self.pieces = f"('s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^{letters}0-9]+)"
+        self.other = f"[^!-~{LATIN}{CAPITAL}]"
+        self.is_other = re.compile(self.other).search
         self.letters = byte_letters()
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.array = partial(array, "H" if self.kind == "<u2" else "I")
+        # pieces used of late, and those used before them; frequent ones stay
         self.known: dict[str, bytes] = {}
-        self.piece_ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def piece(self, piece: str) -> bytes:
-        if not piece.isascii():
-            piece = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
-
-    def word(self, word: str) -> bytes:
-        if not self.plain(word):
-            return self.whole(word)
-        out, piece_ids = [], self.piece_ids
-        for piece in self.pieces(word.lower()):
-            own = piece_ids.get(piece)
-            if own is None:
-                own = piece_ids[piece] = self.piece(piece)
-            out.append(own)
-        return b"".join(out)
+        if self.is_other(piece):
+            return self.whole(piece)
+        spelt = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        # of few numbers, an array of Python's own is made sooner than one of numpy
+        return self.array(map(token_id, self.model.tokenize(spelt))).tobytes()
+
+    def words(self, words: pa.Array) -> pa.Array:
+        """The ids of each word."""
+        other = pc.match_substring_regex(words, self.other)
+        lower = pc.if_else(other, words, pc.utf8_lower(words))
+        # other words, and those of letters alone, are one piece
+        several = pc.invert(pc.or_(other, pc.utf8_is_alpha(lower)))
+        cut = pc.replace_substring_regex(lower.filter(several), self.pieces, r"\1 ")
+        pieces, starts = split_words(pc.replace_with_mask(lower, several, cut))
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        found = list(map(self.known.get, distinct))
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            piece = distinct[k]
+            ids = self.older.get(piece)
+            found[k] = self.known[piece] = self.piece(piece) if ids is None else ids
+        raw, at = string_bytes(pa.array(found, pa.binary()).take(coded.indices))
+        offsets = pa.py_buffer(at[starts].astype(np.int32))
+        return pa.Array.from_buffers(pa.binary(), len(words), [None, offsets, pa.py_buffer(raw)])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch of texts, the end id after each, and where each text's begin."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.piece_ids.clear()
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
         special = pc.match_substring(texts, SPECIAL)
         words, starts = split_words(texts, lower=True)
         coded = words.dictionary_encode()
         index = coded.indices.to_numpy()
-        known, found = self.known, []
-        for word in coded.dictionary.to_pylist():
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = self.word(word)
-            found.append(ids)
         # an entry more: the end of a text
-        found.append(np.array([END_ID], "<u4").tobytes())
-        every = np.frombuffer(b"".join(found), "<u4")
-        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        at = np.cumsum(size) - size
-        ends = np.insert(index.astype(np.int64), starts[1:], len(found) - 1)
-        count = size[ends]
-        first = np.concatenate([[0], np.cumsum(count)])
-        ids = every[np.arange(first[-1]) + np.repeat(at[ends] - first[:-1], count)]
-        bounds = first[starts + np.arange(len(starts))]
+        end = pa.array([np.array([END_ID], self.kind).tobytes()], pa.binary())
+        found = pa.concat_arrays([self.words(coded.dictionary), end])
+        ends = np.insert(index, starts[1:], len(found) - 1)
+        raw, at = string_bytes(found.take(pa.array(ends)))
+        ids = raw.view(self.kind)
+        bounds = at[starts + np.arange(len(starts))] // ids.itemsize
         for k in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist()[::-1]:
-            own = np.append(np.frombuffer(self.whole(texts[k].as_py()), "<u4"), END_ID)
+            own = np.append(np.frombuffer(self.whole(texts[k].as_py()), self.kind), np.array(END_ID, self.kind))
             ids = np.concatenate([ids[: bounds[k]], own, ids[bounds[k + 1] :]])
             bounds[k + 1 :] += len(own) - (bounds[k + 1] - bounds[k])
         return ids, bounds
@@ -148,26 +158,24 @@ def in_worker(name: str, make: Callable):
 def _encode(path: str, part: pa.RecordBatch):
     tokens = in_worker("tokens:" + path, lambda: WordTokens(path))
     ids, bounds = tokens(part.column("text"))
-    raw = ids.astype("<u2" if tokens.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-    width = raw.itemsize
-    offsets = pa.py_buffer((bounds * width).astype(np.int32).tobytes())
-    data = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(raw.tobytes())])
+    offsets = pa.py_buffer((bounds * ids.itemsize).astype(np.int32))
+    data = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(ids))])
     return [part.column("doc_id"), np.diff(bounds), data]
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """``(doc_id, n_tokens, ids)``: little-endian ids of every document, as narrow as the vocabulary lets."""
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(batches(partial(_encode, path), ["doc_id", "n_tokens", "ids"]), IDS)
+    return rows.mapInArrow(batches(partial(_encode, path), ["doc_id", "n_tokens", "ids"], BATCH_ROWS), IDS)
 
 
 def _numbers(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a batch of encoded rows and the number of each row."""
     sizes = part.column("n_tokens").to_numpy()
     data = part.column("ids")
-    raw = b"".join(data.to_pylist())
+    raw, _ = string_bytes(data)
     width = len(raw) // max(1, int(sizes.sum())) or 2
-    return np.frombuffer(raw, f"<u{width}").astype(np.int64), sizes
+    return raw.view(f"<u{width}").astype(np.int64), sizes
 
 
 # --- the code
@@ -250,33 +258,35 @@ class Code:
             words[word[starts] + 1] += np.add.reduceat(low, starts)
         return words.astype(">u4").tobytes(), at[::EVERY]
 
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """For every word of ``width`` bits the id whose code it begins with, and its length."""
-        share = 1 << (self.width - self.lengths)
-        return np.repeat(self.ids, share), np.repeat(self.lengths, share)
+    def table(self) -> np.ndarray:
+        """For every word of ``width`` bits the id whose code it begins with, and its length in the lowest six bits."""
+        entry = self.ids << 6 | self.lengths
+        entry = entry.astype(np.int32 if not len(entry) or entry.max() < 1 << 31 else np.int64)
+        filled = np.repeat(entry, 1 << (self.width - self.lengths))
+        # words that begin with no code
+        return np.append(filled, np.repeat(filled[-1:], max(0, (1 << self.width) - len(filled))))
 
     @staticmethod
     def unpack(payload: bytes, bits: np.ndarray, n: int, width: int, table) -> np.ndarray:
         """``n`` ids, an id from every checkpoint at a time."""
-        ids, lengths = table
         if not n:
             return np.zeros(0, np.int64)
         words = np.frombuffer(payload + bytes(8), ">u4").astype(np.uint64)
-        at = bits.copy()
-        out = np.zeros((len(at), EVERY), np.int64)
+        # from every word on 64 bits
+        words = words[:-1] << np.uint64(32) | words[1:]
+        at, least, most = bits.copy(), 64 - width, (1 << width) - 1
+        out = np.zeros((EVERY, len(at)), table.dtype)
         last = n - EVERY * (len(at) - 1)
         for k in range(EVERY):
             if k == last:
                 at = at[:-1]
                 if not len(at):
                     break
-            word = at >> 5
-            window = words[word] << np.uint64(32) | words[word + 1]
-            peek = (window >> (64 - width - (at & 31)).astype(np.uint64)) & np.uint64((1 << width) - 1)
-            peek = np.minimum(peek.astype(np.int64), len(ids) - 1)
-            out[: len(at), k] = ids[peek]
-            at = at + lengths[peek]
-        return out.reshape(-1)[:n]
+            window = words[at >> 5] >> (least - (at & 31)).astype(np.uint64)
+            entry = table[window.astype(np.int64) & most]
+            out[k, : len(at)] = entry
+            at = at + (entry & 63)
+        return (out.T.reshape(-1)[:n] >> 6).astype(np.int64)
 
 
 def corpus_code(counts: DataFrame) -> Code:

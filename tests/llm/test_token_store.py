@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from docsheaf.llm import token_store as ts
@@ -73,3 +74,26 @@ def test_one_symbol():
     code = ts.Code(np.array([2]), ts.code_lengths(np.array([10])))
     payload, bits = code.pack(np.full(70, 2))
     assert ts.Code.unpack(payload, bits, 70, code.width, code.table()).tolist() == [2] * 70
+
+
+def test_frequent_pieces_are_made_once(monkeypatch):
+    monkeypatch.setattr(ts, "REMEMBERED", 8)
+    tokens, made = ts.WordTokens(PATH), []
+    piece = tokens.piece
+    tokens.piece = lambda text: made.append(text) or piece(text)
+    tokenizer = tokenizers.Tokenizer.from_file(PATH)
+    for k in range(12):
+        text = "often " + " ".join(f"w{chr(97 + k)}{chr(97 + j)}" for j in range(12))
+        ids, bounds = tokens(pa.array([text, "", text]))
+        own = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        assert ids.tolist() == [*own, 2, *own] and bounds.tolist() == [0, len(own), len(own) + 1, 2 * len(own) + 1]
+    assert made.count("often") == 1
+
+
+def test_words_without_pieces_in_common():
+    tokens, words = ts.WordTokens(PATH), ["it's", "ĂB12c", "''s", "Éà.ß", "日本", "a\x01", "ª", "x÷y", "don't'll", "ŉ", "É"]
+    tokenizer = tokenizers.Tokenizer.from_file(PATH)
+    found = tokens.words(pa.array(words)).to_pylist()
+    assert [np.frombuffer(ids, tokens.kind).tolist() for ids in found] == [
+        tokenizer.encode(word, add_special_tokens=False).ids for word in words
+    ]
