@@ -131,7 +131,8 @@ def document_lines(pieces: DataFrame, patterns=C.BOILERPLATE_PATTERNS) -> DataFr
     joined = _tidy(joined)
     if patterns:
         joined = joined.filter(~F.rlike("text", F.lit(T.boilerplate_regex(patterns))))
-    return inner.unionByName(joined.withColumn("text", T.py_rstrip(F.col("text"))))
+    joined = joined.withColumn("text", T.py_rstrip(F.col("text")))
+    return inner.unionByName(materialize(joined, workspace(spark, "edges")))
 
 
 #: A sentence ends before the white space of each match.
@@ -259,7 +260,6 @@ def _line_blocks(max_tokens: int):
 def line_blocks(lines: DataFrame, max_tokens: int) -> DataFrame:
     """The lines in the order of ``doc_seq`` and ``line_no``, in blocks numbered in that order, not without gaps."""
     spark = lines.sparkSession
-    lines = materialize(lines, workspace(spark, "lines"))
     order = ["doc_seq", "line_no"]
     dealt = lines.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order)
     blocks = dealt.sortWithinPartitions(*order).select("doc_seq", "text").mapInArrow(_line_blocks(max_tokens), LINE_BLOCKS)
@@ -601,8 +601,8 @@ def chunk_long_documents(
     joined = each.filter("NOT whole").groupBy("doc_seq", "chunk").agg(
         F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("text")
     )
+    joined = materialize(joined, workspace(spark, "long-chunks"))
     told = each.filter("whole").select("doc_seq", "chunk", "text").unionByName(joined)
-    told = materialize(told, workspace(spark, "long-chunks"))
     totals = told.groupBy("doc_seq").agg(F.min("chunk").alias("first"), F.count("*").alias("total_chunks"))
     return told.join(totals, "doc_seq").select(
         "doc_seq", (F.col("chunk") - F.col("first")).cast("int").alias("chunk_index"),
