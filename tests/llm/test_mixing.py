@@ -188,3 +188,37 @@ def test_a_resolution_has_every_source_on_its_own(spark):
     assert len(found) == 140 and all(r.in_mix and r.release <= r.slot < r.deadline for r in found)
     with pytest.raises(ValueError):
         mx.mixed(docs, block_words=10, resolution=60)
+
+
+def test_sources_of_like_weight_have_their_own(spark):
+    rows = [(1000 * s + k, f"s{s}", "w " * 10) for s in range(2) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    found = mx.digest(mx.mixed(docs, weights={"s0": 1.0, "s1": 1.15}, block_words=10)).collect()
+    order = [r.source for r in sorted(found, key=lambda r: r.slot)]
+    for t in range(1, 500):
+        assert abs(order[:t].count("s0") - t / 2.15) < 1
+    part = mx.digest(mx.mixed(docs, weights={"s0": 1.0, "s1": 1.15}, block_words=10, whole=False)).collect()
+    assert {(r.doc_id, r.slot) for r in part} == {(r.doc_id, r.slot) for r in found}
+    # s1 runs out first, and s0 has had its share by then
+    assert abs(sum(r.in_mix for r in part) - 300 * 2.15 / 1.15) <= 1
+
+
+@pytest.mark.parametrize("n, largest", [(1, 9000), (25, 3000), (3000, 9)])
+def test_every_source_has_its_own_share_at_every_slot(spark, n, largest):
+    rnd = random.Random(n)
+    blocks = {c: rnd.randint(1, largest) for c in range(n)}
+    weights = {c: rnd.choice([0.01, 1, 1.1, 300]) * (1 + rnd.random()) if n < 100 else 1 + rnd.random() for c in blocks}
+    sources = spark.createDataFrame([(c, weights[c], b) for c, b in blocks.items()], "_c bigint, weight double, blocks bigint")
+    found = sorted(mx.framed(sources).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in found] == list(range(sum(blocks.values())))
+    assert all(r.release <= r.slot < r.deadline for r in found)
+    # one factor gives every source its weight, or all it has, to less than two blocks
+    taken, at = Counter(), 0
+    for r in found:
+        assert r.block == taken[r._c]
+        taken[r._c] += 1
+        at += 1
+        if n < 100 or at % 500 == 0:
+            least = max((taken[c] - 2) / weights[c] for c in blocks)
+            most = [(taken[c] + 2) / weights[c] for c, b in blocks.items() if taken[c] + 2 <= b]
+            assert least < min(most, default=least + 1)
