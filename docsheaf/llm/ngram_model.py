@@ -10,11 +10,12 @@ holds one shard. A shard of words keeps the exact counts; a shard of pairs is a
 filter of the counts, quantised to powers of two: a pair of level q is held under
 the levels 1 to q, and its level is read by asking for one after another.
 
-The filter is broadcast while all its shards take at most ``BROADCAST_BYTES``;
-beyond that, batches ask the shards for their pairs as they do for the exact
-counts of their words, one block of questions and one of answers for each
-batch and shard; a task holds one shard and answers one block at a time. Both
-ways read the same bits and give the same scores.
+The filter is broadcast while all its shards take at most ``BROADCAST_BYTES``, with
+a level for each token trained on. Beyond that pairs travel once: each batch sends its
+pairs to their shards with their counts, and a task that has all blocks of a shard
+makes its filter and answers them. Words are asked for in a second pass, as what
+is known of them is needed by all. Both ways read the same bits and give the same scores.
+Blocks are cut, read and answered many at once, as they get more and smaller with the corpus.
 
 A pair's probability is that of its count with ``PRIOR`` pseudo-counts shared
 out by the words' smoothed probabilities. A false positive of the filter can
@@ -62,11 +63,12 @@ END, BEGIN = b"\n", b" "
 
 BATCHES = (
     "batch bigint, doc_ids array<bigint>, held array<boolean>, starts binary, tokens binary, words binary, "
-    "n_tokens bigint, sample array<bigint>"
+    "n_tokens bigint, n_train bigint, sample array<bigint>"
 )
 WORDS, PAIRS = 0, 1
 BLOCKS = "kind int, shard int, keys binary, counts binary"
 MODEL = "kind int, shard int, n_tokens bigint, n_keys bigint, keys binary, data binary"
+PAIR_BLOCKS = "shard int, batch bigint, keys binary, counts binary"
 ANSWERS = "batch bigint, shard int, found binary"
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
@@ -132,15 +134,17 @@ def _batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = [END, BEGIN, *[w.encode() for w in coded.dictionary.to_pylist()]]
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
             tokens = np.insert(coded.indices.to_numpy().astype(np.uint32) + 2, starts[1:], 0)
+            held = own.column("held").to_pylist()
             yield _record(
                 BATCHES,
                 batch=number,
                 doc_ids=own.column("doc_id").to_pylist(),
-                held=own.column("held").to_pylist(),
+                held=held,
                 starts=(starts + np.arange(len(starts))).tobytes(),
                 tokens=_to_planes(tokens),
                 words=hashes.tobytes(),
                 n_tokens=len(tokens),
+                n_train=int((np.diff(starts) + 1)[~np.array(held, bool)].sum()),
                 sample=hashes[hashes % np.uint64(SAMPLED) == 0].view(np.int64).tolist(),
             )
             number += 1
@@ -194,14 +198,43 @@ def shards_for(batches: DataFrame) -> Shards:
 # --- counting
 
 
-def _blocks(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each shard the places of its keys."""
+def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that has keys by their shards, the shards that have some, and where their keys begin and end in it."""
     shard = shard_of(keys, shards)
-    order = np.argsort(shard, kind="stable")
-    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-    for s in range(shards):
-        if cuts[s] < cuts[s + 1]:
-            yield s, order[cuts[s] : cuts[s + 1]]
+    # sorted digit by digit
+    order = np.argsort(shard.astype(np.uint16) if shards <= 1 << 16 else shard, kind="stable")
+    bounds = np.searchsorted(shard[order], np.arange(shards + 1))
+    full = np.flatnonzero(np.diff(bounds))
+    return order, full, np.append(bounds[full], len(keys))
+
+
+def _strings(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` between each bound and the next."""
+    offsets = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))]
+    )
+
+
+def _values(strings: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in an array of byte strings, end to end, and the bounds of each."""
+    wide = pa.types.is_large_binary(strings.type)
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, np.int64 if wide else np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data else np.zeros(0, np.uint8)
+    # copied, as numbers must begin at multiples of their size
+    return np.frombuffer(raw.tobytes(), kind), (at - at[0]).astype(np.int64) // np.dtype(kind).itemsize
+
+
+def _alike(part: pa.RecordBatch, *columns: str) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Neighbouring rows of the same values in ``columns``, and those."""
+    if not part.num_rows:
+        return
+    own = [part.column(c).to_numpy() for c in columns]
+    new = np.logical_or.reduce([x[1:] != x[:-1] for x in own])
+    at = np.concatenate([[0], np.flatnonzero(new) + 1, [part.num_rows]]).tolist()
+    for begin, end in zip(at[:-1], at[1:], strict=True):
+        yield tuple(int(x[begin]) for x in own), part.slice(begin, end - begin)
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -210,30 +243,31 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys, np.bincount(place, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
 
 
-def _count(shards: Shards, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(shards: Shards, kinds: tuple[int, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of counts for every shard; batches are added up as far as ``HELD_KEYS`` allows."""
-    held = {WORDS: [], PAIRS: []}
+    held = {kind: [] for kind in kinds}
 
-    def sent(kind: int) -> Iterator[pa.RecordBatch]:
+    def sent(kind: int) -> pa.RecordBatch:
         keys, n = _summed(held[kind])
         held[kind].clear()
-        for shard, at in _blocks(keys, shards[kind]):
-            yield _record(
-                BLOCKS, kind=kind, shard=shard, keys=keys[at].tobytes(), counts=n[at].astype("<u4").tobytes()
-            )
+        order, full, bounds = _by_shard(keys, shards[kind])
+        columns = [np.full(len(full), kind, np.int32), full.astype(np.int32)]
+        blocks = [_strings(keys[order], bounds), _strings(n[order].astype("<u4"), bounds)]
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns), *blocks], ["kind", "shard", "keys", "counts"])
 
     for batch in map(Batch, _rows(parts)):
         train = np.repeat(~batch.held, np.diff(batch.starts))
         counts = np.bincount(batch.tokens[train], minlength=len(batch.words))
         used = np.flatnonzero(counts)
         held[WORDS].append((batch.words[used], counts[used]))
-        held[PAIRS].append(np.unique(batch.pairs[train], return_counts=True))
+        if PAIRS in held:
+            held[PAIRS].append(np.unique(batch.pairs[train], return_counts=True))
         for kind, own in held.items():
             if sum(len(k) for k, _ in own) > HELD_KEYS:
-                yield from sent(kind)
+                yield sent(kind)
     for kind, own in held.items():
         if own:
-            yield from sent(kind)
+            yield sent(kind)
 
 
 def _positions(keys: np.ndarray, level: int, probe: int, size: int) -> np.ndarray:
@@ -284,22 +318,24 @@ def _shard(kind: int, shard: int, held: list[tuple[np.ndarray, np.ndarray]]) ->
 def _merge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shards of blocks that come in the order of their shards."""
     now, held, room = None, [], HELD_KEYS
-    for row in _rows(parts):
-        if now != (row["kind"], row["shard"]):
-            if held:
-                yield _shard(*now, held)
-            now, held, room = (row["kind"], row["shard"]), [], HELD_KEYS
-        held.append((np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["counts"], "<u4")))
-        if sum(len(keys) for keys, _ in held) > room:
-            held = [_summed(held)]
-            room = 2 * max(HELD_KEYS, len(held[0][0]))
+    for part in parts:
+        for this, own in _alike(part, "kind", "shard"):
+            if now != this:
+                if held:
+                    yield _shard(*now, held)
+                now, held, room = this, [], HELD_KEYS
+            held.append((_values(own.column("keys"), np.uint64)[0], _values(own.column("counts"), "<u4")[0]))
+            if sum(len(keys) for keys, _ in held) > room:
+                held = [_summed(held)]
+                room = 2 * max(HELD_KEYS, len(held[0][0]))
+        give_back()
     if held:
         yield _shard(*now, held)
 
 
-def trained(batches: DataFrame, shards: Shards) -> DataFrame:
+def trained(batches: DataFrame, shards: Shards, kinds: tuple[int, ...] = (WORDS, PAIRS)) -> DataFrame:
     """A row for each shard: exact counts of its words, or the filter of its pairs."""
-    blocks = batches.select("held", "starts", "tokens", "words").mapInArrow(partial(_count, shards), BLOCKS)
+    blocks = batches.select("held", "starts", "tokens", "words").mapInArrow(partial(_count, shards, kinds), BLOCKS)
     ordered = blocks.repartition("kind", "shard").sortWithinPartitions("kind", "shard")
     return staged(ordered.mapInArrow(_merge, MODEL), "ngram-model")
 
@@ -307,60 +343,108 @@ def trained(batches: DataFrame, shards: Shards) -> DataFrame:
 # --- questions and answers
 
 
-def _ask(shards: Shards, kind: int, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ask(shards: Shards, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of the words of every batch."""
+    for row in _rows(parts):
+        keys = np.frombuffer(row["words"], np.uint64)
+        order, full, bounds = _by_shard(keys, shards.words)
+        columns = [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), row["batch"], np.int64))]
+        yield pa.RecordBatch.from_arrays([*columns, _strings(keys[order], bounds)], ["shard", "batch", "keys"])
+
+
+def _pair_blocks(shards: Shards, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of the pairs of every batch, with how often each is trained on."""
     for row in _rows(parts):
         batch = Batch(row)
-        keys = batch.words if kind == WORDS else np.unique(batch.pairs)
-        for shard, at in _blocks(keys, shards[kind]):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([row["batch"]]), pa.array([keys[at].tobytes()], pa.binary())],
-                ["shard", "batch", "keys"],
-            )
+        train = np.repeat(~batch.held, np.diff(batch.starts))
+        keys, place = np.unique(batch.pairs, return_inverse=True)
+        counts = np.bincount(place[train], minlength=len(keys)).astype("<u4")
+        order, full, bounds = _by_shard(keys, shards.pairs)
+        columns = [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), row["batch"], np.int64))]
+        blocks = [_strings(keys[order], bounds), _strings(counts[order], bounds)]
+        yield pa.RecordBatch.from_arrays([*columns, *blocks], ["shard", "batch", "keys", "counts"])
 
 
-def _word_counts(keys: np.ndarray, shard: dict) -> bytes:
+def _word_counts(keys: np.ndarray, shard: dict) -> np.ndarray:
     known, counts = np.frombuffer(shard["keys"], np.uint64), np.frombuffer(shard["data"], np.int64)
     at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
     found = known[at] == keys if len(known) else np.zeros(len(keys), bool)
-    return np.where(found, counts[at] if len(known) else 0, 0).astype(np.int64).tobytes()
+    return np.where(found, counts[at] if len(known) else 0, 0).astype(np.int64)
 
 
-def _pair_levels(keys: np.ndarray, shard: dict) -> bytes:
-    bits = np.frombuffer(shard["data"], np.uint8)
-    return read_levels(keys, bits, 0, len(bits) * 8).astype(np.uint8).tobytes()
+def _found(batch: np.ndarray, shard: int, values: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(batch), pa.array(np.full(len(batch), shard, np.int32)), _strings(values, bounds)]
+    return pa.RecordBatch.from_arrays(columns, ["batch", "shard", "found"])
 
 
-def _answer(kind: int, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Answers to questions that follow their shard's row, if it has one."""
-    function, width = (_word_counts, 8) if kind == WORDS else (_pair_levels, 1)
-    shard = None
-    for row in _rows(parts):
-        if row["data"] is not None:
-            shard = row
-            continue
-        keys = np.frombuffer(row["keys"], np.uint64)
-        known = shard is not None and shard["shard"] == row["shard"]
-        found = function(keys, shard) if known else bytes(width * len(keys))
-        yield _record(ANSWERS, batch=row["batch"], shard=row["shard"], found=found)
-
-
-def _answers(batches: DataFrame, model: DataFrame, shards: Shards, kind: int) -> DataFrame:
-    """``(batch, found)``: for each batch the answers of all shards."""
-    columns = ["batch", "starts", "tokens", "words"]
-    asked = batches.select(*columns).mapInArrow(partial(_ask, shards, kind), "shard int, batch bigint, keys binary")
-    known = model.filter(F.col("kind") == kind).select("shard", F.lit(-1).cast("bigint").alias("batch"), "keys", "data")
+def _word_answers(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers to blocks of words that follow their shard's row, if it has one."""
+    known = {}
+    for part in parts:
+        for (shard,), own in _alike(part, "shard"):
+            if own.column("batch")[0].as_py() < 0:
+                known = {name: own.column(name)[0].as_py() for name in ("shard", "keys", "data")}
+                own = own.slice(1)
+            if own.num_rows:
+                keys, bounds = _values(own.column("keys"), np.uint64)
+                held = known if known.get("shard") == shard else {"keys": b"", "data": b""}
+                yield _found(own.column("batch").to_numpy(), shard, _word_counts(keys, held), bounds)
+        give_back()
+
+
+def _pair_answers(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The levels of all pairs of blocks that come in the order of their shards, under the filter of their shard."""
+
+    def answered(shard: int, held: list[tuple]) -> pa.RecordBatch:
+        batch, keys, counts, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+        seen = counts > 0
+        bits = build_filter(*_summed([(keys[seen], counts[seen])]))
+        # a shard without pairs has no filter
+        levels = read_levels(keys, bits, 0, len(bits) * 8) if seen.any() else np.zeros(len(keys), np.int64)
+        return _found(batch, shard, levels.astype(np.uint8), np.concatenate([[0], np.cumsum(sizes)]))
+
+    now, held = None, []
+    for part in parts:
+        for (shard,), own in _alike(part, "shard"):
+            if held and now != shard:
+                yield answered(now, held)
+                held = []
+            now = shard
+            keys, bounds = _values(own.column("keys"), np.uint64)
+            counts, _ = _values(own.column("counts"), "<u4")
+            held.append((own.column("batch").to_numpy().copy(), keys, counts, np.diff(bounds)))
+        give_back()
+    if held:
+        yield answered(now, held)
+
+
+def _of_batches(answers: DataFrame, into: str) -> DataFrame:
+    """``(batch, into)``: for each batch the answers of all shards, written: what was shuffled for them can go."""
+    found = answers.groupBy("batch").agg(F.collect_list(F.struct("shard", "found")).alias(into))
+    return staged(found, into.replace("_", "-"))
+
+
+def _words_found(batches: DataFrame, model: DataFrame, shards: Shards) -> DataFrame:
+    asked = batches.select("batch", "words").mapInArrow(partial(_ask, shards), "shard int, batch bigint, keys binary")
+    known = model.filter(F.col("kind") == WORDS).select("shard", F.lit(-1).cast("bigint").alias("batch"), "keys", "data")
     both = known.unionByName(asked.withColumn("data", F.lit(None).cast("binary")))
     ordered = both.repartition("shard").sortWithinPartitions("shard", "batch")
-    answers = ordered.mapInArrow(partial(_answer, kind), ANSWERS)
-    return answers.groupBy("batch").agg(F.collect_list(F.struct("shard", "found")).alias("found"))
+    return _of_batches(ordered.mapInArrow(_word_answers, ANSWERS), "words_found")
+
+
+def _pairs_found(batches: DataFrame, shards: Shards) -> DataFrame:
+    columns = ["batch", "held", "starts", "tokens", "words"]
+    blocks = batches.select(*columns).mapInArrow(partial(_pair_blocks, shards), PAIR_BLOCKS)
+    ordered = blocks.repartition("shard").sortWithinPartitions("shard")
+    return _of_batches(ordered.mapInArrow(_pair_answers, ANSWERS), "pairs_found")
 
 
 def _restored(keys: np.ndarray, shards: int, answers: list[dict], kind) -> np.ndarray:
     """Answers in the order of the keys."""
-    found = {a["shard"]: np.frombuffer(a["found"], kind) for a in answers}
+    order, full, _ = _by_shard(keys, shards)
+    found = {a["shard"]: a["found"] for a in answers}
     out = np.zeros(len(keys), np.int64)
-    for shard, at in _blocks(keys, shards):
-        out[at] = found[shard]
+    out[order] = np.frombuffer(b"".join(found[s] for s in full.tolist()), kind)
     return out
 
 
@@ -430,20 +514,17 @@ def scores(docs: DataFrame, prior: float = PRIOR, broadcast_bytes: int = BROADCA
     small_batches(spark, ROWS_BYTES)
     batches = tokenised(docs)
     shards = shards_for(batches)
-    model = trained(batches, shards)
-    words = F.col("kind") == WORDS
-    total, distinct, size = model.agg(
-        F.coalesce(F.sum(F.when(words, F.col("n_tokens"))), F.lit(0)),
-        F.coalesce(F.sum(F.when(words, F.col("n_keys"))), F.lit(0)),
-        F.coalesce(F.sum(F.when(~words, F.octet_length("data"))), F.lit(0)),
-    ).first()
-    rows = batches.drop("n_tokens", "sample")
-    asked = rows.join(_answers(batches, model, shards, WORDS).withColumnRenamed("found", "words_found"), "batch")
+    total = batches.agg(F.coalesce(F.sum("n_train"), F.lit(0))).first()[0]
+    sent = total * BITS <= broadcast_bytes * 8
+    model = trained(batches, shards, (WORDS, PAIRS) if sent else (WORDS,))
+    distinct = model.filter(F.col("kind") == WORDS).agg(F.coalesce(F.sum("n_keys"), F.lit(0))).first()[0]
+    rows = batches.drop("n_tokens", "n_train", "sample")
+    asked = rows.join(_words_found(batches, model, shards), "batch")
     held = None
-    if size <= broadcast_bytes:
+    if sent:
         held = spark.sparkContext.broadcast(Filter(model, shards.pairs))
     else:
-        asked = asked.join(_answers(batches, model, shards, PAIRS).withColumnRenamed("found", "pairs_found"), "batch")
+        asked = asked.join(_pairs_found(batches, shards), "batch")
     scored = asked.mapInArrow(partial(_score, shards, total, distinct, prior, held), SCORES)
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"),

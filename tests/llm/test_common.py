@@ -53,3 +53,20 @@ def test_texts_of_twenty_megabytes(table):
     assert line_quality.judged(docs, None).filter("n_words = 3600000").count() == 3
     masks = {r.doc_id: r["mask"] for r in filter_audit.with_copies(filter_audit.failures(docs.selectExpr("*", "'en' lang"))).collect()}
     assert masks == {0: 2, 1: 18, 2: 18, 9: 1}
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from docsheaf.llm.common import staged
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for k in range(files.getAllFiles().size()) if "shuffle_" in (f := str(files.getAllFiles().apply(k)))}
+    there = shuffled()
+    assert len(staged(spark.range(1000).repartition(7, "id"), "dealt").collect()) == 1000
+    until = time.monotonic() + 10
+    while (left := {f for f in shuffled() - there if ".data" in f}) and time.monotonic() < until:
+        time.sleep(0.5)
+    assert not left and spark.conf.get(key, None) == before

@@ -126,3 +126,32 @@ def test_rows_come_to_python_a_few_at_a_time(spark):
         assert int(spark.conf.get(key).rstrip("b")) <= nm.ROWS_BYTES == 4 << 20
     finally:
         spark.conf.unset(key)
+
+
+def test_blocks_are_cut_and_answered_many_at_once(monkeypatch):
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(1)
+    shards = nm.Shards(16, 700)
+    rows = []
+    for k in range(40):
+        words = rnd.integers(0, 1 << 63, 200).astype(np.uint64)
+        starts = np.array([0, 900, 1000])
+        tokens = nm._to_planes(rnd.integers(2, 200, 1000))
+        rows.append({"batch": k, "held": [False, True], "starts": starts.tobytes(), "tokens": tokens, "words": words.tobytes()})
+    made = list(nm._pair_blocks(shards, iter([pa.RecordBatch.from_pylist(rows)])))
+    # a batch's blocks for all shards come together
+    assert len(made) == 40 and sum(part.num_rows for part in made) > 40 * 400
+    ordered = pa.Table.from_batches(made).sort_by("shard").combine_chunks().to_batches()[0]
+    calls, real = [], nm.read_levels
+    monkeypatch.setattr(nm, "read_levels", lambda *args: calls.append(1) or real(*args))
+    found = pa.Table.from_batches(list(nm._pair_answers(iter([ordered.slice(0, 9000), ordered.slice(9000)])))).to_pylist()
+    assert len(calls) <= 700 < len(found) == ordered.num_rows
+    sizes = {(r["batch"], r["shard"]): len(r["keys"]) // 8 for r in ordered.to_pylist()}
+    assert {(r["batch"], r["shard"]): len(r["found"]) for r in found} == sizes
+    # pairs trained on have a level in the answers that a batch puts together again
+    for row in rows[:3]:
+        batch = nm.Batch(row)
+        keys = np.unique(batch.pairs)
+        levels = nm._restored(keys, 700, [r for r in found if r["batch"] == row["batch"]], np.uint8)
+        assert (levels[np.searchsorted(keys, batch.pairs[:900])] > 0).all() and (levels == 0).any()
