@@ -1,7 +1,9 @@
 """The whole run: documents to chunks, calls, results, files and report.
 
-Each stage is written once and the next one reads what was written. Text is
-shuffled at most once, to spread the calls.
+Each stage is written once and the next one reads what was written. A text is
+written as a chunk, a reply with its call and a record when it is parsed; calls
+are looked up by the numbers of their chunks. What is shuffled for a stage goes
+with it, and given outcomes go once their wave has its calls.
 """
 
 import json
@@ -28,12 +30,14 @@ from docsheaf.operators.report import added_counters, chunks_per_source, counted
 from docsheaf.operators.report import counters as report_counters
 from docsheaf.operators.results import failed, result_records
 from docsheaf.operators.shared_rate import write_outcomes_at_rate
-from docsheaf.session import configure, exists
+from docsheaf.session import configure, exists, remove, shuffles_end
 from docsheaf.sources import sinks
-from docsheaf.sources.journal import read_outcomes, write_outcomes
+from docsheaf.sources.journal import OUTCOME, read_outcomes, write_outcomes
 
 KEYS = ("doc_seq", "chunk_index")
 KEY_TYPES = "doc_seq bigint, chunk_index int"
+#: Of the tables of a run, which hold each text about three times.
+CODEC = "zstd"
 #: ``(doc_seq, chunk_index, raw, error)`` of chunks whose outcome is known, or how to look it up for written chunks.
 Recorded = DataFrame | Callable[[DataFrame], DataFrame]
 
@@ -84,6 +88,11 @@ def counted_in(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.parquet(f"{path}.done").first().counted)
 
 
+def _write(rows: DataFrame, path: str, *partition_by) -> None:
+    with shuffles_end(rows.sparkSession):
+        rows.write.mode("overwrite").option("compression", CODEC).partitionBy(*partition_by).parquet(path)
+
+
 def _stage(
     spark: SparkSession, path: str, settings: str, build: Callable[[], DataFrame], *partition_by, counters=()
 ) -> DataFrame:
@@ -99,7 +108,7 @@ def _stage(
         if counters:
             observed = Observation(f"stage-{uuid.uuid4().hex}")
             rows = built.observe(observed, *counters)
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        _write(rows, path, *partition_by)
         if counters:
             counted = observed.get
         schema = _finish(spark, path, settings, built.schema, counted)
@@ -151,30 +160,33 @@ def call_stage(
     ``send`` makes the calls of chunks without an outcome in ``recorded(doc_seq,
     chunk_index, raw, error)``, which is written once by wave. A wave is written
     and marked when it ends; a finished one is not looked at again, and what an
-    interrupted run repeats of the others is up to ``send``.
+    interrupted run repeats of the others is up to ``send``. A wave's given outcomes
+    are removed when it has ended.
     """
     known = None
-    if recorded is not None:
-        build = lambda: _recorded_stage(chunks, recorded)
-        known = _stage(spark, f"{path}.recorded", settings, build, "wave")
     for wave in range(waves):
         part = f"{path}/wave={wave}"
         schema = _finished(spark, f"{path}.wave-{wave}", settings)
         if schema is not None:
+            remove(spark, f"{path}.recorded/wave={wave}")
             ended(wave)
             continue
+        if recorded is not None and known is None:
+            build = lambda: _recorded_stage(chunks, recorded)
+            known = _stage(spark, f"{path}.recorded", settings, build, "wave")
         todo = chunks.filter(F.col("wave") == wave).drop("wave")
         if known is None:
             outcomes = send(todo)
         else:
             given = known.filter(F.col("wave") == wave).drop("wave")
-            outcomes = todo.join(given, list(KEYS))
+            outcomes = given
             # keys alone: texts are only dealt out if there are calls to make
             left = X.pending(todo.select(*KEYS), given, *KEYS)
             if not left.isEmpty():
                 outcomes = send(todo.join(left, list(KEYS), "left_semi")).unionByName(outcomes)
-        outcomes.write.mode("overwrite").parquet(part)
+        _write(outcomes, part)
         schema = _finish(spark, f"{path}.wave-{wave}", settings, outcomes.schema)
+        remove(spark, f"{path}.recorded/wave={wave}")
         ended(wave)
     return spark.read.schema(schema).parquet(path)
 
@@ -183,7 +195,7 @@ def journalled(
     make_client: Callable, folder: str, policy: X.RetryPolicy, sleep: Callable[[float], None],
     concurrency: int | None = None, in_flight: int = 1,
 ) -> Callable[[DataFrame], DataFrame]:
-    """A ``send`` whose outcomes are on record in ``folder`` as each call ends.
+    """A ``send`` whose outcomes, without the texts, are on record in ``folder`` as each call ends.
 
     Rows with an outcome there are not sent. A policy with a rate has it over
     all tasks, which then run at once: ``concurrency`` of them, or one for every
@@ -199,7 +211,7 @@ def journalled(
         else:
             todo = todo.repartition(concurrency, *KEYS) if concurrency else todo
             write_outcomes(todo, folder, KEYS, X.caller(make_client, policy, sleep), in_flight)
-        return rows.drop("request").join(read_outcomes(spark, folder, KEY_TYPES), list(KEYS))
+        return rows.select(*KEYS).join(read_outcomes(spark, folder, KEY_TYPES), list(KEYS))
 
     return send
 
@@ -220,7 +232,9 @@ def parsed_calls(calls: DataFrame, offsets: DataFrame) -> DataFrame:
     return number_chunks(parsed, offsets)
 
 
-def parse_wave(spark: SparkSession, folder: str, settings: str, wave: int, offsets: DataFrame) -> StructType:
+def parse_wave(
+    spark: SparkSession, folder: str, settings: str, wave: int, offsets: DataFrame, chunks: DataFrame
+) -> StructType:
     """Parse a wave's calls, and add what the report counts to that of the waves before.
 
     The sums up to a wave lie beside it, so a report after it reads neither
@@ -231,9 +245,11 @@ def parse_wave(spark: SparkSession, folder: str, settings: str, wave: int, offse
     if schema is not None:
         return schema
     path = f"{folder}/parsed/wave={wave}"
-    built = parsed_calls(spark.read.parquet(f"{folder}/calls/wave={wave}"), offsets)
+    own = chunks.filter(F.col("wave") == wave).drop("wave")
+    calls = spark.read.parquet(f"{folder}/calls/wave={wave}").select(*KEYS, *OUTCOME)
+    built = parsed_calls(own.join(calls, list(KEYS)), offsets)
     observed = Observation(f"wave-{uuid.uuid4().hex}")
-    built.observe(observed, *report_counters()).write.mode("overwrite").parquet(path)
+    _write(built.observe(observed, *report_counters()), path)
     own = chunks_per_source(result_records(spark.read.schema(built.schema).parquet(path)))
     counts, sources = [observed.get], [own]
     if wave:
@@ -301,7 +317,7 @@ def run_extraction(
         return journal(todo.withColumn("request", F.to_json(X.build_request(F.col("text"), config))))
 
     offsets = _stage(spark, f"{folder}/offsets", settings, lambda: chunk_offsets(chunks))
-    ended = lambda wave: parse_wave(spark, folder, settings, wave, offsets)
+    ended = lambda wave: parse_wave(spark, folder, settings, wave, offsets, chunks)
     calls = call_stage(spark, chunks, f"{folder}/calls", settings, send, waves, recorded, ended)
     parsed = spark.read.schema(ended(waves - 1)).parquet(f"{folder}/parsed")
     results = sinks.require_rows(result_records(parsed), "results")
@@ -312,18 +328,22 @@ def run_extraction(
     stamp = generated_at or datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     totals, sources = progress(spark, folder, waves - 1)
     report = lambda: report_lines(documents, results, failures, stamp, counted=totals, sources=sources)
+    calls = chunks.join(calls.select(*KEYS, *OUTCOME), list(KEYS)).select(*chunks.drop("wave").columns, *OUTCOME, "wave")
     return Run(chunks.drop("wave"), calls, results, failures, totals, report)
 
 
-def save_run(run: Run, folder: str, run_id: str | None = None) -> dict[str, str]:
+def save_run(run: Run, folder: str, run_id: str | None = None, compression: str | None = None) -> dict[str, str]:
     """Publish the JSON, CSV and report of a run together, under run-stamped names.
 
     A save that was stopped may be repeated; one that ended gives its paths again.
+    With a ``compression``, such as ``gzip``, the parts of all files have it.
     """
     run_id = run_id or datetime.now().strftime("%Y%m%d_%H%M%S")
+    # the report is sorted, and what it shuffles is gone before the others are written
     outputs = {
-        "json": (f"results_{run_id}.json", lambda path: sinks.write_json(run.results, path)),
-        "csv": (f"results_{run_id}.csv", lambda path: sinks.write_csv(run.results, path)),
-        "report": (f"summary_{run_id}.txt", lambda path: sinks.write_report(run.lines, path)),
+        "report": (f"summary_{run_id}.txt", lambda path: sinks.write_report(run.lines, path, compression)),
+        "json": (f"results_{run_id}.json", lambda path: sinks.write_json(run.results, path, compression)),
+        "csv": (f"results_{run_id}.csv", lambda path: sinks.write_csv(run.results, path, compression)),
     }
-    return sinks.publish(run.results.sparkSession, folder, run_id, outputs)
+    with shuffles_end(run.results.sparkSession):
+        return sinks.publish(run.results.sparkSession, folder, run_id, outputs)

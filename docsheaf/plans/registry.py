@@ -438,7 +438,7 @@ def stop_on_empty(spark, sf_dir):
 def saved_run(spark, sf_dir):
     """The files of a run as read back, each row with the name of its file."""
     run = _run(spark, sf_dir)
-    paths = save_run(run, workspace(spark, "saved"), "r1")
+    paths = save_run(run, workspace(spark, "saved"), "r1", compression="gzip")
     name = lambda path: F.lit(path.rpartition("/")[2]).alias("file")
     rows = flat_rows(run.results)
     nested = spark.read.schema(run.results.drop("parse_path").schema).json(paths["json"])

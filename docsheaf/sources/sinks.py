@@ -33,14 +33,14 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def write_json(results: DataFrame, path: str) -> None:
+def write_json(results: DataFrame, path: str, compression: str | None = None) -> None:
     """Nested records, one JSON object per line; null fields are left out."""
-    results.drop("parse_path").write.mode("errorifexists").json(path)
+    results.drop("parse_path").write.mode("errorifexists").json(path, compression=compression)
 
 
-def write_csv(results: DataFrame, path: str) -> None:
+def write_csv(results: DataFrame, path: str, compression: str | None = None) -> None:
     """Flat rows with a header in every part."""
-    flat_rows(results).write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
+    flat_rows(results).write.mode("errorifexists").options(**CSV_OPTIONS).csv(path, compression=compression)
 
 
 def read_csv(spark, path: str, schema) -> DataFrame:
@@ -50,14 +50,14 @@ def read_csv(spark, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).options(**options).csv(path).na.fill("")
 
 
-def write_report(lines: DataFrame, path: str) -> None:
+def write_report(lines: DataFrame, path: str, compression: str | None = None) -> None:
     """The report as text parts; in name order they are the whole report.
 
     A sort by range keeps the work distributed, as chunk summaries grow with
     the data.
     """
     ordered = lines.orderBy("section_no", "item_no", "line_no").select("line")
-    ordered.write.mode("errorifexists").text(path)
+    ordered.write.mode("errorifexists").text(path, compression=compression)
 
 
 # --- publication -------------------------------------------------------------------------

@@ -218,3 +218,26 @@ def test_known_outcomes_are_looked_up_for_written_chunks(spark):
     assert found[0] == found[1] and found[0][1]
     # of the chunks as written, not as cut again
     assert len(seen) == 1 and "wave" in seen[0]
+
+
+def test_texts_and_replies_are_kept_once(spark, tmp_path):
+    from docsheaf.plans import inputs
+    from docsheaf.plans.registry import no_client
+    from docsheaf.session import exists
+
+    folder = workspace(spark, "run")
+    args = dict(max_tokens=60, waves=2, recorded=inputs.replies_to, generated_at="now")
+    run = E.run_extraction(documents(spark), no_client, folder, **args)
+    # calls have the text of their chunks by number alone, and what was given for them is gone
+    assert "text" not in spark.read.parquet(f"{folder}/calls").columns
+    assert run.calls.filter("text is not null").count() == run.chunks.count() > 0
+    assert not any(exists(spark, f"{folder}/calls.recorded/wave={wave}") for wave in range(2))
+    again = E.run_extraction(documents(spark), no_client, folder, **args)
+    assert sorted(map(str, again.calls.collect())) == sorted(map(str, run.calls.collect()))
+    # packed files hold the same
+    plain = E.save_run(run, str(tmp_path / "plain"), "r1")
+    packed = E.save_run(run, str(tmp_path / "packed"), "r1", compression="gzip")
+    for name, read in (("json", spark.read.json), ("report", spark.read.text)):
+        assert sorted(map(str, read(plain[name]).collect())) == sorted(map(str, read(packed[name]).collect()))
+    size = lambda path: sum(f.stat().st_size for f in tmp_path.glob(f"{path}/**/part-*"))
+    assert size("packed") < size("plain")
